@@ -69,6 +69,11 @@ def parse_checkpoint(text: Column) -> Column:
     ))
 
 
+def is_checkpoint(text: Column) -> Column:
+    """Whether ``parse_checkpoint`` gives a result (false for NULL)."""
+    return F.coalesce(parse_checkpoint(text).isNotNull(), F.lit(False))
+
+
 def format_checkpoint(tx_seq: Column, seq: Column, scn: Column) -> Column:
     return F.concat_ws("-", tx_seq.cast("string"), seq.cast("string"), scn.cast("string"))
 

@@ -14,17 +14,26 @@ MAX_ZONE_HOURS = 14              # largest zone offset
 MAX_EPOCH_SECOND = 32536771199   # last second a TIMESTAMP may hold
 EPOCH_DAY_NUMBER = 719528        # day number of 1970-01-01 counted from year 0
 
-_COMMIT = r"^(\d{4}-\d{2}-\d{2}) (\d{2}):(\d{2}):(\d{2})(?:\.(\d{0,6}))?"
-_TIME_DAYS = r"^(-?)(\d+)\s+(?=\d.)(\d+)(?::(\d+))?(?::(\d+))?(?:\.(\d{0,6})\d*)?"
-_TIME_COLON = r"^(-?)(\d+):(\d+)(?::(\d+))?(?:\.(\d{0,6})\d*)?"
-_TIME_NUMBER = r"^(-?)(\d+)(?:\.(\d{0,6})\d*)?"
-_STAMP_DELIMITED = (
-    r"^(\d+)[\p{Punct}\s]+(\d+)[\p{Punct}\s]+(\d+)"
-    r"(?:(?:T|[\p{Punct}\s]+)(\d+)(?:[\p{Punct}\s]+(\d+)(?:[\p{Punct}\s]+(\d+)(?:\.(\d{0,6})\d*)?)?)?)?"
-    r".*$"
-)
-_STAMP_LONG = r"^(\d{4})(\d{2})(\d{2})(?:T?(\d{2})(\d{2})(\d{2})(?:\.(\d{0,6})\d*)?)?.*$"
-_STAMP_SHORT = r"^(\d{2})(\d{2})(\d{2})(?:(\d{2})(\d{2})(\d{2})(?:\.(\d{0,6})\d*)?)?.*$"
+_COMMIT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:\.\d{1,6})?"
+# TIME text, each rewritten to "sign,days,hours,minutes,seconds,fraction"
+_TIME_FORMS = [
+    (r"^\s*(-?)(\d+)\s+(?=\d.)(\d+)(?::(\d+))?(?::(\d+))?(?:\.(\d{0,6}))?.*$", "$1,$2,$3,$4,$5,$6"),
+    (r"^\s*(-?)(\d+):(\d+)(?::(\d+))?(?:\.(\d{0,6}))?[^,]*$", "$1,0,$2,$3,$4,$5"),
+    (r"^\s*(-?)(\d*?)(\d{0,2}?)(\d{1,2})(?:\.(\d{0,6})[^,]*|[^\d,][^,]*)?$", "$1,0,$2,$3,$4,$5"),
+    (r"^[^,]*$", ""),
+]
+# date-time text, each rewritten to "year-month-day hour:minute:second.fraction"
+_STAMP = "$1-$2-$3 $4:$5:$6.$7"
+_STAMP_FORMS = [
+    (r"^\s*(\d{4})(\d{2})(\d{2})(?:T?(\d{2})(\d{2})(\d{2})\d*(?:\.(\d{0,6})\d*)?)?$", _STAMP),
+    (r"^\s*(\d{2})(\d{2})(\d{1,2})(?:(\d{2})(?:(\d{2})(\d{1,2})?)?)?(?:\.(\d{0,6})\d*)?$", _STAMP),
+    (r"^\s*(\d+)[\p{Punct}\s]+(\d+)[\p{Punct}\s]+(\d+)"
+     r"(?:(?:T|[\p{Punct}\s]+)(\d+)(?:[\p{Punct}\s]+(\d+)(?:[\p{Punct}\s]+(\d+)(?:\.(\d{0,6}))?)?)?)?.*$", _STAMP),
+    (r"[ :.]+$", ""),
+    (r"^([0-6]\d)-", "20$1-"),
+    (r"^([7-9]\d)-", "19$1-"),
+    (r"^(?!\d{4}-\d{1,2}-\d{1,2}( |$)).*$", ""),
+]
 _ZONE = r"^([+-])(\d{2}):(\d{2})\s*$"
 
 
@@ -38,19 +47,22 @@ def _fraction(c: Column) -> Column:
     return _number(F.rpad(F.coalesce(c, F.lit("")), 6, "0"))
 
 
-def _groups(text: Column, pattern: str, n: int) -> Column:
-    """The first ``n`` groups of ``pattern`` as an array, by one pass of the matcher."""
-    return F.split(F.regexp_replace(text, pattern, ",".join(f"${i}" for i in range(1, n + 1))), ",")
+def _rewrite(text: Column, forms: list[tuple[str, str]]) -> Column:
+    """Bring the accepted spellings of a text into one, a form at a time (each leaves other texts alone)."""
+    for pattern, shape in forms:
+        text = F.regexp_replace(text, pattern, shape)
+    return text
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def commit_micros(text: Column, offset_hours: int = SOURCE_OFFSET_HOURS) -> Column:
     """``YYYY-MM-DD HH:MM:SS[.f{1,6}]`` at a fixed offset → epoch microseconds; NULL if malformed."""
-    hour, minute, second = (F.substring(text, at, 2).try_cast("long") for at in (12, 15, 18))
-    day = F.unix_date(F.substring(text, 1, 10).try_cast("date")).cast("long")
-    fraction = F.when(F.substring(text, 20, 1) == ".", _fraction(F.regexp_extract(F.substring(text, 21, 6), r"^\d*", 0)))
-    micros = (((day * 24 + hour - offset_hours) * 60 + minute) * 60 + second) * 1_000_000
-    valid = text.rlike(_COMMIT) & (hour < 24) & (minute < 60) & (second < 60)
-    return F.when(valid, micros + F.coalesce(fraction, F.lit(0)))
+    local = F.regexp_extract(text, _COMMIT, 0).try_cast("timestamp_ntz")
+    return ntz_micros(local) - offset_hours * 3_600_000_000
 
 
 def commit_text(micros: Column, offset_hours: int = SOURCE_OFFSET_HOURS) -> Column:
@@ -72,31 +84,20 @@ def time_micros(text: Column) -> Column:
     Takes ``[-]D HH[:MM[:SS]]``, ``[-]HH:MM[:SS]`` and ``[-]HHMMSS`` (or a shorter number), each with a
     fraction cut to 6 digits. NULL when a part is out of range or nothing parses.
     """
-    t = F.ltrim(text)
-    days = _groups(F.regexp_extract(t, _TIME_DAYS, 0), _TIME_DAYS, 6)
-    colon = _groups(F.regexp_extract(t, _TIME_COLON, 0), _TIME_COLON, 5)
-    number = _groups(F.regexp_extract(t, _TIME_NUMBER, 0), _TIME_NUMBER, 3)
-    value = _number(F.get(number, 1))
-
-    def total(sign: Column, h: Column, m: Column, s: Column, f: Column) -> Column:
-        micros = ((h * 60 + m) * 60 + s) * 1_000_000 + f
-        return F.when((h <= MAX_TIME_HOURS) & (m < 60) & (s < 60), F.when(sign == "-", -micros).otherwise(micros))
-
-    return (
-        F.when(t.rlike(_TIME_DAYS), total(F.get(days, 0), _number(F.get(days, 1)) * 24 + _number(F.get(days, 2)), _number(F.get(days, 3)),
-                                          _number(F.get(days, 4)), _fraction(F.get(days, 5))))
-        .when(t.rlike(_TIME_COLON), total(F.get(colon, 0), _number(F.get(colon, 1)), _number(F.get(colon, 2)), _number(F.get(colon, 3)),
-                                          _fraction(F.get(colon, 4))))
-        .when(t.rlike(_TIME_NUMBER), total(F.get(number, 0), whole_div(value, 10_000), whole_div(value, 100) % 100, value % 100,
-                                           _fraction(F.get(number, 2))))
-    )
+    def total(parts: Column) -> Column:
+        days, hours, minutes, seconds = (_number(F.get(parts, i)) for i in range(1, 5))
+        h = days * 24 + hours
+        size = ((h * 60 + minutes) * 60 + seconds) * 1_000_000 + _fraction(F.get(parts, 5))
+        valid = (F.size(parts) == 6) & (h <= MAX_TIME_HOURS) & (minutes < 60) & (seconds < 60)
+        return F.when(valid, F.when(F.get(parts, 0) == "-", -size).otherwise(size))
+
+    return _once(F.split(_rewrite(text, _TIME_FORMS), ","), total)
 
 
 def parse_time(text: Column) -> Column:
     """TIME text → day-time interval (hours may pass 24)."""
-    micros = time_micros(text)
-    return F.when(micros.isNotNull(), F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")))
+    return F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (time_micros(text).cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)"))
 
 
 def parse_datetime(text: Column) -> Column:
@@ -105,46 +106,29 @@ def parse_datetime(text: Column) -> Column:
     Parts may be split by any punctuation, white space or ``T``, or be run together as ``YYMMDD[HHMMSS]`` or
     ``YYYYMMDD[[T]HHMMSS]``. Two-digit years below 70 are 20xx, others 19xx. NULL for impossible dates.
     """
-    t = F.ltrim(text)
-    digits = F.length(F.regexp_extract(t, r"^[\dT]*", 0))
-    compact = t.rlike(r"^\d[\dT]*(\.|$)")
-    short = compact & ~(digits.isin(4, 8) | (digits >= 14))
-    parts = (
-        F.when(short, _groups(t, _STAMP_SHORT, 7))
-        .when(compact, _groups(t, _STAMP_LONG, 7))
-        .when(t.rlike(_STAMP_DELIMITED), _groups(t, _STAMP_DELIMITED, 7))
-    )
-    whole = F.size(parts) == 7
-    year = F.get(parts, 0).try_cast("int")
-    full_year = F.when(F.length(F.get(parts, 0)) == 2, year + F.when(year < 70, 2000).otherwise(1900)).otherwise(year)
-    month, day = (F.get(parts, i).try_cast("int") for i in (1, 2))
-    hour, minute, second = (_number(F.get(parts, i)).cast("int") for i in (3, 4, 5))
-    in_range = (full_year <= 9999) & (hour < 24) & (minute < 60) & (second < 60)
-    seconds = (second.cast("decimal(8,6)") + (_fraction(F.get(parts, 6)).cast("decimal(12,0)") / 1_000_000).cast("decimal(8,6)"))
-    return F.when(whole & in_range, F.try_make_timestamp_ntz(
-        full_year, month, day, hour, minute, seconds.cast("decimal(16,6)")))
+    return _rewrite(text, _STAMP_FORMS).try_cast("timestamp_ntz")
 
 
 def zone_offset_seconds(text: Column) -> Column:
     """``±HH:MM`` → seconds; minutes below 60, at most 14 hours, ``-00:00`` refused."""
-    parts = _groups(F.regexp_extract(text, _ZONE, 0), _ZONE, 3)
-    seconds = _number(F.get(parts, 1)) * 3600 + _number(F.get(parts, 2)) * 60
-    valid = (text.rlike(_ZONE) & (_number(F.get(parts, 2)) < 60) & (seconds <= MAX_ZONE_HOURS * 3600)
-             & ~((F.get(parts, 0) == "-") & (seconds == 0)))
-    return F.when(valid, F.when(F.get(parts, 0) == "-", -seconds).otherwise(seconds))
+    def total(zone: Column) -> Column:
+        hours, minutes = (F.substring(zone, at, 2).cast("int") for at in (2, 5))
+        size = (hours * 3600 + minutes * 60).cast("long")
+        negative = F.substring(zone, 1, 1) == "-"
+        valid = (minutes < 60) & (size <= MAX_ZONE_HOURS * 3600) & ~(negative & (size == 0))
+        return F.when(valid, F.when(negative, -size).otherwise(size))
+
+    return _once(F.nullif(F.regexp_extract(text, _ZONE, 0), F.lit("")), total)
 
 
 def trailing_zone(text: Column) -> Column:
     """The zone offset at the end of a date-time text, or NULL."""
-    return F.when(text.rlike(r":\d{2}(\.\d+)?[+-]\d{2}:\d{2}\s*$"),
-                  zone_offset_seconds(F.regexp_extract(text, r"([+-]\d{2}:\d{2}\s*)$", 1)))
+    return zone_offset_seconds(F.regexp_extract(text, r":\d{2}(?:\.\d+)?([+-]\d{2}:\d{2}\s*)$", 1))
 
 
 def ntz_micros(ts: Column) -> Column:
-    """Microseconds of a timestamp without zone counted from 1970-01-01 00:00:00."""
-    day = F.unix_date(ts.cast("date")).cast("long")
-    return (((day * 24 + F.hour(ts)) * 60 + F.minute(ts)) * 60) * 1_000_000 + (
-        F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    """Microseconds of a timestamp without zone counted from 1970-01-01 00:00:00 (session zone UTC)."""
+    return F.unix_micros(ts.cast("timestamp"))
 
 
 def local_epoch(ts: Column, zone: str | Column) -> Column:

@@ -12,22 +12,29 @@ from tidemark.functions.types import Field, typed_value
 from tidemark.schema import commit_key
 
 
-def stated(image: Column, name: str) -> Column:
-    """The key-value struct a record states for a column, the last if repeated; NULL when absent."""
-    return F.try_element_at(F.filter(image, lambda e: e["key"] == name), F.lit(-1))
+def stated(image: Column, name: str | Column) -> Column:
+    """The key-value struct a record states for a column, the last if repeated; NULL when absent.
+
+    Found by position from the end of the image, which stays inside generated code (a lambda would not).
+    """
+    at = F.array_position(F.reverse(image["key"]), F.lit(name) if isinstance(name, str) else name)
+    return F.try_element_at(image, -F.nullif(at, F.lit(0)).cast("int"))
 
 
-def stated_value(image: Column, field: Field) -> Column:
-    """Typed value in a struct of one: NULL = absent, struct(NULL) = explicit NULL."""
-    kv = stated(image, field.name)
+def stated_value(kv: Column, field: Field) -> Column:
+    """Typed value of a stated column in a struct of one: NULL = absent, struct(NULL) = explicit NULL.
+
+    ``kv`` is named several times: select the result of ``stated`` first and pass its column.
+    """
     value = F.when(kv["tag"] != "NONE", typed_value(kv, field))
     return F.when(kv.isNotNull(), F.struct(value.alias("v")))
 
 
 def typed_columns(log: DataFrame, fields: Sequence[Field], image: str = "new_data",
                   keep: Sequence[str] = ()) -> DataFrame:
-    """One typed column per field of ``image``."""
-    return log.select(*keep, *[stated_value(F.col(image), f)["v"].alias(f.name) for f in fields])
+    """One typed column per field of ``image``; NULL where it is absent or NULL."""
+    found = log.select(*keep, *[stated(F.col(image), f.name).alias(f"_kv_{f.name}") for f in fields])
+    return found.select(*keep, *[typed_value(F.col(f"_kv_{f.name}"), f).alias(f.name) for f in fields])
 
 
 def table_fields(log: DataFrame, db: str, table: str) -> list[Field]:
@@ -44,7 +51,7 @@ def table_fields(log: DataFrame, db: str, table: str) -> list[Field]:
 def image_states(image: Column, fields: Column) -> Column:
     """Per stated column, in schema order: struct(ordinal from 1, is_null)."""
     def state(f: Column, i: Column) -> Column:
-        kv = F.try_element_at(F.filter(image, lambda e: e["key"] == f["name"]), F.lit(-1))
+        kv = stated(image, f["name"])
         return F.when(kv.isNotNull(), F.struct((i + 1).alias("ordinal"), (kv["tag"] == "NONE").alias("is_null")))
 
     return F.array_compact(F.transform(fields, state))
@@ -91,8 +98,7 @@ def _plain(kv: Column) -> Column:
 def changed_names() -> Column:
     """Names of columns stated on both sides with different values, in schema order."""
     def differs(f: Column) -> Column:
-        before, after = (F.try_element_at(F.filter(side, lambda e: e["key"] == f["name"]), F.lit(-1))
-                         for side in ("keys", "new_data"))
+        before, after = (stated(F.col(side), f["name"]) for side in ("keys", "new_data"))
         return before.isNotNull() & after.isNotNull() & ~_plain(before).eqNullSafe(_plain(after))
 
     return F.transform(F.filter("fields", differs), lambda f: f["name"])
@@ -103,7 +109,7 @@ def stated_columns(log: DataFrame, image: str = "new_data", keep: Sequence[str]
 
     The join stays inside the record, so nothing is shuffled.
     """
-    names = F.transform("fields", lambda f: f["name"])
+    names = F.col("fields")["name"]
     return log.select(*keep, names.alias("_names"), F.inline(F.transform(F.col(image), lambda e: F.struct(
         e["key"].alias("column_name"), e["tag"].alias("tag"))))).select(
         *keep, "column_name", "tag",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,30 +49,34 @@ def commit_times(log: DataFrame) -> DataFrame:
 
 
 def _column_names(image: str) -> Column:
-    return F.coalesce(F.transform(F.col(image), lambda e: e["key"]), F.array().cast("array<string>"))
+    return F.coalesce(F.col(image)["key"], F.array().cast("array<string>"))
 
 
-def refusals() -> Column:
-    """The reasons a record is refused, as an array of names (empty when it is fine)."""
+def faults() -> dict[str, Column]:
+    """What makes a record unusable: reason → condition (never NULL)."""
     dml = ~is_ddl()
-    known = F.coalesce(F.transform("fields", lambda f: f["name"]), F.array().cast("array<string>"))
-    strange_type = F.exists("fields", lambda f: types.type_code(f["meta"]["data_type"]).isNull())
+    known = F.coalesce(F.col("fields")["name"], F.array().cast("array<string>"))
+    strange_type = F.exists(F.col("fields")["meta"]["data_type"], lambda t: types.type_code(t).isNull())
     strange_name = (F.size(F.array_except(_column_names("keys"), known))
                     + F.size(F.array_except(_column_names("new_data"), known))) > 0
     crowded = F.greatest(F.size(_column_names("keys")), F.size(_column_names("new_data"))) > F.size(known)
     bad_time = time.commit_micros(F.col("msg_time")).isNull() | time.commit_micros(F.col("tx_time")).isNull()
-    unknown_op = row_event_code(F.col("op_type")).isNull()
-    return F.array_compact(F.array(
-        F.when(dml & unknown_op, UNKNOWN_OP),
-        F.when(dml & F.coalesce(strange_type, F.lit(True)), UNKNOWN_TYPE),
-        F.when(dml & strange_name, UNKNOWN_COLUMN),
-        F.when(dml & crowded, TOO_MANY_VALUES),
-        F.when(bad_time, BAD_TIME),
-        F.when(ids.parse_checkpoint(F.col("check_point")).isNull(), BAD_CHECKPOINT),
-    ))
+    return {
+        UNKNOWN_OP: dml & row_event_code(F.col("op_type")).isNull(),
+        UNKNOWN_TYPE: dml & F.coalesce(strange_type, F.lit(True)),
+        UNKNOWN_COLUMN: dml & strange_name,
+        TOO_MANY_VALUES: dml & crowded,
+        BAD_TIME: bad_time,
+        BAD_CHECKPOINT: ~ids.is_checkpoint(F.col("check_point")),
+    }
 
 
 def split_refused(log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(usable records, refused records with ``reasons``)."""
-    checked = log.withColumn("reasons", refusals())
-    return checked.filter(F.size("reasons") == 0).drop("reasons"), checked.filter(F.size("reasons") > 0)
+    """(usable records, refused records with ``reasons``).
+
+    Records are sorted out by plain conditions; reasons are spelled out for refused records only.
+    """
+    conditions = faults()
+    refused = reduce(lambda a, b: a | b, conditions.values())
+    reasons = F.array_compact(F.array(*[F.when(c, reason) for reason, c in conditions.items()]))
+    return log.filter(~refused), log.filter(refused).withColumn("reasons", reasons)

@@ -16,8 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.types import Field
-from tidemark.operators.images import stated_value
+from tidemark.functions.types import Field, typed_value
+from tidemark.operators.images import stated, stated_value
 from tidemark.operators.scans import HOT_ROWS, carry_forward
 from tidemark.schema import ORDER, commit_key, commit_order, is_ddl
 
@@ -39,15 +39,16 @@ def row_changes(log: DataFrame, fields: Sequence[Field], key: Sequence[str]) ->
     An update that moves the key and states the whole row becomes a delete and an insert. One that moves the key
     without the whole row is left to ``partial_moves``.
     """
-    before = {f.name: stated_value(F.col("keys"), f) for f in fields if f.name in key}
-    after = {f.name: stated_value(F.col("new_data"), f) for f in fields}
-    flat = log.filter(F.col("op_type").isin("I", "U", "D")).select(
+    sides = {f"_b_{f.name}": ("keys", f) for f in fields if f.name in key}
+    sides |= {f"_a_{f.name}": ("new_data", f) for f in fields}
+    found = log.filter(F.col("op_type").isin("I", "U", "D")).select(
         *commit_order()[:4], commit_order()[4].alias("dn"), "op_type",
-        *[before[k]["v"].alias(f"_b_{k}") for k in key],
-        *[after[f.name].alias(f"_a_{f.name}") for f in fields],
-    )
+        *[stated(F.col(image), f.name).alias(name) for name, (image, f) in sides.items()])
+    flat = found.select(
+        *ORDER, "op_type",
+        *[stated_value(F.col(name), f).alias(name) for name, (_, f) in sides.items()])
     moved = (F.col("op_type") == "U") & reduce(
-        lambda a, b: a | b, [F.col(f"_a_{k}.v").isNotNull() & ~F.col(f"_a_{k}.v").eqNullSafe(F.col(f"_b_{k}")) for k in key])
+        lambda a, b: a | b, [F.col(f"_a_{k}.v").isNotNull() & ~F.col(f"_a_{k}.v").eqNullSafe(F.col(f"_b_{k}.v")) for k in key])
     whole = reduce(lambda a, b: a & b, [F.col(f"_a_{f.name}").isNotNull() for f in fields])
     split = flat.withColumn("_moved", moved).withColumn("_whole", whole).select(
         "*", F.explode(F.when(F.col("_moved") & F.col("_whole"), F.array(F.lit(0), F.lit(1))).otherwise(
@@ -56,7 +57,7 @@ def row_changes(log: DataFrame, fields: Sequence[Field], key: Sequence[str]) ->
     op = F.when(moved_whole, F.when(F.col("sub") == 0, "D").otherwise("I")).otherwise(F.col("op_type"))
     from_after = (F.col("op_type") == "I") | (moved_whole & (F.col("sub") == 1))
     return split.select(
-        *[F.when(from_after, F.col(f"_a_{k}.v")).otherwise(F.col(f"_b_{k}")).alias(k) for k in key],
+        *[F.when(from_after, F.col(f"_a_{k}.v")).otherwise(F.col(f"_b_{k}.v")).alias(k) for k in key],
         op.alias("op"), *CHANGE_ORDER,
         *[F.when(op != "D", F.col(f"_a_{f.name}")).alias(f.name) for f in fields if f.name not in key],
         (F.col("_moved") & ~F.col("_whole")).alias("_partial_move"),
@@ -65,13 +66,15 @@ def row_changes(log: DataFrame, fields: Sequence[Field], key: Sequence[str]) ->
 
 def partial_moves(log: DataFrame, fields: Sequence[Field], key: Sequence[str]) -> DataFrame:
     """Updates that change the key without stating the whole row; they cannot be applied."""
-    updates = log.filter(F.col("op_type") == "U")
+    updates = log.filter(F.col("op_type") == "U").select(
+        "*", *[stated(F.col("keys"), k).alias(f"_b_{k}") for k in key], *[stated(F.col("new_data"), k).alias(f"_a_{k}") for k in key])
+    by_name = {f.name: f for f in fields}
     moved = reduce(lambda a, b: a | b, [
-        stated_value(F.col("new_data"), f)["v"].isNotNull()
-        & ~stated_value(F.col("new_data"), f)["v"].eqNullSafe(stated_value(F.col("keys"), f)["v"])
-        for f in fields if f.name in key])
-    whole = reduce(lambda a, b: a & b, [stated_value(F.col("new_data"), f).isNotNull() for f in fields])
-    return updates.filter(moved & ~whole)
+        F.col(f"_a_{k}").isNotNull() & ~typed_value(F.col(f"_a_{k}"), by_name[k]).eqNullSafe(
+            typed_value(F.col(f"_b_{k}"), by_name[k])) for k in key])
+    names = F.col("new_data")["key"]
+    whole = F.size(F.array_except(F.array(*[F.lit(f.name) for f in fields]), names)) == 0
+    return updates.filter(moved & ~whole).drop(*[f"_{side}_{k}" for k in key for side in "ab"])
 
 
 def value_columns(changes: DataFrame, key: Sequence[str]) -> list[str]:

@@ -1,6 +1,6 @@
 """All catalogue entries, collected."""
 
-from tidemark.plans import records, scalars  # noqa: F401 - they register their queries
+from tidemark.plans import log_layout, records, scalars, tables  # noqa: F401 - they register their queries
 from tidemark.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import whole_div
-from tidemark.functions.text import encode_text
 from tidemark.functions.time import commit_text
 from tidemark.functions.types import Field
-from tidemark.schema import FIELD, KV
+from tidemark.schema import KV
 
 DB = "tpch"
 PHASE = 1_000_000_000_000
@@ -49,37 +48,52 @@ LINEITEM_FIELDS = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of an input that has fewer splits than the session has cores (a small single file)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def field_list(fields: list[Field]) -> Column:
-    return F.array(*[
-        F.struct(F.lit(f.name).alias("name"), F.struct(
-            F.lit(f.data_type).alias("data_type"), F.lit(f.length).alias("length"), F.lit(f.precision).alias("precision"),
-            F.lit(f.is_unsigned).alias("is_unsigned"), F.lit(f.nullable).alias("nullable"),
-            F.lit("utf8mb4").alias("csname")).alias("meta"))
-        for f in fields]).cast(f"array<{FIELD.simpleString()}>")
+    """The column descriptions every record of a table carries."""
+    described = ", ".join(
+        f"named_struct('name', '{f.name}', 'meta', named_struct('data_type', '{f.data_type}', 'length', {f.length}, "
+        f"'precision', {f.precision}, 'is_unsigned', {f.is_unsigned}, 'nullable', {f.nullable}, 'csname', 'utf8mb4'))"
+        for f in fields)
+    return F.expr(f"array({described})")
+
+
+_EMPTY_ARMS = {"long": "CAST(NULL AS BIGINT)", "double": "CAST(NULL AS DOUBLE)", "string": "CAST(NULL AS STRING)"}
+
+
+def _kv(name: str, arm: str | None = None, value: str = "") -> str:
+    """SQL of a key-value struct whose ``arm`` holds the SQL expression ``value``; explicit NULL without one."""
+    arms = {a: (f"CAST({value} AS {a})" if a == arm else empty) for a, empty in _EMPTY_ARMS.items()}
+    return (f"named_struct('key', '{name}', 'tag', '{arm.upper() if arm else 'NONE'}', 'long_val', {arms['long']}, "
+            f"'double_val', {arms['double']}, 'string_val', {arms['string']})")
+
+
+def kv(name: str, arm: str | None = None, value: str = "") -> Column:
+    return F.expr(_kv(name, arm, value))
 
 
-def kv(name: str, long: Column | None = None, double: Column | None = None, text: Column | None = None) -> Column:
-    tag = "LONG" if long is not None else "DOUBLE" if double is not None else "STRING" if text is not None else "NONE"
-    return F.struct(
-        F.lit(name).alias("key"), F.lit(tag).alias("tag"),
-        (F.lit(None) if long is None else long).cast("long").alias("long_val"),
-        (F.lit(None) if double is None else double).cast("double").alias("double_val"),
-        (F.lit(None) if text is None else text).cast("string").alias("string_val"))
+def _b64(value: str) -> str:
+    """SQL of a base64 payload (short texts, so one line)."""
+    return f"base64(CAST({value} AS BINARY))"
 
 
-def _image(*values: Column) -> Column:
-    return F.array_compact(F.array(*values))
+def _stamp(ts: str) -> str:
+    return _b64(f"date_format({ts}, 'yyyy-MM-dd HH:mm:ss')")
 
 
-def no_image() -> Column:
-    return F.lit(None).cast(f"array<{KV.simpleString()}>")
+def _image(*values: str) -> str:
+    return f"array({', '.join(values)})"
 
 
-def _stamp_text(ts: Column) -> Column:
-    return encode_text(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+NO_IMAGE = f"CAST(NULL AS ARRAY<{KV.simpleString()}>)"
 
 
 def _micros(ts: Column) -> Column:
@@ -109,23 +123,19 @@ def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = p * F.lit(PHASE) + k
     op = F.when(p.isin(1, 5), "I").when(p == 4, "D").otherwise("U")
     micros = _micros(F.col("o_orderdate")) + p * F.lit(86_400_000_000) + (k * 7919) % 1_000_000
-    whole = _image(
-        kv("o_totalprice", double=F.col("o_totalprice")),
-        kv("o_orderkey", long=k),
-        kv("o_custkey", long=F.col("o_custkey")),
-        kv("o_orderpriority", text=encode_text(F.col("o_orderpriority"))),
-        kv("o_orderstatus", text=encode_text(F.col("o_orderstatus"))),
-        kv("o_orderdate", text=_stamp_text(F.col("o_orderdate"))))
-    closed = _image(kv("o_orderstatus", text=encode_text(F.lit("F"))), F.when(k % 9 == 0, kv("o_totalprice")))
-    urgent = _image(kv("o_orderpriority", text=encode_text(F.lit("1-URGENT"))))
-    late = _image(kv("o_custkey", long=F.col("o_custkey") + 1))
-    keys = (
-        F.when(p == 2, _image(kv("o_orderkey", long=k), kv("o_orderstatus", text=encode_text(F.col("o_orderstatus")))))
-        .when(p == 3, _image(kv("o_orderkey", long=k), kv("o_orderpriority", text=encode_text(F.col("o_orderpriority")))))
-        .when(p.isin(4, 6), _image(kv("o_orderkey", long=k)))
-        .otherwise(no_image()))
-    new = (F.when(p.isin(1, 5), whole).when(p == 2, closed).when(p == 3, urgent).when(p == 6, late)
-           .otherwise(no_image()))
+    key = _kv("o_orderkey", "long", "o_orderkey")
+    status = _kv("o_orderstatus", "string", _b64("o_orderstatus"))
+    priority = _kv("o_orderpriority", "string", _b64("o_orderpriority"))
+    whole = _image(_kv("o_totalprice", "double", "o_totalprice"), key, _kv("o_custkey", "long", "o_custkey"), priority,
+                   status, _kv("o_orderdate", "string", _stamp("o_orderdate")))
+    closed = _kv("o_orderstatus", "string", _b64("'F'"))
+    keys = F.expr(f"""CASE phase WHEN 2 THEN {_image(key, status)} WHEN 3 THEN {_image(key, priority)}
+        WHEN 4 THEN {_image(key)} WHEN 6 THEN {_image(key)} ELSE {NO_IMAGE} END""")
+    new = F.expr(f"""CASE WHEN phase IN (1, 5) THEN {whole}
+        WHEN phase = 2 AND o_orderkey % 9 = 0 THEN {_image(closed, _kv("o_totalprice"))}
+        WHEN phase = 2 THEN {_image(closed)}
+        WHEN phase = 3 THEN {_image(_kv("o_orderpriority", "string", _b64("'1-URGENT'")))}
+        WHEN phase = 6 THEN {_image(_kv("o_custkey", "long", "o_custkey + 1"))} ELSE {NO_IMAGE} END""")
     return rows.select(
         *_envelope(tx, tx * 1000, F.lit(1), tx, k % 4, tx - 1, micros, k % 2 == 0),
         F.lit(DB).alias("db_name"), F.lit("orders").alias("table_"), op.alias("op_type"),
@@ -138,23 +148,17 @@ def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("l_orderkey")
     tx = F.lit(LINEITEM_BASE) + k
     lsn = F.col("l_partkey") * 10_000_000 + F.col("l_suppkey") * 100 + F.col("l_quantity").cast("long")
-    new = F.array(
-        kv("l_shipdate", text=_stamp_text(F.col("l_shipdate"))),
-        kv("l_orderkey", long=k),
-        kv("l_linenumber", long=F.col("l_linenumber")),
-        kv("l_partkey", long=F.col("l_partkey")),
-        kv("l_suppkey", long=F.col("l_suppkey")),
-        kv("l_quantity", text=F.col("l_quantity").cast("decimal(12,2)").cast("string")),
-        kv("l_extendedprice", double=F.col("l_extendedprice")),
-        kv("l_discount", double=F.col("l_discount")),
-        kv("l_tax", double=F.col("l_tax")),
-        kv("l_returnflag", text=encode_text(F.col("l_returnflag"))),
-        kv("l_linestatus", text=encode_text(F.col("l_linestatus"))))
+    new = F.expr(_image(
+        _kv("l_shipdate", "string", _stamp("l_shipdate")),
+        *[_kv(c, "long", c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+        _kv("l_quantity", "string", "CAST(l_quantity AS DECIMAL(12,2))"),
+        *[_kv(c, "double", c) for c in ("l_extendedprice", "l_discount", "l_tax")],
+        *[_kv(c, "string", _b64(c)) for c in ("l_returnflag", "l_linestatus")]))
     return rows.select(
         *_envelope(tx, tx * 1000, F.col("l_linenumber"), lsn, F.col("l_suppkey") % 4, tx - 1,
                    _micros(F.col("l_shipdate")), k % 2 == 0),
         F.lit(DB).alias("db_name"), F.lit("lineitem").alias("table_"), F.lit("I").alias("op_type"),
-        field_list(LINEITEM_FIELDS).alias("fields"), no_image().alias("keys"), new.alias("new_data"))
+        field_list(LINEITEM_FIELDS).alias("fields"), F.expr(NO_IMAGE).alias("keys"), new.alias("new_data"))
 
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,19 +166,20 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events")
     kind = F.col("event_type")
     tx = F.lit(EVENTS_BASE) + F.col("event_id") + 1
-    user = kv("user_id", long=F.col("user_id"))
-    value = kv("value", double=F.col("value"))
-    props = kv("props", text=encode_text(F.col("props")))
+    user = _kv("user_id", "long", "user_id")
+    value = _kv("value", "double", "value")
+    props = _kv("props", "string", _b64("props"))
     op = F.when(kind == "signup", "I").when(kind == "error", "D").otherwise("U")
-    new = (F.when(kind == "signup", F.array(props, user, value)).when(kind == "view", F.array(value))
-           .when(kind == "click", F.array(props)).when(kind != "error", F.array(props, value)).otherwise(no_image()))
+    keys = F.expr(f"CASE WHEN event_type = 'signup' THEN {NO_IMAGE} ELSE {_image(user)} END")
+    new = F.expr(f"""CASE event_type WHEN 'signup' THEN {_image(props, user, value)} WHEN 'view' THEN {_image(value)}
+        WHEN 'click' THEN {_image(props)} WHEN 'error' THEN {NO_IMAGE} ELSE {_image(props, value)} END""")
     return rows.select(
         *_envelope(tx, tx * 1000, F.lit(1), tx, F.col("user_id") % 4,
                    F.lit(EVENTS_BASE) + F.col("event_id") - F.col("event_id") % 4, _micros(F.col("ts")),
                    F.col("event_id") % 2 == 0),
         F.lit(DB).alias("db_name"), F.lit("user_state").alias("table_"), op.alias("op_type"),
         field_list(EVENT_FIELDS).alias("fields"),
-        F.when(kind == "signup", no_image()).otherwise(F.array(user)).alias("keys"), new.alias("new_data"))
+        keys.alias("keys"), new.alias("new_data"))
 
 
 def ddl_log(spark: SparkSession, sf_dir: str) -> DataFrame:

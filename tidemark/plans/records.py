@@ -229,7 +229,7 @@ def type_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders log with one fault in each of several residue classes of the key."""
     k = F.col("tx_seq") % 1_000_000_000_000 % 97
-    stray = F.array_append("new_data", kv("no_such_column", long=F.lit(1)))
+    stray = F.array_append("new_data", kv("no_such_column", "long", "1"))
     strange = F.transform("fields", lambda f: f.withField("meta.data_type", F.lit("GEOMETRY")))
     doubled = F.concat("new_data", "new_data")
     return orders_log(spark, sf_dir).withColumns({
