@@ -39,33 +39,38 @@ def _bytes_of(c: Column) -> Column:
     return F.coalesce(F.octet_length(c), F.lit(0))
 
 
-def value_bytes(kv: Column, meta: Column) -> Column:
-    """Bytes of one value; NULL values take none."""
-    declared, length = meta["data_type"], meta["length"]
-    fixed = F.coalesce(types.storage_bytes(declared, length, meta["precision"]), F.lit(0))
-    payload = F.when(types.is_prefixed(declared), _bytes_of(decode_bytes(kv["string_val"]))).otherwise(0)
-    return F.when(kv["tag"] == "NONE", 0).otherwise(fixed + payload)
+def field_widths(fields: Column) -> Column:
+    """Storage bytes per column, in schema order; for strings the bytes of the length prefix."""
+    return F.transform(fields, lambda f: F.coalesce(types.storage_bytes(
+        f["meta"]["data_type"], f["meta"]["length"], f["meta"]["precision"]), F.lit(0)))
 
 
-def field_map(fields: Column) -> Column:
-    """name → metadata, the later of two equal names."""
-    named = F.transform(fields, lambda f: F.struct(f["name"].alias("key"), f["meta"].alias("value")))
-    return F.map_from_entries(named)
+def field_prefixed(fields: Column) -> Column:
+    """Per column, whether its values carry bytes after their width."""
+    return F.transform(fields, lambda f: types.is_prefixed(f["meta"]["data_type"]))
 
 
 def _latest_only(image: Column) -> Column:
     """Drop all but the last of repeated column names."""
-    names = F.transform(image, lambda e: e["key"])
+    names = image["key"]
     last = F.filter(image, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
     return F.when(F.size(F.array_distinct(names)) == F.size(names), image).otherwise(last)
 
 
-def image_bytes(image: Column, fields: Column) -> Column:
-    """Presence map, NULL map and values of a row image; 0 when there is no image."""
+def image_bytes(image: Column, names: Column, widths: Column, prefixed: Column) -> Column:
+    """Presence map, NULL map and values of a row image; 0 when there is no image.
+
+    ``names``, ``widths`` and ``prefixed`` describe the table's columns, in schema order. NULL values take no bytes.
+    """
     kept = _latest_only(image)
-    metas = field_map(fields)
-    values = F.aggregate(kept, F.lit(0), lambda total, e: total + value_bytes(e, F.element_at(metas, e["key"])))
-    return F.when(image.isNotNull(), _ceil8(F.size(fields)) + _ceil8(F.size(kept)) + values).otherwise(0)
+
+    def value_bytes(e: Column) -> Column:
+        at = F.array_position(names, e["key"]).cast("int")
+        payload = F.when((e["tag"] == "STRING") & F.element_at(prefixed, at), _bytes_of(decode_bytes(e["string_val"])))
+        return F.when(e["tag"] != "NONE", F.element_at(widths, at) + F.coalesce(payload, F.lit(0))).otherwise(0)
+
+    values = F.aggregate(kept, F.lit(0), lambda total, e: total + value_bytes(e))
+    return F.when(image.isNotNull(), _ceil8(F.size(names)) + _ceil8(F.size(kept)) + values).otherwise(0)
 
 
 def gtid_bytes(immediate: Column, original: Column) -> Column:
@@ -91,9 +96,9 @@ def table_map_bytes(db: Column, table: Column, fields: Column) -> Column:
             + F.when(metadata < 251, 1).otherwise(3) + _ceil8(columns))
 
 
-def rows_bytes(keys: Column, new_data: Column, fields: Column) -> Column:
-    return (F.lit(HEADER_BYTES + ROWS_BYTES) + length_of_length(F.size(fields))
-            + image_bytes(keys, fields) + image_bytes(new_data, fields))
+def rows_bytes(keys: Column, new_data: Column, names: Column, widths: Column, prefixed: Column) -> Column:
+    return (F.lit(HEADER_BYTES + ROWS_BYTES) + length_of_length(F.size(names))
+            + image_bytes(keys, names, widths, prefixed) + image_bytes(new_data, names, widths, prefixed))
 
 
 def rotate_bytes(name: Column) -> Column:

@@ -105,21 +105,21 @@ def set_bytes(labels: Column) -> Column:
     return F.when(size > 4, 8).otherwise(size)
 
 
-def length_bytes(declared: Column, length: Column) -> Column:
-    """Bytes of the length prefix of a string value."""
-    return F.when(declared == "VARCHAR", F.when(length < 255, 1).otherwise(2)).when(
-        declared.isin("CHAR", "BINARY"), F.when(length < 256, 1).otherwise(2)).otherwise(
-        _lookup(declared, BLOB_LENGTH_BYTES))
+# Types whose width depends on the column, as negative entries of the width table
+_BY_LENGTH = {"CHAR": -1, "BINARY": -1, "VARCHAR": -2, "DECIMAL": -3, "ENUM": -4, "SET": -5, "BIT": -6}
 
 
 def storage_bytes(declared: Column, length: Column, precision: Column) -> Column:
     """Bytes a value takes; for strings the length prefix only."""
+    width = _lookup(declared, {**FIXED_WIDTHS, **BLOB_LENGTH_BYTES, **_BY_LENGTH})
     return (
-        F.when(declared == "DECIMAL", numeric.decimal_bytes(F.least(length, F.lit(MAX_DECIMAL_DIGITS)), precision))
+        F.when(width >= 0, width)
+        .when(declared == "VARCHAR", F.when(length < 255, 1).otherwise(2))
+        .when(declared.isin("CHAR", "BINARY"), F.when(length < 256, 1).otherwise(2))
+        .when(declared == "DECIMAL", numeric.decimal_bytes(F.least(length, F.lit(MAX_DECIMAL_DIGITS)), precision))
         .when(declared == "ENUM", enum_bytes(length))
         .when(declared == "SET", set_bytes(length))
         .when(declared == "BIT", numeric.whole_div(length + 7, 8).cast("int"))
-        .otherwise(F.coalesce(_lookup(declared, FIXED_WIDTHS), length_bytes(declared, length)))
     )
 
 

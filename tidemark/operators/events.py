@@ -116,13 +116,19 @@ def change_events(log: DataFrame) -> DataFrame:
 def event_sizes(log: DataFrame) -> DataFrame:
     """Add ``ends``: the end of each event of a record, in bytes from the start of the record."""
     ddl = is_ddl()
-    parts = commit_times(log).withColumns({
+    described = commit_times(log).withColumns({
+        "_names": F.col("fields")["name"],
+        "_widths": size.field_widths(F.col("fields")),
+        "_prefixed": size.field_prefixed(F.col("fields")),
+    })
+    parts = described.withColumns({
         "_gtid": size.gtid_bytes(F.col("immediate_us"), F.col("original_us")),
         "_query": F.when(ddl, size.ddl_query_bytes(F.col("db_name"), F.col("ddl_sql"))).otherwise(
             size.begin_bytes(F.col("db_name"))),
         "_map": F.when(~ddl, size.table_map_bytes(F.col("db_name"), F.col("table_"), F.col("fields"))),
-        "_rows": F.when(~ddl, size.rows_bytes(F.col("keys"), F.col("new_data"), F.col("fields"))),
-    })
+        "_rows": F.when(~ddl, size.rows_bytes(F.col("keys"), F.col("new_data"), F.col("_names"), F.col("_widths"),
+                                              F.col("_prefixed"))),
+    }).drop("_names", "_widths", "_prefixed")
     e1 = F.col("_gtid").cast("long")
     e2 = e1 + F.col("_query")
     e3 = e2 + F.col("_map")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import whole_div
 from tidemark.functions.time import commit_text
 from tidemark.functions.types import Field
-from tidemark.schema import KV
+from tidemark.schema import KV, conform
 
 DB = "tpch"
 PHASE = 1_000_000_000_000
@@ -136,10 +136,10 @@ def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN phase = 2 THEN {_image(closed)}
         WHEN phase = 3 THEN {_image(_kv("o_orderpriority", "string", _b64("'1-URGENT'")))}
         WHEN phase = 6 THEN {_image(_kv("o_custkey", "long", "o_custkey + 1"))} ELSE {NO_IMAGE} END""")
-    return rows.select(
+    return conform(rows.select(
         *_envelope(tx, tx * 1000, F.lit(1), tx, k % 4, tx - 1, micros, k % 2 == 0),
         F.lit(DB).alias("db_name"), F.lit("orders").alias("table_"), op.alias("op_type"),
-        field_list(ORDER_FIELDS).alias("fields"), keys.alias("keys"), new.alias("new_data"))
+        field_list(ORDER_FIELDS).alias("fields"), keys.alias("keys"), new.alias("new_data")))
 
 
 def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,11 +154,11 @@ def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         _kv("l_quantity", "string", "CAST(l_quantity AS DECIMAL(12,2))"),
         *[_kv(c, "double", c) for c in ("l_extendedprice", "l_discount", "l_tax")],
         *[_kv(c, "string", _b64(c)) for c in ("l_returnflag", "l_linestatus")]))
-    return rows.select(
+    return conform(rows.select(
         *_envelope(tx, tx * 1000, F.col("l_linenumber"), lsn, F.col("l_suppkey") % 4, tx - 1,
                    _micros(F.col("l_shipdate")), k % 2 == 0),
         F.lit(DB).alias("db_name"), F.lit("lineitem").alias("table_"), F.lit("I").alias("op_type"),
-        field_list(LINEITEM_FIELDS).alias("fields"), F.expr(NO_IMAGE).alias("keys"), new.alias("new_data"))
+        field_list(LINEITEM_FIELDS).alias("fields"), F.expr(NO_IMAGE).alias("keys"), new.alias("new_data")))
 
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,13 +173,13 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = F.expr(f"CASE WHEN event_type = 'signup' THEN {NO_IMAGE} ELSE {_image(user)} END")
     new = F.expr(f"""CASE event_type WHEN 'signup' THEN {_image(props, user, value)} WHEN 'view' THEN {_image(value)}
         WHEN 'click' THEN {_image(props)} WHEN 'error' THEN {NO_IMAGE} ELSE {_image(props, value)} END""")
-    return rows.select(
+    return conform(rows.select(
         *_envelope(tx, tx * 1000, F.lit(1), tx, F.col("user_id") % 4,
                    F.lit(EVENTS_BASE) + F.col("event_id") - F.col("event_id") % 4, _micros(F.col("ts")),
                    F.col("event_id") % 2 == 0),
         F.lit(DB).alias("db_name"), F.lit("user_state").alias("table_"), op.alias("op_type"),
         field_list(EVENT_FIELDS).alias("fields"),
-        keys.alias("keys"), new.alias("new_data"))
+        keys.alias("keys"), new.alias("new_data")))
 
 
 def ddl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,8 +203,8 @@ def ddl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = phase * F.lit(PHASE) + k * 10
     micros = F.lit(1_722_493_959_000_068) + tx % F.lit(PHASE) * 1000
     kind = F.when(s.isin(1, 2), "CREATE TABLE").when(s == 3, "DROP TABLE").when(s == 5, "ALTER TABLE")
-    return rows.select(
+    return conform(rows.select(
         *_envelope(tx, tx * 1000, F.when(s == 5, 2).otherwise(0), tx, F.lit(None), tx - 1, micros, k % 2 == 0),
         F.when(s.isin(2, 3), shop).when(s == 5, DB).alias("db_name"),
         F.when(s.isin(2, 3), own).when(s == 5, "orders").alias("table_"),
-        F.lit("DDL").alias("op_type"), sql.alias("ddl_sql"), kind.alias("ddl_type"))
+        F.lit("DDL").alias("op_type"), sql.alias("ddl_sql"), kind.alias("ddl_type")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +52,14 @@ CHANGE_SCHEMA = T.StructType([
 ORDER = ("scn", "tx_seq", "seq", "lsn", "dn")
 
 
+def conform(log: DataFrame) -> DataFrame:
+    """Exactly the envelope's columns and types, absent ones as NULL."""
+    present = set(log.columns)
+    return log.selectExpr(*[
+        f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in CHANGE_SCHEMA.fields])
+
+
 def commit_order() -> list[Column]:
     """Columns that put records in commit order. DDL has no source node and sorts first."""
     return [F.col(c) for c in ORDER[:4]] + [F.coalesce(F.col("dn"), F.lit(-1).cast("short"))]

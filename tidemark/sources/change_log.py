@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.scans import numbered
-from tidemark.schema import CHANGE_SCHEMA, commit_order, is_ddl
+from tidemark.schema import CHANGE_SCHEMA, commit_order, conform, is_ddl
 from tidemark.session import shuffle_width
 
 TAKE_LIMIT = 10_000
@@ -22,12 +22,8 @@ def read_change_log(spark: SparkSession, paths: str | Sequence[str], fmt: str =
 
 
 def write_change_log(log: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
-    """Append records to a change log, missing envelope columns as NULL."""
-    present = set(log.columns)
-    log.select(*[
-        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in CHANGE_SCHEMA.fields
-    ]).write.format(fmt).mode(mode).save(path)
+    """Append records to a change log."""
+    conform(log).write.format(fmt).mode(mode).save(path)
 
 
 def union_logs(*logs: DataFrame) -> DataFrame:
