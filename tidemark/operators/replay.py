@@ -81,23 +81,45 @@ def value_columns(changes: DataFrame, key: Sequence[str]) -> list[str]:
     return [c for c in changes.columns if c not in key and c not in CHANGE_ORDER and c != "op"]
 
 
+def key_states(changes: DataFrame, key: Sequence[str]) -> DataFrame:
+    """What is known of each key: its last reset (insert or delete) and, per column, the last value stated and where.
+
+    States of disjoint or overlapping parts of a log can be put together with ``merge_states`` in any order.
+    """
+    place = F.struct(*CHANGE_ORDER)
+    return changes.groupBy(*key).agg(
+        F.max(F.when(F.col("op").isin("I", "D"), F.struct(place.alias("at"), "op"))).alias("reset"),
+        F.max(place).alias("last"),
+        F.count(F.lit(1)).alias("n_changes"),
+        *[F.max_by(F.struct(place.alias("at"), F.col(c).alias("s")), F.when(F.col(c).isNotNull(), place)).alias(c)
+          for c in value_columns(changes, key)],
+    )
+
+
+def _state_columns(states: DataFrame, key: Sequence[str]) -> list[str]:
+    return [c for c in states.columns if c not in key and c not in ("reset", "last", "n_changes")]
+
+
+def merge_states(states: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One state per key out of several: the latest of each part wins."""
+    return states.groupBy(*key).agg(
+        F.max("reset").alias("reset"), F.max("last").alias("last"), F.sum("n_changes").alias("n_changes"),
+        *[F.max_by(c, F.col(f"{c}.at")).alias(c) for c in _state_columns(states, key)])
+
+
+def settle(states: DataFrame, key: Sequence[str]) -> DataFrame:
+    """States to net changes: values stated before the last reset no longer count."""
+    op = F.coalesce(F.col("reset.op"), F.lit("U"))
+    fresh = {c: F.when(F.col("reset").isNull() | (F.col(f"{c}.at") >= F.col("reset.at")), F.col(f"{c}.s"))
+             for c in _state_columns(states, key)}
+    return states.select(*key, op.alias("op"), "n_changes", F.col("last.tx_seq").alias("last_tx"),
+                         *[F.when(op != "D", value).alias(c) for c, value in fresh.items()])
+
+
 def net_changes(changes: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per key: net ``op`` (I, U or D), number of changes, and per column the struct of its last value
     (NULL when the net change does not touch it)."""
-    columns = value_columns(changes, key)
-    reset = F.when(F.col("op").isin("I", "D"), F.struct(_place().alias("at"), "op"))
-    grouped = changes.groupBy(*key).agg(
-        F.max(reset).alias("_reset"),
-        F.count(F.lit(1)).alias("n_changes"),
-        F.max(_place()).alias("_last"),
-        *[F.max_by(F.struct(_place().alias("at"), F.col(c).alias("s")), F.when(F.col(c).isNotNull(), _place())).alias(c)
-          for c in columns],
-    )
-    op = F.coalesce(F.col("_reset.op"), F.lit("U"))
-    fresh = {c: F.when(F.col("_reset").isNull() | (F.col(f"{c}.at") >= F.col("_reset.at")), F.col(f"{c}.s"))
-             for c in columns}
-    return grouped.select(*key, op.alias("op"), "n_changes", F.col("_last.tx_seq").alias("last_tx"),
-                          *[F.when(op != "D", fresh[c]).alias(c) for c in columns])
+    return settle(key_states(changes, key), key)
 
 
 def apply_net(base: DataFrame, net: DataFrame, key: Sequence[str]) -> DataFrame:
