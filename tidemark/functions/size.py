@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions import numeric, types
-from tidemark.functions.text import decode_bytes
+from tidemark.functions.text import decoded_length
 
 # Fixed values
 HEADER_BYTES = 19
@@ -39,15 +39,19 @@ def _bytes_of(c: Column) -> Column:
     return F.coalesce(F.octet_length(c), F.lit(0))
 
 
-def field_widths(fields: Column) -> Column:
-    """Storage bytes per column, in schema order; for strings the bytes of the length prefix."""
-    return F.transform(fields, lambda f: F.coalesce(types.storage_bytes(
-        f["meta"]["data_type"], f["meta"]["length"], f["meta"]["precision"]), F.lit(0)))
+def field_traits(fields: Column) -> Column:
+    """``type_traits`` of each column, in schema order."""
+    return F.transform(fields["meta"]["data_type"], types.type_traits)
+
 
+def field_widths(fields: Column, traits: Column) -> Column:
+    """Storage bytes per column, in schema order; for strings the bytes of the length prefix."""
+    def width(f: Column, i: Column) -> Column:
+        fixed = F.get(traits, i)["width"]
+        by_length = types.storage_bytes(f["meta"]["data_type"], f["meta"]["length"], f["meta"]["precision"])
+        return F.when(fixed >= 0, fixed).otherwise(F.coalesce(by_length, F.lit(0)))
 
-def field_prefixed(fields: Column) -> Column:
-    """Per column, whether its values carry bytes after their width."""
-    return F.transform(fields, lambda f: types.is_prefixed(f["meta"]["data_type"]))
+    return F.transform(fields, width)
 
 
 def _latest_only(image: Column) -> Column:
@@ -66,7 +70,7 @@ def image_bytes(image: Column, names: Column, widths: Column, prefixed: Column)
 
     def value_bytes(e: Column) -> Column:
         at = F.array_position(names, e["key"]).cast("int")
-        payload = F.when((e["tag"] == "STRING") & F.element_at(prefixed, at), _bytes_of(decode_bytes(e["string_val"])))
+        payload = F.when((e["tag"] == "STRING") & F.element_at(prefixed, at), decoded_length(e["string_val"]))
         return F.when(e["tag"] != "NONE", F.element_at(widths, at) + F.coalesce(payload, F.lit(0))).otherwise(0)
 
     values = F.aggregate(kept, F.lit(0), lambda total, e: total + value_bytes(e))
@@ -86,9 +90,9 @@ def ddl_query_bytes(db: Column, sql: Column) -> Column:
     return F.lit(DDL_QUERY_BYTES) + status + _bytes_of(db) + _bytes_of(sql)
 
 
-def table_map_bytes(db: Column, table: Column, fields: Column) -> Column:
-    columns = F.size(fields)
-    metadata = F.aggregate(fields, F.lit(0), lambda total, f: total + types.metadata_size(f["meta"]["data_type"]))
+def table_map_bytes(db: Column, table: Column, traits: Column) -> Column:
+    columns = F.size(traits)
+    metadata = F.aggregate(traits["metadata"], F.lit(0), lambda total, m: total + F.coalesce(m, F.lit(0)))
     names = F.lit(0)
     for name in (db, table):
         names = names + length_of_length(_bytes_of(name)) + _bytes_of(name) + 1

@@ -123,6 +123,19 @@ def storage_bytes(declared: Column, length: Column, precision: Column) -> Column
     )
 
 
+def type_traits(declared: Column) -> Column:
+    """struct(width, prefixed, metadata): storage bytes (negative where they depend on the length), whether bytes
+    follow the width, and the number of metadata bytes; by one lookup."""
+    widths = {**FIXED_WIDTHS, **BLOB_LENGTH_BYTES, **_BY_LENGTH}
+    prefixed = {"CHAR", "BINARY", "VARCHAR", *BLOB_LENGTH_BYTES}
+    two = {"DECIMAL", "CHAR", "BINARY", "VARCHAR", "ENUM", "SET", "BIT"}
+    one = {"FLOAT", "DOUBLE", *BLOB_LENGTH_BYTES}
+    entries = ", ".join(
+        f"'{t}', named_struct('width', {w}, 'prefixed', {t in prefixed}, 'metadata', {2 if t in two else 1 if t in one else 0})"
+        for t, w in widths.items())
+    return F.try_element_at(F.expr(f"map({entries})"), declared)
+
+
 def is_prefixed(declared: Column) -> Column:
     """Types whose value is a length prefix and bytes."""
     return declared.isin("CHAR", "BINARY", "VARCHAR", *BLOB_LENGTH_BYTES)

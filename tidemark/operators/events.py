@@ -44,8 +44,7 @@ def explode_events(log: DataFrame) -> DataFrame:
     Only the event ordinal is exploded; what an event holds is a projection of its record, so columns that are
     not read are not built.
     """
-    ordinals = F.when(is_ddl(), F.array(F.lit(1), F.lit(2))).otherwise(F.array(*[F.lit(i) for i in range(1, 6)]))
-    exploded = log.select("*", F.explode(ordinals).alias("event_ord"))
+    exploded = log.select("*", F.explode(event_ordinals()).alias("event_ord"))
     return exploded.withColumn("event_type", _kind(F.col("event_ord"))).withColumn("event_code", _code(F.col("event_type")))
 
 
@@ -116,19 +115,21 @@ def change_events(log: DataFrame) -> DataFrame:
 def event_sizes(log: DataFrame) -> DataFrame:
     """Add ``ends``: the end of each event of a record, in bytes from the start of the record."""
     ddl = is_ddl()
-    described = commit_times(log).withColumns({
-        "_names": F.col("fields")["name"],
-        "_widths": size.field_widths(F.col("fields")),
-        "_prefixed": size.field_prefixed(F.col("fields")),
+    # what the per-value lambda reads is put into columns of its own: a plain field access would be moved into the
+    # lambda and done again for every value
+    described = commit_times(log).withColumn("_traits", size.field_traits(F.col("fields"))).withColumns({
+        "_names": F.transform("fields", lambda f: f["name"]),
+        "_widths": size.field_widths(F.col("fields"), F.col("_traits")),
+        "_prefixed": F.transform("_traits", lambda t: t["prefixed"]),
     })
     parts = described.withColumns({
         "_gtid": size.gtid_bytes(F.col("immediate_us"), F.col("original_us")),
         "_query": F.when(ddl, size.ddl_query_bytes(F.col("db_name"), F.col("ddl_sql"))).otherwise(
             size.begin_bytes(F.col("db_name"))),
-        "_map": F.when(~ddl, size.table_map_bytes(F.col("db_name"), F.col("table_"), F.col("fields"))),
-        "_rows": F.when(~ddl, size.rows_bytes(F.col("keys"), F.col("new_data"), F.col("_names"), F.col("_widths"),
-                                              F.col("_prefixed"))),
-    }).drop("_names", "_widths", "_prefixed")
+        "_map": F.when(~ddl, size.table_map_bytes(F.col("db_name"), F.col("table_"), F.col("_traits"))),
+        "_rows": F.when(~ddl, size.rows_bytes(F.col("keys"), F.col("new_data"), F.col("_names"),
+                                              F.col("_widths"), F.col("_prefixed"))),
+    }).drop("_traits", "_names", "_widths", "_prefixed")
     e1 = F.col("_gtid").cast("long")
     e2 = e1 + F.col("_query")
     e3 = e2 + F.col("_map")
@@ -137,19 +138,34 @@ def event_sizes(log: DataFrame) -> DataFrame:
     return parts.withColumn("ends", ends).drop("_gtid", "_query", "_map", "_rows")
 
 
+def event_ordinals() -> Column:
+    """The ordinals of a record's events, as an array to explode."""
+    return F.when(is_ddl(), F.array(F.lit(1), F.lit(2))).otherwise(F.array(*[F.lit(i) for i in range(1, 6)]))
+
+
 def _event_columns(base: Column | None = None) -> list[Column]:
-    at, end = F.col("_at"), F.col("_end")
-    start = F.when(at == 0, F.lit(0).cast("long")).otherwise(F.try_element_at("ends", at))
-    columns = [(at + 1).alias("event_ord"), (end - start).alias("event_len")]
+    """Length (and end, counted from ``base``) of event ``event_ord`` of a record with the event ends ``ends``."""
+    at = F.col("event_ord")
+    end = F.element_at("ends", at)
+    start = F.when(at == 1, F.lit(0).cast("long")).otherwise(F.try_element_at("ends", at - 1))
+    columns = [at, (end - start).alias("event_len")]
     if base is not None:
         columns.append((base + end).alias("end_pos"))
     return columns
 
 
+def explode_ends() -> Column:
+    """``event_ord`` for each entry of ``ends``.
+
+    Exploding the column itself would make the optimizer filter on its size, that is, compute it twice.
+    """
+    return F.explode(F.sequence(F.lit(1), F.size("ends"))).alias("event_ord")
+
+
 def sized_events(log: DataFrame, keep: Sequence[str] = ORDER) -> DataFrame:
     """One row per event with its length."""
-    sized = event_sizes(log).select(*keep, "ends")
-    return sized.select(*keep, "ends", F.posexplode("ends").alias("_at", "_end")).select(*keep, *_event_columns())
+    exploded = event_sizes(log).select(*keep, "ends", explode_ends())
+    return exploded.select(*keep, *_event_columns())
 
 
 def transaction_bytes(log: DataFrame) -> DataFrame:
@@ -162,7 +178,8 @@ def record_positions(log: DataFrame, keep: Sequence[str] = (), partitions: int |
     """``start_pos`` of each record in the whole log and the ``ends`` of its events."""
     columns = list(dict.fromkeys([*ORDER, *keep]))
     sized = event_sizes(log).select(*columns, "ends")
-    placed = running_total(sized, commit_order(), {"_through": F.element_at("ends", -1)}, partitions)
+    placed = running_total(sized, commit_order(), {"_through": F.element_at("ends", -1)}, partitions,
+                           costly=True)
     return placed.select(*columns, "ends", (F.col("_through") - F.element_at("ends", -1)).alias("start_pos"))
 
 
@@ -173,8 +190,7 @@ def log_positions(log: DataFrame, keep: Sequence[str] = (), partitions: int | No
     """
     columns = list(dict.fromkeys([*ORDER, *keep]))
     placed = record_positions(log, keep, partitions)
-    return placed.select(*columns, "ends", "start_pos", F.posexplode("ends").alias("_at", "_end")).select(
-        *columns, *_event_columns(F.col("start_pos")))
+    return placed.select(*columns, "ends", "start_pos", explode_ends()).select(*columns, *_event_columns(F.col("start_pos")))
 
 
 def event_headers(log: DataFrame, partitions: int | None = None) -> DataFrame:

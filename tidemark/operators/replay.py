@@ -39,42 +39,46 @@ def row_changes(log: DataFrame, fields: Sequence[Field], key: Sequence[str]) ->
     An update that moves the key and states the whole row becomes a delete and an insert. One that moves the key
     without the whole row is left to ``partial_moves``.
     """
-    sides = {f"_b_{f.name}": ("keys", f) for f in fields if f.name in key}
-    sides |= {f"_a_{f.name}": ("new_data", f) for f in fields}
-    found = log.filter(F.col("op_type").isin("I", "U", "D")).select(
+    found = _stated_sides(log, fields, key)
+    kept = found.filter(~_partial_move(fields, key)).withColumn("_split", (F.col("op_type") == "U") & _moved(fields, key))
+    typed = kept.select(
+        *ORDER, "op_type", "_split",
+        *[typed_value(F.col(f"_b_{f.name}"), f).alias(f"_b_{f.name}") for f in fields if f.name in key],
+        *[(typed_value if f.name in key else stated_value)(F.col(f"_a_{f.name}"), f).alias(f"_a_{f.name}") for f in fields])
+    rows = typed.select("*", F.explode(F.when(F.col("_split"), F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0)))).alias("sub"))
+    op = F.when(F.col("_split"), F.when(F.col("sub") == 0, "D").otherwise("I")).otherwise(F.col("op_type"))
+    from_after = (F.col("op_type") == "I") | (F.col("sub") == 1)
+    return rows.select(
+        *[F.when(from_after, F.col(f"_a_{k}")).otherwise(F.col(f"_b_{k}")).alias(k) for k in key],
+        op.alias("op"), *CHANGE_ORDER,
+        *[F.when(~(F.col("_split") & (F.col("sub") == 0)), F.col(f"_a_{f.name}")).alias(f.name)
+          for f in fields if f.name not in key])
+
+
+def _stated_sides(log: DataFrame, fields: Sequence[Field], key: Sequence[str]) -> DataFrame:
+    """Key columns before (``_b_``) and all columns after (``_a_``) a row change, as stated."""
+    return log.filter(F.col("op_type").isin("I", "U", "D")).select(
         *commit_order()[:4], commit_order()[4].alias("dn"), "op_type",
-        *[stated(F.col(image), f.name).alias(name) for name, (image, f) in sides.items()])
-    flat = found.select(
-        *ORDER, "op_type",
-        *[stated_value(F.col(name), f).alias(name) for name, (_, f) in sides.items()])
-    moved = (F.col("op_type") == "U") & reduce(
-        lambda a, b: a | b, [F.col(f"_a_{k}.v").isNotNull() & ~F.col(f"_a_{k}.v").eqNullSafe(F.col(f"_b_{k}.v")) for k in key])
+        *[stated(F.col("keys"), f.name).alias(f"_b_{f.name}") for f in fields if f.name in key],
+        *[stated(F.col("new_data"), f.name).alias(f"_a_{f.name}") for f in fields])
+
+
+def _moved(fields: Sequence[Field], key: Sequence[str]) -> Column:
+    """Whether an update states a key other than the one it finds its row by."""
+    return reduce(lambda a, b: a | b, [
+        F.col(f"_a_{f.name}").isNotNull() & ~typed_value(F.col(f"_a_{f.name}"), f).eqNullSafe(
+            typed_value(F.col(f"_b_{f.name}"), f)) for f in fields if f.name in key])
+
+
+def _partial_move(fields: Sequence[Field], key: Sequence[str]) -> Column:
     whole = reduce(lambda a, b: a & b, [F.col(f"_a_{f.name}").isNotNull() for f in fields])
-    split = flat.withColumn("_moved", moved).withColumn("_whole", whole).select(
-        "*", F.explode(F.when(F.col("_moved") & F.col("_whole"), F.array(F.lit(0), F.lit(1))).otherwise(
-            F.array(F.lit(0)))).alias("sub"))
-    moved_whole = F.col("_moved") & F.col("_whole")
-    op = F.when(moved_whole, F.when(F.col("sub") == 0, "D").otherwise("I")).otherwise(F.col("op_type"))
-    from_after = (F.col("op_type") == "I") | (moved_whole & (F.col("sub") == 1))
-    return split.select(
-        *[F.when(from_after, F.col(f"_a_{k}.v")).otherwise(F.col(f"_b_{k}.v")).alias(k) for k in key],
-        op.alias("op"), *CHANGE_ORDER,
-        *[F.when(op != "D", F.col(f"_a_{f.name}")).alias(f.name) for f in fields if f.name not in key],
-        (F.col("_moved") & ~F.col("_whole")).alias("_partial_move"),
-    ).filter(~F.col("_partial_move")).drop("_partial_move")
+    return (F.col("op_type") == "U") & _moved(fields, key) & ~whole
 
 
 def partial_moves(log: DataFrame, fields: Sequence[Field], key: Sequence[str]) -> DataFrame:
     """Updates that change the key without stating the whole row; they cannot be applied."""
-    updates = log.filter(F.col("op_type") == "U").select(
-        "*", *[stated(F.col("keys"), k).alias(f"_b_{k}") for k in key], *[stated(F.col("new_data"), k).alias(f"_a_{k}") for k in key])
-    by_name = {f.name: f for f in fields}
-    moved = reduce(lambda a, b: a | b, [
-        F.col(f"_a_{k}").isNotNull() & ~typed_value(F.col(f"_a_{k}"), by_name[k]).eqNullSafe(
-            typed_value(F.col(f"_b_{k}"), by_name[k])) for k in key])
-    names = F.col("new_data")["key"]
-    whole = F.size(F.array_except(F.array(*[F.lit(f.name) for f in fields]), names)) == 0
-    return updates.filter(moved & ~whole).drop(*[f"_{side}_{k}" for k in key for side in "ab"])
+    return _stated_sides(log, fields, key).filter(_partial_move(fields, key)).select(*ORDER)
 
 
 def value_columns(changes: DataFrame, key: Sequence[str]) -> list[str]:
@@ -91,7 +95,7 @@ def key_states(changes: DataFrame, key: Sequence[str]) -> DataFrame:
         F.max(F.when(F.col("op").isin("I", "D"), F.struct(place.alias("at"), "op"))).alias("reset"),
         F.max(place).alias("last"),
         F.count(F.lit(1)).alias("n_changes"),
-        *[F.max_by(F.struct(place.alias("at"), F.col(c).alias("s")), F.when(F.col(c).isNotNull(), place)).alias(c)
+        *[F.max(F.when(F.col(c).isNotNull(), F.struct(place.alias("at"), F.col(c).alias("s")))).alias(c)
           for c in value_columns(changes, key)],
     )
 
@@ -104,7 +108,7 @@ def merge_states(states: DataFrame, key: Sequence[str]) -> DataFrame:
     """One state per key out of several: the latest of each part wins."""
     return states.groupBy(*key).agg(
         F.max("reset").alias("reset"), F.max("last").alias("last"), F.sum("n_changes").alias("n_changes"),
-        *[F.max_by(c, F.col(f"{c}.at")).alias(c) for c in _state_columns(states, key)])
+        *[F.max(c).alias(c) for c in _state_columns(states, key)])
 
 
 def settle(states: DataFrame, key: Sequence[str]) -> DataFrame:

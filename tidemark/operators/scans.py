@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from tidemark.session import durable, shuffle_width
 
@@ -24,14 +25,23 @@ _TRACKED = 10_000
 _REPORTED = 1_000
 
 
-def range_parts(df: DataFrame, order: Sequence[Column], partitions: int | None = None) -> DataFrame:
-    """Sorted ranges of ``df`` by ``order``, numbered in ``_part`` and fixed by a checkpoint."""
+def range_parts(df: DataFrame, order: Sequence[Column], partitions: int | None = None, costly: bool = False) -> DataFrame:
+    """Sorted ranges of ``df`` by ``order``, numbered in ``_part`` and fixed by a checkpoint.
+
+    Range partitioning reads its input twice, to sample it and to shuffle it. ``costly`` keeps rows that are
+    expensive to compute on the executors meanwhile.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK) if costly else df
     ranged = (
-        df.repartitionByRange(shuffle_width(df, partitions), *order)
+        kept.repartitionByRange(shuffle_width(df, partitions), *order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
     )
-    return durable(ranged)
+    try:
+        return durable(ranged)
+    finally:
+        if costly:
+            kept.unpersist()
 
 
 def running_total(
@@ -39,6 +49,7 @@ def running_total(
     order: Sequence[Column],
     totals: Mapping[str, Column],
     partitions: int | None = None,
+    costly: bool = False,
 ) -> DataFrame:
     """Add inclusive running sums of bigint expressions over the total ``order``.
 
@@ -47,7 +58,7 @@ def running_total(
     """
     names = list(totals)
     weighted = df.withColumns({n: F.coalesce(e.cast("long"), F.lit(0).cast("long")) for n, e in totals.items()})
-    ranged = range_parts(weighted, order, partitions)
+    ranged = range_parts(weighted, order, partitions, costly)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         ranged.groupBy("_part")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.numeric import whole_div
 from tidemark.functions import ids, size
-from tidemark.operators.events import _event_columns, event_sizes, log_positions
+from tidemark.operators.events import _event_columns, event_sizes, explode_ends, log_positions
 from tidemark.operators.scans import numbered, range_parts
 from tidemark.schema import ORDER, commit_order
 
@@ -89,10 +89,9 @@ def greedy_segments(
     if unit not in ("event", "txn"):
         raise ValueError("unit is 'event' or 'txn'")
     columns = list(dict.fromkeys([*ORDER, *keep]))
-    ranged = range_parts(event_sizes(log).select(*columns, "ends"), commit_order(), partitions)
+    ranged = range_parts(event_sizes(log).select(*columns, "ends"), commit_order(), partitions, costly=True)
     if unit == "event":
-        rows = ranged.select(*columns, "_part", "ends", F.posexplode("ends").alias("_at", "_end")).select(
-            *columns, "_part", *_event_columns())
+        rows = ranged.select(*columns, "_part", "ends", explode_ends()).select(*columns, "_part", *_event_columns())
         weight = "event_len"
     else:
         rows = ranged.withColumn("record_len", F.element_at("ends", -1))
@@ -181,10 +180,9 @@ def greedy_segments(
     placed = entered.mapInArrow(cut, schema)
     if unit == "event":
         return placed
-    opening = F.col("segment_pos") - F.col("record_len")
     return placed.select(
-        *columns, "ends", "segment_no", opening.alias("_open"), F.posexplode("ends").alias("_at", "_end")).select(
-        *columns, *_event_columns(), "segment_no", (F.col("_open") + F.col("_end")).alias("segment_pos"))
+        *columns, "ends", "segment_no", (F.col("segment_pos") - F.col("record_len")).alias("_open"), explode_ends()).select(
+        *columns, *_event_columns(), "segment_no", (F.col("_open") + F.element_at("ends", F.col("event_ord"))).alias("segment_pos"))
 
 
 def segments_of(events: DataFrame, order: Column | None = None) -> DataFrame:

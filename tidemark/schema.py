@@ -54,10 +54,15 @@ ORDER = ("scn", "tx_seq", "seq", "lsn", "dn")
 
 def conform(log: DataFrame) -> DataFrame:
     """Exactly the envelope's columns and types, absent ones as NULL."""
-    present = set(log.columns)
-    return log.selectExpr(*[
-        f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
-        for f in CHANGE_SCHEMA.fields])
+    given = {f.name: f.dataType.simpleString() for f in log.schema.fields}
+
+    def column(name: str, kind: str) -> str:
+        if name not in given:
+            return f"CAST(NULL AS {kind}) AS {name}"
+        # nested columns are not rebuilt just to change whether parts may be NULL
+        return name if given[name] == kind else f"CAST({name} AS {kind}) AS {name}"
+
+    return log.selectExpr(*[column(f.name, f.dataType.simpleString()) for f in CHANGE_SCHEMA.fields])
 
 
 def commit_order() -> list[Column]:
