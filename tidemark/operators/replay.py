@@ -150,10 +150,14 @@ def replay(base: DataFrame, log: DataFrame, fields: Sequence[Field], key: Sequen
 def since_last_drop(log: DataFrame, db: str, table: str) -> DataFrame:
     """Row changes of a table after its last ``DROP TABLE`` or ``CREATE TABLE``; both leave it empty."""
     own = log.filter((F.col("db_name") == db) & (F.col("table_") == table))
-    cut = own.filter(is_ddl() & F.col("ddl_type").isin("CREATE TABLE", "DROP TABLE")).agg(F.max(commit_key()).alias("_cut"))
-    # one row
-    return own.filter(~is_ddl()).join(F.broadcast(cut)).filter(
-        F.col("_cut").isNull() | (commit_key() > F.col("_cut"))).drop("_cut")
+    emptied = own.filter(is_ddl() & F.col("ddl_type").isin("CREATE TABLE", "DROP TABLE"))
+    cut = emptied.agg(F.max(commit_key()).alias("at")).first()["at"]
+    rows = own.filter(~is_ddl())
+    if cut is None:
+        return rows
+    kinds = dict(own.dtypes)
+    place = F.struct(*[F.lit(cut[c]).cast(kinds[c]).alias(c) for c in ORDER])
+    return rows.filter((F.col("scn") >= cut["scn"]) & (commit_key() > place))
 
 
 def _changed_keys(changes: DataFrame, key: Sequence[str]) -> DataFrame:

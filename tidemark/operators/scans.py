@@ -21,8 +21,19 @@ from tidemark.session import durable, shuffle_width
 HOT_ROWS = 1_000_000
 """Rows of one key beyond which the key is split over several tasks."""
 
-_TRACKED = 10_000
+RANGE_ROWS = 10_000_000
+"""Rows a range of a sorted log should not exceed by much."""
+
+_GROUPS = 64
 _REPORTED = 1_000
+_TRACKED = 10_000
+
+
+def _range_count(df: DataFrame, partitions: int | None) -> int:
+    """As many ranges as the session shuffles into, or more where they would get too long."""
+    if partitions is not None:
+        return partitions
+    return max(shuffle_width(df), -(-df.count() // RANGE_ROWS))
 
 
 def range_parts(df: DataFrame, order: Sequence[Column], partitions: int | None = None, costly: bool = False) -> DataFrame:
@@ -33,7 +44,7 @@ def range_parts(df: DataFrame, order: Sequence[Column], partitions: int | None =
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK) if costly else df
     ranged = (
-        kept.repartitionByRange(shuffle_width(df, partitions), *order)
+        kept.repartitionByRange(_range_count(kept, partitions), *order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
     )
@@ -95,12 +106,18 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "pos", partitio
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> list[int]:
-    """Hashes of the keys with at least ``hot_rows`` rows, by a fixed-size sketch (at most 1,000 come back)."""
+    """Hashes of the keys with about ``hot_rows`` rows or more.
+
+    Heavy hitters are tracked in sketches of fixed size, one per group of hashes, so what is shuffled and what
+    comes back (at most 64,000 numbers) do not grow with the rows.
+    """
     if hot_rows <= 0:
         raise ValueError("hot_rows must be positive")
-    sketch = df.select(
-        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {_REPORTED}, {_TRACKED})").alias("top"))
-    return [row["item"] for row in sketch.first()["top"] if row["count"] >= hot_rows]
+    hashed = df.select(F.xxhash64(*keys).alias("h"))
+    tops = hashed.groupBy(F.pmod("h", F.lit(_GROUPS)).alias("g")).agg(
+        F.expr(f"approx_top_k(h, {_REPORTED}, {_TRACKED})").alias("top"))
+    hot = tops.select(F.explode("top").alias("t")).filter(F.col("t.count") >= hot_rows).select("t.item")
+    return [row[0] for row in hot.collect()]
 
 
 def carry_forward(

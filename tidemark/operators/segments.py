@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -143,7 +144,7 @@ def greedy_segments(
                 "_entry_part": pa.array(parts, pa.int32()), "_entry_pos": pa.array(positions, pa.int64()),
                 "_entry_segment": pa.array(segments, pa.int64())})
 
-    entries = table.coalesce(1).sortWithinPartitions("_part", "low").mapInArrow(
+    entries = table.repartition(1).sortWithinPartitions("_part", "low").mapInArrow(
         resolve, "_entry_part int, _entry_pos long, _entry_segment long")
     kept = [c for c in rows.columns if c != "_part"]
     # one row per partition
@@ -233,7 +234,10 @@ def segment_files(spark: SparkSession, path: str) -> DataFrame:
 def segment_status(names: DataFrame, segments: DataFrame, prefix: str = ids.SEGMENT_PREFIX) -> DataFrame:
     """Where each named segment stopped, or why that is not known."""
     asked = names.select("name", ids.segment_number(F.col("name"), prefix).alias("segment_no"))
-    found = asked.join(segments.select("segment_no", "check_point", F.lit(True).alias("_known")), "segment_no", "left")
+    known = segments.select("segment_no", "check_point", F.lit(True).alias("_known"))
+    # bad names have no number to join on and would all meet in one task
+    found = asked.filter(F.col("segment_no").isNotNull()).join(known, "segment_no", "left").unionByName(
+        asked.filter(F.col("segment_no").isNull()), allowMissingColumns=True)
     parsed = found.withColumn("_c", ids.parse_checkpoint(F.col("check_point")))
     status = (F.when(F.col("segment_no").isNull(), BAD_NAME).when(F.col("_known").isNull(), NOT_FOUND)
               .when(F.col("_c").isNull(), BAD_CHECKPOINT).otherwise(OK))
@@ -252,14 +256,12 @@ def resume_point(events: DataFrame) -> DataFrame:
 
 def retention(segments: DataFrame, share: float = RETENTION_SHARE, before: Column | None = None) -> DataFrame:
     """Add ``keep``: false for the oldest ``share`` of the segments (of those for which ``before`` holds)."""
-    placed = numbered(segments, [F.col("segment_no")])
-    count = segments.agg(F.count(F.lit(1)).alias("_n"))
-    # one row
-    counted = placed.join(F.broadcast(count))
-    drop = F.col("pos") <= F.floor(F.col("_n") * share)
+    oldest = math.floor(segments.count() * share)
+    drop = F.col("pos") <= oldest
     if before is not None:
         drop = drop & before
-    return counted.withColumn("keep", ~F.coalesce(drop, F.lit(False))).drop("pos", "_n")
+    placed = numbered(segments, [F.col("segment_no")])
+    return placed.withColumn("keep", ~F.coalesce(drop, F.lit(False))).drop("pos")
 
 
 def write_segments(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
