@@ -22,6 +22,7 @@ _TIME_FORMS = [
     (r"^\s*(-?)(\d*?)(\d{0,2}?)(\d{1,2})(?:\.(\d{0,6})[^,]*|[^\d,][^,]*)?$", "$1,0,$2,$3,$4,$5"),
     (r"^[^,]*$", ""),
 ]
+_PLAIN_STAMP = r"^\d{4}-\d{2}-\d{2}(?: \d{2}:\d{2}:\d{2}(?:\.\d{1,6})?)?$"   # nothing to rewrite
 # date-time text, each rewritten to "year-month-day hour:minute:second.fraction"
 _STAMP = "$1-$2-$3 $4:$5:$6.$7"
 _STAMP_FORMS = [
@@ -106,7 +107,8 @@ def parse_datetime(text: Column) -> Column:
     Parts may be split by any punctuation, white space or ``T``, or be run together as ``YYMMDD[HHMMSS]`` or
     ``YYYYMMDD[[T]HHMMSS]``. Two-digit years below 70 are 20xx, others 19xx. NULL for impossible dates.
     """
-    return _rewrite(text, _STAMP_FORMS).try_cast("timestamp_ntz")
+    return F.when(text.rlike(_PLAIN_STAMP), text.try_cast("timestamp_ntz")).otherwise(
+        _rewrite(text, _STAMP_FORMS).try_cast("timestamp_ntz"))
 
 
 def zone_offset_seconds(text: Column) -> Column:

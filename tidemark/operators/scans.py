@@ -24,16 +24,21 @@ HOT_ROWS = 1_000_000
 RANGE_ROWS = 10_000_000
 """Rows a range of a sorted log should not exceed by much."""
 
+SHORT_RANGE_ROWS = 20_000
+"""Rows below which a range is not worth a task of its own."""
+
 _GROUPS = 64
 _REPORTED = 1_000
 _TRACKED = 10_000
 
 
 def _range_count(df: DataFrame, partitions: int | None) -> int:
-    """As many ranges as the session shuffles into, or more where they would get too long."""
+    """As many ranges as the session shuffles into, more where they would get too long, fewer for a short log."""
     if partitions is not None:
         return partitions
-    return max(shuffle_width(df), -(-df.count() // RANGE_ROWS))
+    rows = df.count()
+    useful = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // SHORT_RANGE_ROWS))
+    return max(min(shuffle_width(df), useful), -(-rows // RANGE_ROWS))
 
 
 def range_parts(df: DataFrame, order: Sequence[Column], partitions: int | None = None, costly: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from tidemark.operators import lineage, replay, stats
 from tidemark.plans import logs_sql as sql
 from tidemark.plans.derive import EVENT_FIELDS, ORDER_FIELDS, events_log, orders_log, table
 from tidemark.plans.records import orders_and_ddl, whole_log
-from tidemark.plans.registry import query
+from tidemark.plans.registry import ORACLE, query
 
 ORDER_KEY = ["o_orderkey"]
 USER_KEY = ["user_id"]
@@ -108,7 +108,12 @@ def replay_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("replay_conflicts_events", f"WITH {sql.E_LOG} {_CONFLICTS_SQL.format(key='user_id', log='e_log')}")
 def replay_conflicts_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # a low limit so that busy users take the split path here
+    return replay.replay_conflicts(user_changes(spark, sf_dir), USER_KEY).select("user_id", "tx_seq", "op", "reason")
+
+
+@query("replay_conflicts_split", ORACLE["replay_conflicts_events"])
+def replay_conflicts_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a low limit for busy keys, so that users take the split path."""
     return replay.replay_conflicts(user_changes(spark, sf_dir), USER_KEY, hot_rows=60).select(
         "user_id", "tx_seq", "op", "reason")
 
@@ -155,7 +160,12 @@ p AS (SELECT user_id, tx_seq, op, lag(state) OVER w AS was, lag(value) OVER w AS
   FROM h WINDOW w AS (PARTITION BY user_id ORDER BY tx_seq))
 SELECT user_id, tx_seq, op, value, props FROM p WHERE op <> 'I' AND was = 'I'""")
 def before_image(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # a low limit so that busy users take the split path here
+    return replay.before_images(user_changes(spark, sf_dir), USER_KEY).select("user_id", "tx_seq", "op", "value", "props")
+
+
+@query("before_image_split", ORACLE["before_image"])
+def before_image_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a low limit for busy keys, so that users take the split path."""
     return replay.before_images(user_changes(spark, sf_dir), USER_KEY, hot_rows=60).select(
         "user_id", "tx_seq", "op", "value", "props")
 
@@ -189,7 +199,12 @@ def schema_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {sql.O_LOG}, p AS (SELECT dn, tx_seq, last_commit, lag(tx_seq) OVER (PARTITION BY dn ORDER BY {sql.ORDERED}) AS prev_tx_seq FROM o_log)
 SELECT dn, tx_seq, prev_tx_seq, last_commit - prev_tx_seq AS gap FROM p""")
 def commit_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # a low limit: there are four sources, so each is cut into ranges as it would be at scale
+    return lineage.commit_gaps(orders_log(spark, sf_dir)).select("dn", "tx_seq", "prev_tx_seq", "gap")
+
+
+@query("commit_gaps_split", ORACLE["commit_gaps"])
+def commit_gaps_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a low limit: each of the four sources is cut into ranges, as it would be at scale."""
     return lineage.commit_gaps(orders_log(spark, sf_dir), hot_rows=1000).select("dn", "tx_seq", "prev_tx_seq", "gap")
 
 
