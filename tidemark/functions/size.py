@@ -46,12 +46,8 @@ def field_traits(fields: Column) -> Column:
 
 def field_widths(fields: Column, traits: Column) -> Column:
     """Storage bytes per column, in schema order; for strings the bytes of the length prefix."""
-    def width(f: Column, i: Column) -> Column:
-        fixed = F.get(traits, i)["width"]
-        by_length = types.storage_bytes(f["meta"]["data_type"], f["meta"]["length"], f["meta"]["precision"])
-        return F.when(fixed >= 0, fixed).otherwise(F.coalesce(by_length, F.lit(0)))
-
-    return F.transform(fields, width)
+    return F.transform(fields, lambda f, i: F.coalesce(
+        types.width_for(F.get(traits, i)["width"], f["meta"]["length"], f["meta"]["precision"]), F.lit(0)))
 
 
 def _latest_only(image: Column) -> Column:

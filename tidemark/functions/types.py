@@ -109,20 +109,24 @@ def set_bytes(labels: Column) -> Column:
 _BY_LENGTH = {"CHAR": -1, "BINARY": -1, "VARCHAR": -2, "DECIMAL": -3, "ENUM": -4, "SET": -5, "BIT": -6}
 
 
-def storage_bytes(declared: Column, length: Column, precision: Column) -> Column:
-    """Bytes a value takes; for strings the length prefix only."""
-    width = _lookup(declared, {**FIXED_WIDTHS, **BLOB_LENGTH_BYTES, **_BY_LENGTH})
+def width_for(width: Column, length: Column, precision: Column) -> Column:
+    """Storage bytes from an entry of the width table: the entry itself, or what the column's length makes of it."""
     return (
         F.when(width >= 0, width)
-        .when(declared == "VARCHAR", F.when(length < 255, 1).otherwise(2))
-        .when(declared.isin("CHAR", "BINARY"), F.when(length < 256, 1).otherwise(2))
-        .when(declared == "DECIMAL", numeric.decimal_bytes(F.least(length, F.lit(MAX_DECIMAL_DIGITS)), precision))
-        .when(declared == "ENUM", enum_bytes(length))
-        .when(declared == "SET", set_bytes(length))
-        .when(declared == "BIT", numeric.whole_div(length + 7, 8).cast("int"))
+        .when(width == _BY_LENGTH["CHAR"], F.when(length < 256, 1).otherwise(2))
+        .when(width == _BY_LENGTH["VARCHAR"], F.when(length < 255, 1).otherwise(2))
+        .when(width == _BY_LENGTH["DECIMAL"], numeric.decimal_bytes(F.least(length, F.lit(MAX_DECIMAL_DIGITS)), precision))
+        .when(width == _BY_LENGTH["ENUM"], enum_bytes(length))
+        .when(width == _BY_LENGTH["SET"], set_bytes(length))
+        .when(width == _BY_LENGTH["BIT"], numeric.whole_div(length + 7, 8).cast("int"))
     )
 
 
+def storage_bytes(declared: Column, length: Column, precision: Column) -> Column:
+    """Bytes a value takes; for strings the length prefix only."""
+    return width_for(_lookup(declared, {**FIXED_WIDTHS, **BLOB_LENGTH_BYTES, **_BY_LENGTH}), length, precision)
+
+
 def type_traits(declared: Column) -> Column:
     """struct(width, prefixed, metadata): storage bytes (negative where they depend on the length), whether bytes
     follow the width, and the number of metadata bytes; by one lookup."""
