@@ -32,16 +32,17 @@ _REPORTED = 1_000
 _TRACKED = 10_000
 
 
-def _range_count(df: DataFrame, partitions: int | None) -> int:
+def _range_count(df: DataFrame, partitions: int | None, range_rows: int) -> int:
     """As many ranges as the session shuffles into, more where they would get too long, fewer for a short log."""
     if partitions is not None:
         return partitions
     rows = df.count()
     useful = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // SHORT_RANGE_ROWS))
-    return max(min(shuffle_width(df), useful), -(-rows // RANGE_ROWS))
+    return max(min(shuffle_width(df), useful), -(-rows // range_rows))
 
 
-def range_parts(df: DataFrame, order: Sequence[Column], partitions: int | None = None, costly: bool = False) -> DataFrame:
+def range_parts(df: DataFrame, order: Sequence[Column], partitions: int | None = None, costly: bool = False,
+                range_rows: int = RANGE_ROWS) -> DataFrame:
     """Sorted ranges of ``df`` by ``order``, numbered in ``_part`` and fixed by a checkpoint.
 
     Range partitioning reads its input twice, to sample it and to shuffle it. ``costly`` keeps rows that are
@@ -49,7 +50,7 @@ def range_parts(df: DataFrame, order: Sequence[Column], partitions: int | None =
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK) if costly else df
     ranged = (
-        kept.repartitionByRange(_range_count(kept, partitions), *order)
+        kept.repartitionByRange(_range_count(kept, partitions, range_rows), *order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
     )

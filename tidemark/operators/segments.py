@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidemark.functions.numeric import whole_div
 from tidemark.functions import ids, size
 from tidemark.operators.events import _event_columns, event_sizes, explode_ends, log_positions
-from tidemark.operators.scans import numbered, range_parts
+from tidemark.operators.scans import RANGE_ROWS, numbered, range_parts
 from tidemark.schema import ORDER, commit_order
 
 # Fixed values
@@ -90,7 +90,8 @@ def greedy_segments(
     if unit not in ("event", "txn"):
         raise ValueError("unit is 'event' or 'txn'")
     columns = list(dict.fromkeys([*ORDER, *keep]))
-    ranged = range_parts(event_sizes(log).select(*columns, "ends"), commit_order(), partitions, costly=True)
+    # a task holds the lengths of its range, and a record has five events
+    ranged = range_parts(event_sizes(log).select(*columns, "ends"), commit_order(), partitions, True, RANGE_ROWS // 5)
     if unit == "event":
         rows = ranged.select(*columns, "_part", "ends", explode_ends()).select(*columns, "_part", *_event_columns())
         weight = "event_len"

@@ -15,7 +15,8 @@ def build_session(app: str = "tidemark", master: str | None = None, partitions:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # checkpoints are written by this serializer
+        # checkpoints are deleted once nothing refers to them any more, and written by this serializer
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
         # without call sites on every column expression, plans are built several times faster
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
