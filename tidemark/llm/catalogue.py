@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import substrings
+from tidemark.llm import packing, substrings, token_counts, token_store
 from tidemark.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def add(run):
         QUERIES[name] = run
@@ -42,3 +49,21 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "n_words", "n_removed",
         F.when(F.col("n_removed") > 0, F.sha2("kept", 256)).otherwise(F.lower(F.hex("sha"))).alias("kept_sha256"))
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return token_counts.count_tokens(load(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op8_token_output")
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_store.write_tokens(
+        load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), vocabulary=49_408, end_id=1)
+    return token_store.read_digests(manifest)
+
+
+@query("op10_best_fit_packing")
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(load(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))

@@ -27,7 +27,7 @@ from tidemark.llm.tables import staged
 from tidemark.llm.wordhash import each_words, run_hashes
 
 WINDOW, SEED = 50, 16
-_FACTS = "id bigint, n_words bigint, sha binary, anchors array<bigint>, anchor_at array<int>"
+_FACTS = "id string, n_words bigint, sha binary, anchors array<bigint>, anchor_at array<int>"
 _OPENED = "id bigint, sha binary, text string, starts array<int>, hashes array<bigint>"
 _SPANS = "id bigint, sha binary, n_removed bigint, kept string, spans array<struct<begin:int,end:int>>"
 
@@ -128,7 +128,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     none was removed), ``spans`` (removed maximal word ranges) and ``sha`` of the original words.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    facts = staged(docs.mapInPandas(_facts(window, seed), _FACTS), "winnowed")
+    named = docs.withColumn("id", F.col("id").cast("string"))  # pandas has no integers with nulls
+    facts = staged(named.mapInPandas(_facts(window, seed), _FACTS).withColumn("id", F.col("id").cast("bigint")), "winnowed")
     first = facts.filter("id IS NOT NULL").groupBy("sha").agg(F.min("id").alias("first_id"))
     placed = facts.select("id", "sha", "n_words").join(first, "sha", "left")
     copies = placed.filter(F.col("id") > F.col("first_id")).select("id", "sha").distinct()
