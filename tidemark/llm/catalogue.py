@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import packing, substrings, token_counts, token_store
+from tidemark.llm import html_text, packing, substrings, token_counts, token_store
 from tidemark.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op1_html_extraction")
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(load(spark, sf_dir, "pages"))

@@ -27,15 +27,20 @@ from tidemark.llm.tables import staged
 from tidemark.llm.wordhash import each_words, run_hashes
 
 WINDOW, SEED = 50, 16
-_FACTS = "id string, n_words bigint, sha binary, anchors array<bigint>, anchor_at array<int>"
-_OPENED = "id bigint, sha binary, text string, starts array<int>, hashes array<bigint>"
-_SPANS = "id bigint, sha binary, n_removed bigint, kept string, spans array<struct<begin:int,end:int>>"
+_FACTS = "id string, n_words bigint, sha binary, tag int, anchors array<bigint>, anchor_at array<int>"
+_OPENED = "id bigint, tag int, text string, starts array<int>, hashes array<bigint>"
+_SPANS = "id bigint, tag int, n_removed bigint, kept string, spans array<struct<begin:int,end:int>>"
 
 
 def sha_of_words(words: list[bytes]) -> bytes:
     return hashlib.sha256(b" ".join(words)).digest()
 
 
+def tag_of(sha: bytes) -> int:
+    """Tells the few texts of one id apart in fewer bytes."""
+    return int.from_bytes(sha[:4], "little", signed=True)
+
+
 def winnow(hashes: np.ndarray, width: int) -> np.ndarray:
     """Positions that hold the smallest hash of some ``width`` consecutive ones (the last of equal ones)."""
     n = len(hashes) - width + 1
@@ -70,9 +75,10 @@ def _facts(window: int, seed: int):
                     anchors.append(own[at].view(np.int64))
                     places.append(at.astype(np.int32))
                 split = [(t or "").encode().split() for t in texts.iloc[begin:end]]
+                shas = [sha_of_words(w) for w in split]
                 yield pd.DataFrame({
-                    "id": batch["id"].iloc[begin:end].array, "n_words": np.diff(words.first),
-                    "sha": [sha_of_words(w) for w in split], "anchors": anchors, "anchor_at": places})
+                    "id": batch["id"].iloc[begin:end].array, "n_words": np.diff(words.first), "sha": shas,
+                    "tag": [tag_of(x) for x in shas], "anchors": anchors, "anchor_at": places})
     return run
 
 
@@ -81,7 +87,7 @@ def _open(window: int, seed: int):
         for batch in batches:
             for i, (_, _, words) in enumerate(each_words(batch["text"], limit=0)):
                 row = batch.iloc[i]
-                if sha_of_words((row["text"] or "").encode().split()) != row["sha"]:
+                if tag_of(sha_of_words((row["text"] or "").encode().split())) != row["tag"]:
                     continue  # another row with the same id
                 n = len(words.hashes)
                 at = np.asarray(row["seeds"], np.int64)
@@ -90,7 +96,7 @@ def _open(window: int, seed: int):
                 np.add.at(mark, np.minimum(at, n - window) + 1, -1)
                 starts = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
                 runs = run_hashes(words.hashes, window)[starts]
-                yield pd.DataFrame({"id": [row["id"]], "sha": [row["sha"]], "text": [row["text"]],
+                yield pd.DataFrame({"id": [row["id"]], "tag": [row["tag"]], "text": [row["text"]],
                                     "starts": [starts.astype(np.int32)], "hashes": [runs.view(np.int64)]})
     return run
 
@@ -117,8 +123,8 @@ def _cut(window: int):
                     kept += words[at:begin]
                     at = end
                 kept += words[at:]
-                rows.append((row.id, row.sha, len(words) - len(kept), b" ".join(kept).decode(), spans))
-            yield pd.DataFrame(rows, columns=["id", "sha", "n_removed", "kept", "spans"])
+                rows.append((row.id, row.tag, len(words) - len(kept), b" ".join(kept).decode(), spans))
+            yield pd.DataFrame(rows, columns=["id", "tag", "n_removed", "kept", "spans"])
     return run
 
 
@@ -131,30 +137,30 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     named = docs.withColumn("id", F.col("id").cast("string"))  # pandas has no integers with nulls
     facts = staged(named.mapInPandas(_facts(window, seed), _FACTS).withColumn("id", F.col("id").cast("bigint")), "winnowed")
     first = facts.filter("id IS NOT NULL").groupBy("sha").agg(F.min("id").alias("first_id"))
-    placed = facts.select("id", "sha", "n_words").join(first, "sha", "left")
-    copies = placed.filter(F.col("id") > F.col("first_id")).select("id", "sha").distinct()
+    placed = facts.select("id", "sha", "tag", "n_words").join(first, "sha", "left")
+    copies = placed.filter(F.col("id") > F.col("first_id")).select("id", "tag").distinct()
 
     anchors = (facts.filter(f"id IS NOT NULL AND n_words >= {window}")
-               .join(copies, ["id", "sha"], "left_anti")
-               .select("id", "sha", F.explode(F.arrays_zip("anchors", "anchor_at")).alias("a"))
-               .select("id", "sha", F.col("a.anchors").alias("anchor"), F.col("a.anchor_at").alias("at")))
+               .join(copies, ["id", "tag"], "left_anti")
+               .select("id", "tag", F.explode(F.arrays_zip("anchors", "anchor_at")).alias("a"))
+               .select("id", "tag", F.col("a.anchors").alias("anchor"), F.col("a.anchor_at").alias("at")))
     shared = (anchors.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"))
               .filter("low < high").select("anchor"))
-    seeds = anchors.join(shared, "anchor").groupBy("id", "sha").agg(F.collect_list("at").alias("seeds"))
+    seeds = anchors.join(shared, "anchor").groupBy("id", "tag").agg(F.collect_list("at").alias("seeds"))
     opened = staged(docs.filter("id IS NOT NULL").join(seeds, "id").mapInPandas(_open(window, seed), _OPENED), "opened")
 
-    windows = opened.select("id", "sha", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select(
-        "id", "sha", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"))
+    windows = opened.select("id", "tag", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select(
+        "id", "tag", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"))
     owners = (windows.groupBy("hash").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
               .filter("owner < last").select("hash", "owner"))
     found = (windows.join(owners, "hash").filter("owner < id")
-             .groupBy("id", "sha").agg(F.collect_set("start").alias("found")))
-    cut = (opened.select("id", "sha", "text").dropDuplicates(["id", "sha"]).join(found, ["id", "sha"])
+             .groupBy("id", "tag").agg(F.collect_set("start").alias("found")))
+    cut = (opened.select("id", "tag", "text").dropDuplicates(["id", "tag"]).join(found, ["id", "tag"])
            .mapInPandas(_cut(window), _SPANS))
 
     whole = F.array(F.struct(F.lit(0).alias("begin"), F.col("n_words").cast("int").alias("end")))
     is_copy = (F.col("id") > F.col("first_id")) & (F.col("n_words") >= window)
-    return placed.join(cut, ["id", "sha"], "left").select(
+    return placed.join(cut, ["id", "tag"], "left").select(
         "id", "n_words",
         F.when(is_copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint").alias("n_removed"),
         F.when(is_copy, F.lit("")).otherwise(F.col("kept")).alias("kept"),
