@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import html_text, packing, substrings, token_counts, token_store
+from tidemark.llm import html_text, packing, substrings, token_counts, token_store, toxicity
 from tidemark.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_html_extraction")
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(load(spark, sf_dir, "pages"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
