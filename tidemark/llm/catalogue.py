@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import html_text, packing, substrings, token_counts, token_store, toxicity
+from tidemark.llm import html_text, ngram_join, packing, substrings, token_counts, token_store, toxicity
 from tidemark.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,26 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_toxicity")
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op6_ngram_join", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)])) END AS s FROM words),
+kinds AS (SELECT min(doc_id) AS rep, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+tokens AS (SELECT rep, n, unnest(s) AS token FROM kinds),
+links AS (
+  SELECT a.rep AS x, b.rep AS y FROM tokens a JOIN tokens b ON a.token = b.token AND a.rep <> b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT rep AS x, rep AS y FROM kinds
+  UNION
+  SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x),
+classes AS (SELECT x AS rep, min(y) AS component_id FROM reached GROUP BY x)
+SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM sets LEFT JOIN kinds ON sets.s = kinds.s AND len(sets.s) > 0 LEFT JOIN classes USING (rep)""")
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(load(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
