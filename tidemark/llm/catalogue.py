@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import html_text, ngram_join, packing, substrings, token_counts, token_store, toxicity
+from tidemark.llm import html_text, ngram_join, packing, quality_rules, substrings, token_counts, token_store, toxicity
 from tidemark.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,46 @@ SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(component_id, doc_id)
 FROM sets LEFT JOIN kinds ON sets.s = kinds.s AND len(sets.s) > 0 LEFT JOIN classes USING (rep)""")
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(load(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+_MEASURED = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM words),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS three
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words WHERE len(w) >= 3)),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, three) > 1),
+covered AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM twice) GROUP BY doc_id),
+measured AS (
+  SELECT words.doc_id, stratum, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM words JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+based AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    [n_symbols / greatest(n_words, 1), n_dup_lines / greatest(n_lines, 1), n_repeat_words / greatest(n_words, 1),
+     word_chars / greatest(n_words, 1)] AS v FROM measured)"""
+
+
+@query("op9_quality_rules", _MEASURED + r""",
+holdout AS (SELECT * FROM based SEMI JOIN (SELECT doc_id FROM labels WHERE quality = 1) USING (doc_id) WHERE NOT base_failed),
+grid AS (
+""" + " UNION ALL ".join(
+    f"SELECT {r} AS rule, unnest({list(cutoffs)})::DOUBLE AS cutoff" for r, cutoffs in enumerate(quality_rules.GRIDS.values(), 1)) + r"""),
+counted AS (
+  SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (v[rule] > cutoff) AS k FROM holdout, grid GROUP BY ALL),
+tested AS (
+  SELECT *, list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.005) + (n - i) * ln(0.995))
+                      FOR i IN range(0, k + 1)]) AS tail FROM counted WHERE k < n * 0.005),
+cutoffs AS (
+  SELECT stratum, rule, min(cutoff) AS cutoff FROM tested
+  WHERE tail <= 0.05 / ((SELECT count(DISTINCT stratum) FROM holdout) * 40) GROUP BY stratum, rule),
+rejected AS (SELECT DISTINCT doc_id FROM based JOIN cutoffs USING (stratum) WHERE v[rule] > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
+FROM based""")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
