@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import html_text, ngram_join, packing, quality_rules, substrings, token_counts, token_store, toxicity
+from tidemark.llm import decontaminate, html_text, ngram_join, packing, quality_model, quality_rules, substrings, token_counts, token_store, toxicity
 from tidemark.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,32 @@ FROM based""")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op5_decontamination", r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+words AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM texts),
+sizes AS (SELECT DISTINCT least(5, len(w)) AS k FROM words WHERE kind = 'i' AND len(w) > 0),
+shingles AS (
+  SELECT DISTINCT kind, id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT kind, id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, sizes
+        WHERE len(w) >= k AND (kind = 'd' OR k = least(5, len(w))))),
+items AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 'i' GROUP BY id),
+found AS (
+  SELECT d.id AS doc_id, i.id AS item, count(*) AS held FROM shingles d JOIN shingles i ON d.s = i.s AND d.k = i.k
+  WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY d.id, i.id),
+kept AS (SELECT doc_id, count(*) AS n_items, min(item) AS first_item FROM found JOIN items ON item = items.id
+         WHERE 100 * held >= 80 * n GROUP BY doc_id)
+SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0)::BIGINT AS n_items, coalesce(first_item, -1) AS first_item
+FROM documents LEFT JOIN kept USING (doc_id)""")
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return marked.select(F.col("id").alias("doc_id"), "contaminated", "n_items", F.coalesce("first_item", F.lit(-1)).alias("first_item"))
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
