@@ -14,7 +14,9 @@ from tidemark.llm.tables import load, staged
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids.select(F.col("doc_id").alias("_gone")).distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = ids.select(F.col("doc_id").alias("gone")).distinct()
+    row = docs.select(F.struct("*").alias("row"))  # keeps the columns of docs apart from those of the join
+    return row.join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti").select("row.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,11 +33,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words that a document with a smaller id has are cut; a document left without words goes."""
-    had_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    cut = substrings.drop_repeats(docs.withColumn("_had_words", had_words))
-    now = F.coalesce(F.length("text"), F.lit(0))
-    kept = cut.filter(~F.col("_had_words") | (now > 0)).drop("_had_words")
-    return kept.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("bigint")))
+    before = docs.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    wordless = docs.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    cut = substrings.drop_repeats(before).filter("text <> ''")
+    now = F.when(F.col("n_chars").isNotNull(), F.length("text").cast("bigint"))
+    return cut.withColumn("n_chars", now).unionByName(wordless)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,13 @@
 """Bound-certified best-fit packing of token pieces into sequences of fixed length.
 
 Pieces are dealt at random to partitions of bounded size; each packs its own by best-fit decreasing and computes a lower
-bound on its sequences by dual feasible functions. A partition that meets its bound is certified optimal. The others
-release the documents of their emptiest sequences; those are dealt to common partitions, so that documents of different
-partitions meet, and packed again. A round that saves nothing ends the exchange, as does meeting the bound of the whole
-corpus, which needs only the number of pieces of each length.
+bound on its sequences by dual feasible functions. A partition that meets its bound is certified optimal. One that does
+not tries a second order, which fills sequences one at a time and exactly where it can, and keeps the better packing.
+
+While the partitions together have more sequences than the bound of the whole corpus (which needs only the number of
+pieces of each length), they exchange: each gives up the documents of its emptiest sequences, a few for each sequence
+over its bound and a few for its last, never quite full ones. Those are dealt to far fewer common partitions, so that
+documents of different partitions meet, and packed again. A round that saves nothing ends the exchange.
 
 Defined results: a null or empty text is its end token alone. Rows are never merged: equal documents, or documents with
 the same or no id, are packed one by one. An empty table gives no rows.
@@ -24,7 +27,7 @@ from tidemark.llm.tables import staged
 
 CAPACITY, END_ID = 1024, 2
 GROUP_PIECES = 50_000
-RELEASE = 64
+RELEASE = 12
 _PACKED = "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint, grp bigint, bin bigint, offset bigint, released boolean"
 
 
@@ -103,13 +106,56 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets, np.array(fill, np.int64)
 
 
+def completing_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``best_fit_decreasing``, one sequence at a time: the longest piece left opens it, and the room is filled
+    exactly by one or two pieces where that can be, otherwise by the longest that fits and so on."""
+    counts = np.bincount(lengths, minlength=capacity + 1)
+    by_length = np.argsort(lengths, kind="stable")
+    ends = np.cumsum(counts)
+    bins, offsets, fill = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64), []
+    used, longest = 0, capacity
+
+    def take(length: int, room: int) -> int:
+        nonlocal used
+        i = by_length[ends[length] - counts[length]]
+        counts[length] -= 1
+        used += 1
+        bins[i], offsets[i] = len(fill), capacity - room
+        return room - length
+
+    while used < len(lengths):
+        while not counts[longest]:
+            longest -= 1
+        room = take(longest, capacity)
+        while room:
+            if counts[room]:
+                room = take(room, room)
+                break
+            fitting = np.flatnonzero(counts[1: room + 1]) + 1
+            if not len(fitting):
+                break
+            pairs = fitting[(counts[room - fitting] > 0) & ((2 * fitting != room) | (counts[fitting] > 1)) & (fitting < room)]
+            if len(pairs):
+                room = take(int(pairs[-1]), room)
+                room = take(room, room)
+                break
+            room = take(int(fitting[-1]), room)
+        fill.append(capacity - room)
+    return bins, offsets, np.array(fill, np.int64)
+
+
 def _pack(capacity: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         lengths = group["length"].to_numpy()
         bins, offsets, fill = best_fit_decreasing(lengths, capacity)
-        gap = len(fill) - lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
-        # a partition never gains by giving up fewer than a few sequences for each it has too many
-        emptiest = np.argsort(fill, kind="stable")[: RELEASE * gap]
+        bound = lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
+        if len(fill) > bound:
+            other = completing_fit(lengths, capacity)
+            if len(other[2]) < len(fill):
+                bins, offsets, fill = other
+        gap = len(fill) - bound
+        # one sequence of any partition is as good as never full, so even a certified one has its emptiest to offer
+        emptiest = np.argsort(fill, kind="stable")[: RELEASE * max(gap, 1)]
         released = np.zeros(len(fill), bool)
         released[emptiest[fill[emptiest] < capacity]] = True
         return group.assign(bin=bins, offset=offsets, released=released[bins])
@@ -117,8 +163,7 @@ def _pack(capacity: int):
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """Sequence id and offset of each piece of ``cut_pieces``; see the module. ``released`` tells which pieces the last
-    round could not certify."""
+    """Sequence id and offset of each piece of ``cut_pieces``; see the module."""
     pieces = staged(pieces.select("doc_id", "piece", "start", "length", "ids_crc32"), "pieces")
     histogram = pieces.groupBy("length").count().collect()  # one row per length, capacity at most
     counts = np.zeros(capacity + 1, np.int64)
@@ -157,7 +202,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
         result = result.unionByName(part)
     # numbers of one turn and group are dense from 0; the group is below 2^31
     sequence = F.shiftleft(F.col("turn").cast("bigint"), 58) + F.shiftleft("grp", 32) + F.col("bin")
-    return result.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset", "released")
+    return result.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, **columns: str) -> DataFrame:

@@ -172,9 +172,11 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by one space, any other stays as it is. Rows are kept even if nothing is left of their text.
     """
     changed = (find_repeats(docs, id_col, text_col, window).filter("n_removed > 0")
-               .groupBy(F.col("id").alias("_id")).agg(F.collect_set(F.struct("sha", "kept")).alias("_changed")))
-    words = F.trim(F.regexp_replace(F.col(text_col), r"[\x20\x09-\x0D]+", " "))
+               .groupBy(F.col("id").alias("changed_id")).agg(F.collect_set(F.struct("sha", "kept")).alias("changed")))
+    row = docs.select(F.struct("*").alias("row"))  # keeps the columns of docs apart from those of the join
+    text = F.col("row")[text_col]
+    words = F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "))
     sha = F.unhex(F.sha2(words, 256))  # tells rows with one id apart; worked out only where the id lost words
-    kept = F.when(F.col("_id").isNotNull(), F.filter("_changed", lambda c: c["sha"] == sha)[0]["kept"])
-    return (docs.join(changed, F.col(id_col).cast("bigint") == F.col("_id"), "left")
-            .withColumn("_kept", kept).withColumn(text_col, F.coalesce("_kept", text_col)).select(docs.columns))
+    kept = F.when(F.col("changed_id").isNotNull(), F.get(F.filter("changed", lambda c: c["sha"] == sha), F.lit(0))["kept"])
+    return (row.join(changed, F.col("row")[id_col].cast("bigint") == F.col("changed_id"), "left")
+            .select(*[(F.coalesce(kept, text) if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns]))
