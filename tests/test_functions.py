@@ -96,6 +96,9 @@ def test_fixed_width_numbers(spark):
     assert values(spark, "double", [3.402820110321045, 12345.678, -0.5], lambda c: numeric.fixed_width_text(c, 10, 5)) == [
         "3.40282", None, "-0.50000"]
     assert values(spark, "double", [12345.678], lambda c: numeric.fixed_width_number(c, 0, 2)) == [12345.68]
+    # binary values a little under and exactly at a half, and one beyond any decimal
+    assert values(spark, "double", [1.005, 2.675, 0.125, 1e40], lambda c: F.substring(numeric.fixed_width_text(c, 0, 2), 1, 5)) == [
+        "1.00", "2.67", "0.12", "10000"]
 
 
 def test_decimals(spark):

@@ -33,11 +33,29 @@ def test_image_keeps_absent_and_null_apart(spark):
     rows = images.row_images(frame(spark, short)).select(
         "side", images.present_text(F.col("states")).alias("p"), images.null_text(F.col("states")).alias("n"),
         images.present_bits(F.col("states")).alias("pb"), images.null_bits(F.col("states")).alias("nb")).collect()
-    assert {(r.side, r.p, r.n, r.pb, r.nb) for r in rows} == {("before", "1", "0", 1, 0), ("after", "4,9", "1,0", 264, 1)}
+    assert {(r.side, r.p, r.n, r.pb, r.nb) for r in rows} == {
+        ("before", "1", "0", "1", "0"), ("after", "4,9", "1,0", "000100001", "10")}
     # the last of two values wins
     assert images.typed_columns(frame(spark, short), [Field("a9", "BIGINT")]).first()["a9"] == 2
 
 
+def test_bitmaps_of_a_wide_table(spark):
+    wide = [{"name": f"c{i}", "meta": meta("INT")} for i in range(1, 71)]
+    record = {**INSERT, "fields": wide, "keys": None, "new_data": [kv("c1", 1), kv("c65", 2), kv("c66"), kv("c70", 3)]}
+    row = images.row_images(frame(spark, record)).select(
+        images.present_bits(F.col("states")).alias("p"), images.null_bits(F.col("states")).alias("n")).first()
+    assert [i for i, bit in enumerate(row.p, 1) if bit == "1"] == [1, 65, 66, 70] and row.n == "0010"
+
+
+def test_records_without_an_operation_are_somewhere(spark):
+    odd = [{**INSERT, "op_type": op, "tx_seq": i} for i, op in enumerate([None, "i", "", "X"])]
+    log = frame(spark, INSERT, *DDL_RECORDS, *odd)
+    ddl, dml = route(log)
+    assert (ddl.count(), dml.count()) == (4, 5)
+    usable, refused = normalize.split_refused(log)
+    assert (usable.count(), refused.count()) == (5, 4)
+
+
 def test_record_events_and_classes(spark):
     log = frame(spark, INSERT, *DDL_RECORDS)
     ddl, dml = route(log)

@@ -146,6 +146,23 @@ def test_dropping_a_table_empties_it(spark):
                                  record(3, "I", None, {"id": 2, "a": 2, "b": "y"})], CHANGE_SCHEMA)
     assert [r.tx_seq for r in replay.since_last_drop(log, "t1", "t1").collect()] == [3]
     assert replay.since_last_drop(log.filter("op_type <> 'DDL'"), "t1", "t1").count() == 2
+    base = spark.createDataFrame([(9, 9, "old")], "id long, a long, b string")
+    held = lambda log: sorted(tuple(r) for r in replay.replay_table(base, log, "t1", "t1", SPEC, KEY).collect())
+    assert held(log) == [(2, 2, "y")]
+    assert held(log.filter("op_type <> 'DDL'")) == [(1, 1, "x"), (2, 2, "y"), (9, 9, "old")]
+    for ddl in ("TRUNCATE TABLE t1", "drop  database if exists `T1`"):
+        other = {**drop, "ddl_type": None, "ddl_sql": ddl}
+        if ddl.startswith("drop"):
+            other |= {"db_name": None, "table_": None}
+        assert held(spark.createDataFrame([record(1, "I", None, {"id": 1, "a": 1, "b": "x"}), other], CHANGE_SCHEMA)) == []
+
+
+def test_records_without_a_key_are_left_out(spark):
+    log = spark.createDataFrame([record(1, "I", None, {"a": 1, "b": "x"}), record(2, "I", None, {"id": None, "a": 2, "b": "y"}),
+                                 record(3, "I", None, {"id": 4, "a": 5, "b": "z"}), record(4, "D", None, None)], CHANGE_SCHEMA)
+    assert sorted(r.tx_seq for r in replay.keyless_changes(log, SPEC, KEY).collect()) == [1, 2, 4]
+    empty = spark.createDataFrame([], "id long, a long, b string")
+    assert [tuple(r) for r in replay.replay(empty, log, SPEC, KEY).collect()] == [(4, 5, "z")]
 
 
 def test_net_changes_combine_before_the_shuffle(spark, world):

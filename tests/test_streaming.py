@@ -6,7 +6,7 @@ from test_replay import BASE, KEY, SPEC, random_log, record, sequential
 
 from tidemark.operators import events
 from tidemark.schema import CHANGE_SCHEMA
-from tidemark.sources.change_log import after_checkpoint, deduplicate, last_record, write_change_log
+from tidemark.sources.change_log import after_checkpoint, contradicting, deduplicate, last_record, write_change_log
 from tidemark.streaming import sinks, source
 
 
@@ -94,3 +94,22 @@ def test_batch_helpers(spark):
     assert last_record(log).first().tx_seq == 38
     assert sorted(r.tx_seq for r in after_checkpoint(log, 2, 2, 1).collect()) == [3, 38]
     assert sorted(r.tx_seq for r in after_checkpoint(log, 2, 2, 0).collect()) == [2, 2, 3, 38]
+    assert sorted(r.tx_seq for r in after_checkpoint(log, 2, 2).collect()) == [2, 2, 3, 38]
+
+
+def test_resuming_between_ties_loses_nothing(spark):
+    rows = [(5, 1, 0, lsn, dn) for lsn in (1, 2, 3) for dn in (None, 0, 1)] + [(5, 1, 1, 1, 0), (6, 1, 0, 1, 0), (4, 9, 9, 9, 9)]
+    log = spark.createDataFrame(rows, "scn long, tx_seq long, seq long, lsn long, dn short")
+    place = lambda r: tuple(r[:4]) + (-1 if r[4] is None else r[4],)
+    for cut in rows:
+        at = place(cut)
+        got = sorted(map(place, after_checkpoint(log, *at).collect()))
+        assert got == sorted(p for p in map(place, rows) if p > at)
+
+
+def test_one_of_two_records_at_a_position_stays_at_every_run(spark):
+    rows = [(1, 1, 1, 1, 0, op) for op in ("I", "U", "I")] + [(1, 1, 1, 2, 0, "D")] * 2
+    log = spark.createDataFrame(rows, "scn long, tx_seq long, seq long, lsn long, dn short, op_type string")
+    picks = {tuple(sorted(r.op_type for r in deduplicate(log.repartition(n)).collect())) for n in (1, 2, 5)}
+    assert len(picks) == 1 and len(picks.pop()) == 2
+    assert [(r.lsn, r.n) for r in contradicting(log).collect()] == [(1, 3)]

@@ -33,7 +33,7 @@ def unsigned_int(value: Column, bits: int) -> Column:
 def fixed_width_text(value: Column, length: int, decimals: int) -> Column:
     """A double with ``decimals`` digits; NULL if its whole part needs more than ``length - decimals - 1``
     characters. ``length`` 0 puts no limit."""
-    text = F.round(value, decimals).cast(f"decimal(38,{decimals})").cast("string")
+    text = F.translate(F.format_number(value, decimals), ",", "")  # rounds the binary value, not its shortest text
     if length == 0:
         return text
     whole = F.length(F.substring_index(text, ".", 1))

@@ -284,7 +284,7 @@ def _time(kv: Column, field: Field) -> Column:
 
 @register_type("YEAR")
 def _year(kv: Column, field: Field) -> Column:
-    return kv["long_val"].cast("int")
+    return kv["long_val"].try_cast("int")
 
 
 @register_type("BIT", "SET")
@@ -294,7 +294,7 @@ def _bits(kv: Column, field: Field) -> Column:
 
 @register_type("ENUM")
 def _ordinal(kv: Column, field: Field) -> Column:
-    return kv["long_val"].cast("int")
+    return kv["long_val"].try_cast("int")
 
 
 @register_type("NULL")

@@ -79,16 +79,15 @@ def null_text(states: Column) -> Column:
 
 
 def present_bits(states: Column) -> Column:
-    """Bit ``ordinal - 1`` set per stated column (tables of up to 63 columns)."""
-    return F.aggregate(states, F.lit(0).cast("long"),
-                       lambda bits, s: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), s["ordinal"] - 1)))
+    """Bits as text, one for each column from the first to the last stated, ``1`` where it is stated; of any width."""
+    ordinals = F.transform(states, lambda s: s["ordinal"])
+    return F.when(F.size(states) == 0, "").otherwise(F.array_join(F.transform(
+        F.sequence(F.lit(1), F.array_max(ordinals)), lambda i: F.array_contains(ordinals, i).cast("int").cast("string")), ""))
 
 
 def null_bits(states: Column) -> Column:
-    """Bit per *stated* column, in order, set where it is NULL."""
-    flags = F.transform(states, lambda s, i: F.when(
-        s["is_null"], F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(flags, F.lit(0).cast("long"), lambda bits, b: bits.bitwiseOR(b))
+    """Bits as text, one for each *stated* column in order, ``1`` where it is NULL; of any width."""
+    return F.array_join(F.transform(states, lambda s: s["is_null"].cast("int").cast("string")), "")
 
 
 def _plain(kv: Column) -> Column:

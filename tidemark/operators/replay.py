@@ -40,7 +40,7 @@ def row_changes(log: DataFrame, fields: Sequence[Field], key: Sequence[str]) ->
     without the whole row is left to ``partial_moves``.
     """
     found = _stated_sides(log, fields, key)
-    kept = found.filter(~_partial_move(fields, key)).withColumn("_split", (F.col("op_type") == "U") & _moved(fields, key))
+    kept = found.filter(~_keyless(key) & ~_partial_move(fields, key)).withColumn("_split", (F.col("op_type") == "U") & _moved(fields, key))
     typed = kept.select(
         *ORDER, "op_type", "_split",
         *[typed_value(F.col(f"_b_{f.name}"), f).alias(f"_b_{f.name}") for f in fields if f.name in key],
@@ -64,6 +64,17 @@ def _stated_sides(log: DataFrame, fields: Sequence[Field], key: Sequence[str]) -
         *[stated(F.col("new_data"), f.name).alias(f"_a_{f.name}") for f in fields])
 
 
+def _keyless(key: Sequence[str]) -> Column:
+    """Whether a row change leaves out part of the key of its row, or states it as NULL."""
+    sides = [F.when(F.col("op_type") == "I", F.col(f"_a_{k}")).otherwise(F.col(f"_b_{k}")) for k in key]
+    return reduce(lambda a, b: a | b, [s.isNull() | (s["tag"] == "NONE") for s in sides])
+
+
+def keyless_changes(log: DataFrame, fields: Sequence[Field], key: Sequence[str]) -> DataFrame:
+    """Row changes that do not state their key and therefore cannot be replayed; ``row_changes`` leaves them out."""
+    return _stated_sides(log, fields, key).filter(_keyless(key)).select(*ORDER, "op_type")
+
+
 def _moved(fields: Sequence[Field], key: Sequence[str]) -> Column:
     """Whether an update states a key other than the one it finds its row by."""
     return reduce(lambda a, b: a | b, [
@@ -147,17 +158,33 @@ def replay(base: DataFrame, log: DataFrame, fields: Sequence[Field], key: Sequen
     return apply_net(base, net_changes(row_changes(log, fields, key), key), key)
 
 
+def table_resets(log: DataFrame, db: str, table: str) -> DataFrame:
+    """One row: ``at``, the commit key of the last definition that leaves a table empty (NULL if there is none).
+
+    These are its ``CREATE TABLE``, ``DROP TABLE`` and ``TRUNCATE``, and a ``DROP DATABASE`` (whose record names neither).
+    """
+    own = (F.col("db_name") == db) & (F.col("table_") == table)
+    sql = F.lower(F.trim(F.coalesce("ddl_sql", F.lit(""))))
+    emptied = own & (F.col("ddl_type").isin("CREATE TABLE", "DROP TABLE") | sql.rlike("^truncate\\b"))
+    dropped = sql.rlike("^drop\\s+(database|schema)\\b") & (
+        F.regexp_extract(sql, "^drop\\s+(?:database|schema)\\s+(?:if\\s+exists\\s+)?[`\"]?([^`\"\\s;]+)", 1) == db.lower())
+    empties = F.coalesce(emptied, F.lit(False)) | dropped
+    return log.filter(is_ddl() & empties).agg(F.max(commit_key()).alias("at"))
+
+
 def since_last_drop(log: DataFrame, db: str, table: str) -> DataFrame:
-    """Row changes of a table after its last ``DROP TABLE`` or ``CREATE TABLE``; both leave it empty."""
-    own = log.filter((F.col("db_name") == db) & (F.col("table_") == table))
-    emptied = own.filter(is_ddl() & F.col("ddl_type").isin("CREATE TABLE", "DROP TABLE"))
-    cut = emptied.agg(F.max(commit_key()).alias("at")).first()["at"]
-    rows = own.filter(~is_ddl())
-    if cut is None:
-        return rows
-    kinds = dict(own.dtypes)
-    place = F.struct(*[F.lit(cut[c]).cast(kinds[c]).alias(c) for c in ORDER])
-    return rows.filter((F.col("scn") >= cut["scn"]) & (commit_key() > place))
+    """Row changes of a table after the last definition that left it empty."""
+    rows = log.filter((F.col("db_name") == db) & (F.col("table_") == table) & ~is_ddl())
+    reset = F.broadcast(table_resets(log, db, table))  # one row
+    return rows.join(reset, F.col("at").isNull() | (commit_key() > F.col("at"))).drop("at")
+
+
+def replay_table(base: DataFrame, log: DataFrame, db: str, table: str, fields: Sequence[Field],
+                 key: Sequence[str]) -> DataFrame:
+    """``replay`` of one table out of a log with definitions: what a drop, truncation or creation ends does not count."""
+    still = base.join(F.broadcast(table_resets(log, db, table)), F.col("at").isNull()).drop("at")
+    return replay(still, since_last_drop(log, db, table), fields, key)
+
 
 
 def _changed_keys(changes: DataFrame, key: Sequence[str]) -> DataFrame:

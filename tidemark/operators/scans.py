@@ -27,10 +27,6 @@ RANGE_ROWS = 10_000_000
 SHORT_RANGE_ROWS = 20_000
 """Rows below which a range is not worth a task of its own."""
 
-_GROUPS = 64
-_REPORTED = 1_000
-_TRACKED = 10_000
-
 
 def _range_count(df: DataFrame, partitions: int | None, range_rows: int) -> int:
     """As many ranges as the session shuffles into, more where they would get too long, fewer for a short log."""
@@ -111,19 +107,15 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "pos", partitio
     return running_total(df, order, {name: F.lit(1)}, partitions)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> list[int]:
-    """Hashes of the keys with about ``hot_rows`` rows or more.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Hashes (``h``) of the keys with ``hot_rows`` rows or more, counted exactly; at most one for each ``hot_rows`` rows.
 
-    Heavy hitters are tracked in sketches of fixed size, one per group of hashes, so what is shuffled and what
-    comes back (at most 64,000 numbers) do not grow with the rows.
+    The counts combine before the shuffle and stay a table, however many keys there are.
     """
     if hot_rows <= 0:
         raise ValueError("hot_rows must be positive")
-    hashed = df.select(F.xxhash64(*keys).alias("h"))
-    tops = hashed.groupBy(F.pmod("h", F.lit(_GROUPS)).alias("g")).agg(
-        F.expr(f"approx_top_k(h, {_REPORTED}, {_TRACKED})").alias("top"))
-    hot = tops.select(F.explode("top").alias("t")).filter(F.col("t.count") >= hot_rows).select("t.item")
-    return [row[0] for row in hot.collect()]
+    counted = df.select(F.xxhash64(*keys).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    return durable(counted.filter(F.col("n") >= hot_rows).select("h"))
 
 
 def carry_forward(
@@ -133,7 +125,7 @@ def carry_forward(
     values: Mapping[str, Column],
     strict: bool = False,
     hot_rows: int = HOT_ROWS,
-    hot: Sequence[int] | None = None,
+    hot: DataFrame | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Add, per key, the last non-null of each value up to each row (``strict``: before it).
@@ -153,14 +145,14 @@ def carry_forward(
     kept = [c for c in staged.columns if c not in names]
     if hot is None:
         hot = hot_keys(df, keys, hot_rows)
-    if not hot:
+    if hot.isEmpty():
         return staged.select(*kept, *carried(per_key))
 
-    is_hot = F.xxhash64(*keys).isin(hot)
-    cold = staged.filter(~is_hot).select(*kept, *carried(per_key))
+    is_hot = F.xxhash64(*keys) == F.col("h")  # left to Spark to broadcast or to shuffle, by its size
+    cold = staged.join(hot, is_hot, "left_anti").select(*kept, *carried(per_key))
 
     by_key = [F.col(k) for k in keys]
-    ranged = range_parts(staged.filter(is_hot), by_key + list(order), partitions)
+    ranged = range_parts(staged.join(hot, is_hot, "left_semi"), by_key + list(order), partitions)
     in_range = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(*frame)
     place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
     ends = ranged.groupBy("_part", *keys).agg(
@@ -176,6 +168,6 @@ def carry_forward(
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_start_{k}"))
     local = ranged.select("_part", *kept, *carried(in_range))
-    split = local.join(F.broadcast(starts), same, "left").select(
+    split = local.join(starts, same, "left").select(
         *kept, *[F.coalesce(n, f"_start_{n}").alias(n) for n in names])
     return cold.unionByName(split)

@@ -30,11 +30,15 @@ def volume_rollup(log: DataFrame) -> DataFrame:
 
 
 def column_change_stats(log: DataFrame) -> DataFrame:
-    """How often each column is stated, and stated as NULL, per table and operation."""
-    stated = log.filter(F.col("new_data").isNotNull()).select(
-        "table_", "op_type", F.explode(F.transform("new_data", lambda e: F.struct(
-            e["key"].alias("column_name"), (e["tag"] == "NONE").alias("is_null")))).alias("e"))
-    return stated.groupBy("table_", "op_type", F.col("e.column_name").alias("column_name")).agg(
+    """How often each column is stated, and stated as NULL, per table, operation and side of the change."""
+    def side(name: str, image: str) -> Column:
+        return F.transform(F.coalesce(F.col(image), F.array().cast(kinds[image])), lambda e: F.struct(
+            F.lit(name).alias("side"), e["key"].alias("column_name"), (e["tag"] == "NONE").alias("is_null")))
+
+    kinds = dict(log.dtypes)
+    stated = log.select("db_name", "table_", "op_type", F.explode(
+        F.concat(side("before", "keys"), side("after", "new_data"))).alias("e"))
+    return stated.groupBy("db_name", "table_", "op_type", "e.side", F.col("e.column_name").alias("column_name")).agg(
         F.count(F.lit(1)).alias("n_present"), F.count_if(F.col("e.is_null")).alias("n_null"))
 
 

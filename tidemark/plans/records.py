@@ -316,8 +316,9 @@ def row_image(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("image_bitmaps", f"""{_IMAGES_SQL}
 SELECT tx_seq, side,
-  CAST(list_sum([power(2, o::INTEGER - 1) FOR o IN string_split(present, ',')]) AS BIGINT) AS present_bits,
-  CAST(CASE WHEN nulls = '0,1' THEN 2 ELSE 0 END AS BIGINT) AS null_bits FROM i""")
+  array_to_string([CASE WHEN list_contains(string_split(present, ','), o::VARCHAR) THEN '1' ELSE '0' END
+    FOR o IN range(1, list_max([x::INTEGER FOR x IN string_split(present, ',')]) + 1)], '') AS present_bits,
+  replace(nulls, ',', '') AS null_bits FROM i""")
 def image_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return images.row_images(orders_log(spark, sf_dir)).select(
         "tx_seq", "side", images.present_bits(F.col("states")).alias("present_bits"),

@@ -78,16 +78,18 @@ def decode_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fixed_width_number", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS free,
-  CASE WHEN length(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)) <= 7 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS narrow,
-  CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(18,1)) AS DOUBLE) AS one_digit
+  format('{:.2f}', l_extendedprice) AS free,
+  CASE WHEN length(format('{:.2f}', l_extendedprice)) <= 7 THEN format('{:.2f}', l_extendedprice) END AS narrow,
+  CAST(format('{:.1f}', l_extendedprice) AS DOUBLE) AS one_digit,
+  format('{:.3f}', l_extendedprice * (1 - l_discount) / 7) AS many_digits
 FROM lineitem""")
 def fixed_width_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice")
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         numeric.fixed_width_text(price, 0, 2).alias("free"), numeric.fixed_width_text(price, 7, 2).alias("narrow"),
-        numeric.fixed_width_number(price, 20, 1).alias("one_digit"))
+        numeric.fixed_width_number(price, 20, 1).alias("one_digit"),
+        numeric.fixed_width_text(price * (1 - F.col("l_discount")) / 7, 0, 3).alias("many_digits"))
 
 
 @query("decimal_values", """
@@ -352,7 +354,7 @@ def json_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = text.json_text(F.col("e"))
     return encoded.select(
         "event_id", payload.alias("payload"), F.get_json_object(payload, "$.k").cast("int").alias("k"),
-        text.json_text(text.encode_text(F.substring("props", 2, 100))).alias("damaged"))
+        text.json_text(text.encode_text(F.substr("props", F.lit(2)))).alias("damaged"))
 
 
 @query("blob_class", """

@@ -17,7 +17,10 @@ from tidemark.session import shared_dir
 from tidemark.sources.change_log import write_change_log
 from tidemark.streaming import sinks, source
 
-FILES = 4
+
+def width(spark: SparkSession) -> int:
+    """Files a log is written as: one for each task that can run at once, four at least."""
+    return max(4, spark.sparkContext.defaultParallelism)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -27,9 +30,9 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def landed(spark: SparkSession, log: DataFrame, folder: str) -> str:
-    """``log`` written as a few files, each a range of commit order."""
+    """``log`` written as files, each a range of commit order."""
     path = f"{folder}/log"
-    write_change_log(log.repartitionByRange(FILES, *commit_order()), path)
+    write_change_log(log.repartitionByRange(width(spark), *commit_order()), path)
     return path
 
 
@@ -39,7 +42,7 @@ def landed_in_order(spark: SparkSession, log: DataFrame, folder: str) -> str:
     cuts = log.agg(F.percentile_approx("scn", [0.25, 0.5, 0.75])).first()[0]
     quarter = sum((F.col("scn") > cut).cast("int") for cut in cuts)
     for i in range(len(cuts) + 1):
-        write_change_log(log.filter(quarter == i).repartition(FILES), path)
+        write_change_log(log.filter(quarter == i).repartition(width(spark)), path)
     return path
 
 
@@ -52,7 +55,7 @@ WITH {sql.O_LOG} SELECT op_type, count(*) AS n_records, CAST(count(*) * 5 AS BIG
 FROM o_log GROUP BY op_type""")
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "ingest")
-    stream = source.stream_change_log(spark, landed(spark, orders_log(spark, sf_dir), folder), max_files=1)
+    stream = source.stream_change_log(spark, landed(spark, orders_log(spark, sf_dir), folder), max_files=width(spark) // 4)
     drained(sinks.batch_writer(source.with_progress(stream), f"{folder}/out"), folder)
     return sinks.read_batches(spark, f"{folder}/out").groupBy("op_type").agg(
         F.count(F.lit(1)).alias("n_records"), (F.count(F.lit(1)) * 5).alias("n_events"), F.max("tx_seq").alias("last_tx"))
@@ -70,7 +73,7 @@ def stream_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "replay")
     key = ["o_orderkey"]
-    stream = source.stream_change_log(spark, landed(spark, orders_log(spark, sf_dir), folder), max_files=1)
+    stream = source.stream_change_log(spark, landed(spark, orders_log(spark, sf_dir), folder), max_files=width(spark) // 4)
     drained(sinks.replay_writer(stream, f"{folder}/states", ORDER_FIELDS, key), folder)
     return sinks.read_table(spark, f"{folder}/states", table(spark, sf_dir, "orders").limit(0), key)
 
@@ -79,8 +82,8 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_replay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records in any order: the log is dealt out over the files, so batches are not ranges of commit order."""
     folder = scratch(spark, "replay-events")
-    write_change_log(events_log(spark, sf_dir).repartition(FILES, "lsn"), f"{folder}/log")
-    stream = source.stream_change_log(spark, f"{folder}/log", max_files=1)
+    write_change_log(events_log(spark, sf_dir).repartition(width(spark), "lsn"), f"{folder}/log")
+    stream = source.stream_change_log(spark, f"{folder}/log", max_files=width(spark) // 4)
     drained(sinks.replay_writer(stream, f"{folder}/states", EVENT_FIELDS, ["user_id"]), folder)
     empty = spark.createDataFrame([], "user_id bigint, value double, props string")
     return sinks.read_table(spark, f"{folder}/states", empty, ["user_id"])
@@ -92,7 +95,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "dedup")
     log = events_log(spark, sf_dir)
     doubled = log.unionAll(log.filter(F.col("tx_seq") % 5 == 0))
-    stream = source.stream_change_log(spark, landed_in_order(spark, doubled, folder), max_files=FILES)
+    stream = source.stream_change_log(spark, landed_in_order(spark, doubled, folder), max_files=width(spark))
     unique = source.deduplicated(stream).select("tx_seq", "op_type")
     drained(unique.writeStream.format("parquet").option("path", f"{folder}/out"), folder)
     return spark.read.parquet(f"{folder}/out").groupBy("tx_seq", "op_type").agg(F.count(F.lit(1)).alias("n"))
@@ -105,7 +108,7 @@ HAVING (h + 1) * 3600000000 <= (SELECT max(epoch_us(ts)) // 1000 * 1000 - 600000
 def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly windows the watermark has passed at the end of the log."""
     folder = scratch(spark, "throughput")
-    stream = source.stream_change_log(spark, landed_in_order(spark, events_log(spark, sf_dir), folder), max_files=FILES)
+    stream = source.stream_change_log(spark, landed_in_order(spark, events_log(spark, sf_dir), folder), max_files=width(spark))
     counted = source.windowed(stream, "1 hour")
     drained(counted.writeStream.format("parquet").option("path", f"{folder}/out"), folder)
     return spark.read.parquet(f"{folder}/out").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n")
@@ -121,7 +124,7 @@ WHERE epoch_us(session_end) + 7200000000 <= (SELECT max(epoch_us(ts)) // 1000 *
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of users that the watermark has closed at the end of the log."""
     folder = scratch(spark, "sessions")
-    stream = source.stream_change_log(spark, landed_in_order(spark, events_log(spark, sf_dir), folder), max_files=FILES)
+    stream = source.stream_change_log(spark, landed_in_order(spark, events_log(spark, sf_dir), folder), max_files=width(spark))
     user = F.coalesce(stated(F.col("keys"), "user_id")["long_val"], stated(F.col("new_data"), "user_id")["long_val"])
     rows = with_message_time(stream).select(user.alias("user_id"), "msg_ts")
     counted = source.sessions(rows, ["user_id"], "msg_ts", "2 hours")

@@ -266,10 +266,13 @@ def volume_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("column_change_stats", f"""
 WITH {sql.O_LOG}, c(column_name, ordinal) AS (VALUES ('o_orderkey', 1), ('o_custkey', 2), ('o_orderstatus', 3),
   ('o_totalprice', 4), ('o_orderdate', 5), ('o_orderpriority', 6))
-SELECT 'orders' AS table_, op_type, column_name, count(*) AS n_present,
+SELECT 'tpch' AS db_name, 'orders' AS table_, op_type, 'after' AS side, column_name, count(*) AS n_present,
   count(*) FILTER (phase = 2 AND column_name = 'o_totalprice') AS n_null FROM o_log, c
 WHERE op_type = 'I' OR (phase = 2 AND (ordinal = 3 OR (ordinal = 4 AND o_orderkey % 9 = 0))) OR (phase = 3 AND ordinal = 6)
-  OR (phase = 6 AND ordinal = 2) GROUP BY op_type, column_name""")
+  OR (phase = 6 AND ordinal = 2) GROUP BY op_type, column_name
+UNION ALL
+SELECT 'tpch', 'orders', op_type, 'before', column_name, count(*), 0 FROM o_log, c
+WHERE op_type <> 'I' AND (ordinal = 1 OR (phase = 2 AND ordinal = 3) OR (phase = 3 AND ordinal = 6)) GROUP BY op_type, column_name""")
 def column_change_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.column_change_stats(orders_log(spark, sf_dir))
 

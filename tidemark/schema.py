@@ -77,4 +77,5 @@ def commit_key() -> Column:
 
 
 def is_ddl() -> Column:
-    return F.col("op_type") == "DDL"
+    """Never NULL: a record without an operation is no definition."""
+    return F.col("op_type").eqNullSafe("DDL")

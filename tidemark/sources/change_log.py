@@ -8,12 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.scans import numbered
-from tidemark.schema import CHANGE_SCHEMA, commit_order, conform, is_ddl
+from tidemark.schema import CHANGE_SCHEMA, ORDER, commit_order, conform, is_ddl
 from tidemark.session import shuffle_width
 
-TAKE_LIMIT = 10_000
-"""Rows up to which ``skip_take`` uses the limit operator."""
-
 
 def read_change_log(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet") -> DataFrame:
     """Scan change records from one or many files of a Spark format."""
@@ -65,9 +62,7 @@ def priority():
 
 
 def skip_take(log: DataFrame, skip: int, take: int) -> DataFrame:
-    """Records ``skip + 1`` to ``skip + take`` in commit order."""
-    if skip + take <= TAKE_LIMIT:
-        return log.orderBy(*commit_order()).offset(skip).limit(take)
+    """Records ``skip + 1`` to ``skip + take`` of the commit order, in no promised order of rows."""
     positions = numbered(log, commit_order())
     return positions.filter(F.col("pos").between(skip + 1, skip + take)).drop("pos")
 
@@ -76,18 +71,42 @@ def last_record(log: DataFrame) -> DataFrame:
     return log.orderBy(*[c.desc() for c in commit_order()]).limit(1)
 
 
-def after_checkpoint(log: DataFrame, scn: int, tx_seq: int | None = None, seq: int | None = None) -> DataFrame:
-    """Records after a checkpoint; the ``scn`` bound reaches the scan as a pushed filter."""
+def after_checkpoint(log: DataFrame, scn: int, tx_seq: int | None = None, seq: int | None = None,
+                     lsn: int | None = None, dn: int | None = None) -> DataFrame:
+    """Records after a checkpoint in commit order; the ``scn`` bound reaches the scan as a pushed filter.
+
+    Each part that is given is compared after the ones before it. A checkpoint cut between records that tie on
+    (scn, tx_seq, seq) must carry ``lsn``, and ``dn`` where source nodes share one; without ``seq`` the whole
+    transaction of the checkpoint is read again.
+    """
     if tx_seq is None:
         return log.filter(F.col("scn") > scn)
-    later = (F.col("tx_seq") > tx_seq) | ((F.col("tx_seq") == tx_seq) & (F.col("seq") > (seq or 0)))
-    return log.filter((F.col("scn") >= scn) & ((F.col("scn") > scn) | later))
+    parts = [("scn", scn), ("tx_seq", tx_seq)]
+    if seq is not None:
+        parts.append(("seq", seq))
+        if lsn is not None:
+            parts.append(("lsn", lsn))
+            if dn is not None:
+                parts.append(("dn", dn))
+    order = dict(zip(ORDER, commit_order()))
+    later = F.lit(seq is None)
+    for name, value in reversed(parts):
+        later = (order[name] > value) | ((order[name] == value) & later)
+    return log.filter((F.col("scn") >= scn) & later)
 
 
 def deduplicate(log: DataFrame) -> DataFrame:
-    """One record per commit position.
+    """One record per commit position: of differing ones, at every run, the one whose content has the smallest hash.
 
-    A record is identified by its commit order, so copies are equal and any of them may stay. The hash
-    aggregate behind ``dropDuplicates`` drops copies before the shuffle, however many a record has.
+    The aggregate drops copies before the shuffle, however many a record has.
     """
-    return log.dropDuplicates(["scn", "tx_seq", "seq", "lsn", "dn"])
+    content = F.xxhash64(*log.columns)
+    first = log.groupBy(*ORDER).agg(F.min_by(F.struct(*log.columns), content).alias("r"))
+    return first.select(*[F.col("r")[c].alias(c) for c in log.columns])
+
+
+def contradicting(log: DataFrame) -> DataFrame:
+    """Commit positions that hold records of different content: (commit order, n)."""
+    content = F.xxhash64(*log.columns)
+    return log.groupBy(*ORDER).agg(F.count(F.lit(1)).alias("n"), F.min(content).alias("low"), F.max(content).alias("high")).filter(
+        "low <> high").drop("low", "high")
