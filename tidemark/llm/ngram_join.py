@@ -2,9 +2,11 @@
 
 1. Every whole text becomes its set of distinct word shingles. Documents with one and the same set are one class from the
    start; from here on only its smallest id, the representative, takes part.
-2. Two linked sets share one of their first ``n - ceil(t * n) + 1`` tokens by hash (prefix filter) and lie in one band of
-   sizes, so they meet in a group (token, band). Groups with the same members are looked at once. Groups of more than
-   ``GROUP`` members are cut into chunks whose pairs are dealt to tasks.
+2. Two linked sets share one of their first ``n - ceil(t * n) + 1`` tokens in any fixed order (prefix filter) and lie in
+   one band of sizes, so they meet in a group (token, band). The order is by hash, but common tokens come last: a first
+   pass counts all low hashes in a table of fixed size, and what is far above its mean is common. The counts only shape
+   the order, so the search stays exact whatever they are. Groups with the same members are looked at once. Groups of
+   more than ``GROUP`` members are cut into chunks whose pairs are dealt to tasks.
 3. In each group a signature tree is built over OR-combined token bitmaps and size ranges and traversed against itself;
    node pairs are pruned by the largest overlap they could have. What cannot be pruned is joined, as a forest, into
    clusters of possibly similar documents; no pair is written for documents that are already together.
@@ -32,6 +34,8 @@ from tidemark.llm.signature_tree import Forest, SignatureTree, bits_of, dual_tra
 from tidemark.llm.tables import staged
 from tidemark.llm.wordhash import each_words, mix, shingles_of
 
+#: Counters for common tokens (a power of two), the share of hashes they count, and how far above the mean is common.
+COUNTERS, COUNTED_SHARE, COMMON_COUNT, COMMON_FACTOR = 1 << 22, 0.2, 24, 16
 GROUP, CLUSTER, CLUSTER_TOKENS, HUBS = 2_048, 1_024, 2_000_000, 16
 _FACTS = "id string, n bigint, digest binary, keys array<bigint>, bits binary"
 
@@ -45,19 +49,56 @@ def width_of(n: int) -> int:
     return max(64, 1 << (band_of(n) + 2))
 
 
-def group_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Keys under which a sorted set meets every set it can be linked with."""
+def _counter(tokens: np.ndarray) -> np.ndarray:
+    return (mix(tokens) & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def _count_tokens(k: int, lower: bool):
+    """Counts of low-hash tokens by counter; a counter below 3 in a few thousand texts is left out."""
+    limit = np.uint64(int(COUNTED_SHARE * 2.0**64))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            counts = np.zeros(COUNTERS, np.int32)
+            for _, _, words in each_words(batch["text"], lower):
+                tokens, _ = shingles_of(words, k)
+                np.add.at(counts, _counter(tokens[tokens < limit]), 1)
+            at = np.flatnonzero(counts >= 3)
+            yield pd.DataFrame({"at": at.astype(np.int32), "n": counts[at].astype(np.int64)})
+    return run
+
+
+def common_tokens(texts: DataFrame, k: int, lower: bool) -> np.ndarray:
+    """For each counter whether its tokens are common; at most ``COUNTERS`` numbers reach the driver."""
+    counted = staged(texts.mapInPandas(_count_tokens(k, lower), "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")), "counts")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    common = np.zeros(COUNTERS, bool)
+    rows = counted.filter(F.col("n") >= max(COMMON_COUNT, COMMON_FACTOR * total // COUNTERS)).select("at").toPandas()
+    common[rows["at"].to_numpy(np.int64)] = True
+    return np.packbits(common)
+
+
+def group_keys(tokens: np.ndarray, percent: int, common: np.ndarray | None = None) -> np.ndarray:
+    """Keys under which a sorted set meets every set it can be linked with; tokens of ``common`` counters come last."""
     n = len(tokens)
     if not n:
         return np.zeros(0, np.int64)
-    prefix = tokens[: n - -(-percent * n // 100) + 1]
+    size = n - -(-percent * n // 100) + 1
+    prefix = tokens[:size]
+    if common is not None:
+        at = _counter(tokens[: min(n, 2 * size)])
+        often = (common[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+        if (~often).sum() < size:  # look at all tokens
+            at = _counter(tokens)
+            often = (common[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+        prefix = np.concatenate([tokens[: len(often)][~often][:size], tokens[: len(often)][often]])[:size]
     bands = [band_of(n)]
     if n * 100 >= percent * (1 << (bands[0] + 1)):  # a partner may reach into the next band
         bands.append(bands[0] + 1)
     return np.concatenate([mix(prefix + np.uint64(b)) for b in bands]).view(np.int64)
 
 
-def _facts(k: int, percent: int, lower: bool):
+def _facts(k: int, percent: int, lower: bool, common):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for begin, end, words in each_words(batch["text"], lower):
@@ -65,7 +106,7 @@ def _facts(k: int, percent: int, lower: bool):
                 rows = []
                 for a, b in zip(where[:-1], where[1:]):
                     own = np.unique(tokens[a:b])
-                    rows.append((len(own), xxhash.xxh3_128_digest(own.tobytes()), group_keys(own, percent),
+                    rows.append((len(own), xxhash.xxh3_128_digest(own.tobytes()), group_keys(own, percent, common.value),
                                  bits_of(own, width_of(len(own))).tobytes() if len(own) else b""))
                 yield pd.DataFrame(rows, columns=["n", "digest", "keys", "bits"]).assign(
                     id=batch["id"].iloc[begin:end].to_numpy())
@@ -194,7 +235,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row of ``docs``: id, n_shingles and component_id, the smallest id reachable by links of Jaccard similarity
     ``percent`` or more between sets of ``k``-word shingles."""
     named = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    facts = staged(named.mapInPandas(_facts(k, percent, lower), _FACTS)  # ids as text: pandas has no integers with nulls
+    common = docs.sparkSession.sparkContext.broadcast(common_tokens(named.select("text"), k, lower))
+    facts = staged(named.mapInPandas(_facts(k, percent, lower, common), _FACTS)  # ids as text: pandas has no integers with nulls
                    .withColumn("id", F.col("id").cast("bigint")), "shingles")
     # one representative for each set; ids with several texts tie their sets together
     first = facts.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-LEAF = 8
+LEAF = 32
 
 
 class Forest:
@@ -65,6 +65,7 @@ class SignatureTree:
     """Sets in order of size and similarity; a node has its members' OR-combined bitmap and range of sizes."""
 
     def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray):
+        bitmaps = np.ascontiguousarray(bitmaps).view(np.uint64)  # widths are multiples of 64 bits
         self.bitmaps, self.sizes = bitmaps, sizes
         self.spare = sizes - np.bitwise_count(bitmaps).sum(axis=1, dtype=np.int64)
         self.root = self._build(0, len(sizes)) if len(sizes) else None
@@ -128,20 +129,18 @@ def dual_traversal(tree: SignatureTree, other: SignatureTree, percent: int, fore
         if ra is not None and ra == joined(b, offset):
             continue
         if a.left is None and b.left is None:
-            for i in range(a.begin, a.end):
-                start = max(b.begin, i + 1) if same else b.begin
-                js = np.arange(start, b.end)
-                if not len(js):
-                    continue
-                n, m = tree.sizes[i], other.sizes[js]
-                fits = (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-                shared = np.bitwise_count(tree.bitmaps[i] & other.bitmaps[js]).sum(axis=1, dtype=np.int64)
-                fits &= shared + np.minimum(tree.spare[i], other.spare[js]) >= least_overlap(n, m, percent)
-                root = forest.find(i)
-                js = [j for j in js[fits].tolist() if forest.find(j + offset) != root]
-                for j in js:
-                    if forest.find(i) != forest.find(j + offset) and verify(i, j):
-                        forest.join(i, j + offset)
+            n, m = tree.sizes[a.begin: a.end, None], other.sizes[None, b.begin: b.end]
+            fits = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+            if same and a is b:
+                fits &= np.tri(len(n), k=-1, dtype=bool).T
+            ii, jj = np.nonzero(fits)
+            ii, jj = ii + a.begin, jj + b.begin
+            shared = np.bitwise_count(tree.bitmaps[ii] & other.bitmaps[jj]).sum(axis=1, dtype=np.int64)
+            near = shared + np.minimum(tree.spare[ii], other.spare[jj]) >= least_overlap(
+                tree.sizes[ii], other.sizes[jj], percent)
+            for i, j in zip(ii[near].tolist(), jj[near].tolist()):
+                if forest.find(i) != forest.find(j + offset) and verify(i, j):
+                    forest.join(i, j + offset)
         elif b.left is None or (a.left is not None and a.end - a.begin >= b.end - b.begin):
             if same and a is b:
                 stack += [(a.left, a.left), (a.left, a.right), (a.right, a.right)]
