@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import types
 from tidemark.operators import events, images, normalize
+from tidemark.operators.images import stated
 from tidemark.operators.scans import numbered
 from tidemark.plans import logs_sql as sql
 from tidemark.plans.derive import (
@@ -391,3 +394,37 @@ def resume_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.after_checkpoint(orders_log(spark, sf_dir), 2_000_000_000_003_000, 2_000_000_000_003, 1).select(
         "tx_seq", "op_type")
 
+
+
+@query("resume_between_ties", f"""
+WITH {sql.L_LOG}, t AS (
+  SELECT scn, tx_seq, seq, min(lsn) AS lsn, min_by(dn, (lsn, dn)) AS dn FROM l_log GROUP BY scn, tx_seq, seq
+  ORDER BY count(*) < 2, scn, tx_seq, seq LIMIT 1)
+SELECT l.tx_seq, l.seq, l.lsn FROM l_log l, t
+WHERE (l.scn, l.tx_seq, l.seq, l.lsn, coalesce(l.dn, -1)) > (t.scn, t.tx_seq, t.seq, t.lsn, coalesce(t.dn, -1))""")
+def resume_between_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records after the first of those that tie on (scn, tx_seq, seq), the earliest tie of the log (or its first record)."""
+    log = lineitem_log(spark, sf_dir).select("scn", "tx_seq", "seq", "lsn", "dn")
+    cut = (log.groupBy("scn", "tx_seq", "seq").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("lsn", "dn")).alias("first"))
+           .orderBy(F.col("n") < 2, "scn", "tx_seq", "seq").first())
+    if cut is None:
+        return log.select("tx_seq", "seq", "lsn")
+    return source.after_checkpoint(log, cut["scn"], cut["tx_seq"], cut["seq"], cut["first"]["lsn"], cut["first"]["dn"]).select(
+        "tx_seq", "seq", "lsn")
+
+
+@query("odd_operations", f"""
+WITH {sql.O_LOG}, f AS (SELECT o_orderkey % 101 BETWEEN 1 AND 4 AS odd FROM o_log)
+SELECT part, count(*) FILTER (part IN ('dml', 'all') OR (part = 'refused' AND odd) OR (part = 'usable' AND NOT odd)) AS n
+FROM f, (VALUES ('all'), ('ddl'), ('dml'), ('usable'), ('refused')) AS p(part) GROUP BY part""")
+def odd_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with missing, lower-case, empty and unknown operations: each record is definition or not, usable or refused."""
+    whole = orders_log(spark, sf_dir)
+    key = F.coalesce(stated(F.col("keys"), "o_orderkey")["long_val"], stated(F.col("new_data"), "o_orderkey")["long_val"]) % 101
+    log = whole.withColumn("op_type", F.when(key == 1, None).when(key == 2, F.lower("op_type")).when(key == 3, "").when(
+        key == 4, "X").otherwise(F.col("op_type")))
+    ddl, dml = source.route(log)
+    usable, refused = normalize.split_refused(log)
+    parts = [p.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n") for name, p in
+             (("all", log), ("ddl", ddl), ("dml", dml), ("usable", usable), ("refused", refused))]
+    return reduce(DataFrame.unionAll, parts)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import lineage, replay, stats
 from tidemark.plans import logs_sql as sql
-from tidemark.plans.derive import EVENT_FIELDS, ORDER_FIELDS, events_log, orders_log, table
+from tidemark.plans.derive import DB, EVENT_FIELDS, ORDER_FIELDS, events_log, orders_log, table
 from tidemark.plans.records import orders_and_ddl, whole_log
 from tidemark.plans.registry import ORACLE, query
+from tidemark.schema import conform
 
 ORDER_KEY = ["o_orderkey"]
 USER_KEY = ["user_id"]
@@ -307,3 +308,19 @@ def key_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT user_id, count(*) AS n FROM events GROUP BY user_id ORDER BY n DESC, user_id LIMIT 20""")
 def hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.hot_rows_report(user_changes(spark, sf_dir), USER_KEY, 20)
+
+
+@query("replay_with_definitions", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 35 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey, o_orderstatus, o_totalprice,
+  o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 21 = 0""")
+def replay_with_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders truncated between the deletes and the re-inserts; drops of another table and of other databases do not count."""
+    tx = F.col("tx_seq")
+    steps = spark.createDataFrame(
+        [(4_999_999_999_999, DB, "orders", "TRUNCATE TABLE orders", None), (1, DB, "orders", "create table orders (x int)", "CREATE TABLE"),
+         (6_999_999_999_997, DB, "lineitem", "drop table lineitem", "DROP TABLE"), (6_999_999_999_998, None, None, "drop database shop_1", None),
+         (6_999_999_999_999, None, None, "drop procedure p", None)],
+        "tx_seq bigint, db_name string, table_ string, ddl_sql string, ddl_type string")
+    steps = conform(steps.withColumns({"scn": tx * 1000, "seq": F.lit(0), "lsn": tx, "op_type": F.lit("DDL")}))
+    log = orders_log(spark, sf_dir).unionByName(steps)
+    return replay.replay_table(odd_orders(spark, sf_dir), log, DB, "orders", ORDER_FIELDS, ORDER_KEY)
