@@ -19,7 +19,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     state = _checksum(edges)
     while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # staged, so that the joins with a hub's many links are plain shuffles, which AQE can split
+        low = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         kept = both.filter("v < u").join(low, "u").filter("v = m").select("u", "v")
         edges = large.unionByName(kept).filter("u <> v").distinct()

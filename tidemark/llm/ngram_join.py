@@ -240,6 +240,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .withColumn("id", F.col("id").cast("bigint")), "shingles")
     # one representative for each set; ids with several texts tie their sets together
     first = facts.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
+    first = staged(first, "first")  # both sides of a join on a hot key are plain shuffles, which AQE can split
     placed = facts.select("id", "n", "digest").join(first, "digest", "left")
     sets = staged(facts.join(first, "digest").filter("id = rep").select("id", "n", "digest", "keys", "bits")
                   .dropDuplicates(["digest"]), "sets")

@@ -136,7 +136,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     named = docs.withColumn("id", F.col("id").cast("string"))  # pandas has no integers with nulls
     facts = staged(named.mapInPandas(_facts(window, seed), _FACTS).withColumn("id", F.col("id").cast("bigint")), "winnowed")
-    first = facts.filter("id IS NOT NULL").groupBy("sha").agg(F.min("id").alias("first_id"))
+    # joins on keys that may be hot take staged tables: only plain shuffles can be split by AQE
+    first = staged(facts.filter("id IS NOT NULL").groupBy("sha").agg(F.min("id").alias("first_id")), "first")
     placed = facts.select("id", "sha", "tag", "n_words").join(first, "sha", "left")
     copies = placed.filter(F.col("id") > F.col("first_id")).select("id", "tag").distinct()
 
@@ -144,15 +145,15 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                .join(copies, ["id", "tag"], "left_anti")
                .select("id", "tag", F.explode(F.arrays_zip("anchors", "anchor_at")).alias("a"))
                .select("id", "tag", F.col("a.anchors").alias("anchor"), F.col("a.anchor_at").alias("at")))
-    shared = (anchors.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-              .filter("low < high").select("anchor"))
+    shared = staged(anchors.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+                    .filter("low < high").select("anchor"), "shared")
     seeds = anchors.join(shared, "anchor").groupBy("id", "tag").agg(F.collect_list("at").alias("seeds"))
     opened = staged(docs.filter("id IS NOT NULL").join(seeds, "id").mapInPandas(_open(window, seed), _OPENED), "opened")
 
     windows = opened.select("id", "tag", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select(
         "id", "tag", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"))
-    owners = (windows.groupBy("hash").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
-              .filter("owner < last").select("hash", "owner"))
+    owners = staged(windows.groupBy("hash").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
+                    .filter("owner < last").select("hash", "owner"), "owners")
     found = (windows.join(owners, "hash").filter("owner < id")
              .groupBy("id", "tag").agg(F.collect_set("start").alias("found")))
     cut = (opened.select("id", "tag", "text").dropDuplicates(["id", "tag"]).join(found, ["id", "tag"])

@@ -10,7 +10,15 @@ from tidemark.session import shared_dir
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/tidemark-llm/{name}-{uuid.uuid4().hex}"
+    """A folder of this application in the shared one; ``clear`` removes them all."""
+    return f"{shared_dir(spark).rstrip('/')}/tidemark-llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this application has staged; DataFrames that still read it can't be used afterwards."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/tidemark-llm/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
