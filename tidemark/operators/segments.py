@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -20,6 +19,7 @@ from tidemark.schema import ORDER, commit_order
 # Fixed values
 BATCH_RECORDS = 4096
 ROTATE_POSITION = 4
+BLOCK_SEGMENTS = 1_000
 RETENTION_SHARE = 0.3
 
 # Status of a segment lookup
@@ -206,10 +206,14 @@ def segment_index(segments: DataFrame, prefix: str = ids.SEGMENT_PREFIX) -> Data
 
 
 def segment_chain(segments: DataFrame, prefix: str = ids.SEGMENT_PREFIX) -> DataFrame:
-    """Each segment with the pointer to the next (NULL for the open one) and the size of that pointer."""
-    placed = numbered(segments.select("segment_no").distinct(), [F.col("segment_no")])
-    following = placed.select((F.col("pos") - 1).alias("pos"), F.col("segment_no").alias("next_no"))
-    return placed.join(following, "pos", "left").select(
+    """Each segment with the pointer to the next (NULL for the open one) and the size of that pointer.
+
+    Segments are numbered without gaps, so the next one is known from the last alone.
+    """
+    known = segments.select("segment_no").distinct()
+    last = F.broadcast(segments.agg(F.max("segment_no").alias("last_no")))  # one row
+    following = F.when(F.col("segment_no") < F.col("last_no"), F.col("segment_no") + 1)
+    return known.join(last).withColumn("next_no", following).select(
         "segment_no",
         ids.segment_name(F.col("segment_no"), prefix).alias("name"),
         F.when(F.col("next_no").isNotNull(), ids.segment_name(F.col("next_no"), prefix)).alias("next_name"),
@@ -256,20 +260,33 @@ def resume_point(events: DataFrame) -> DataFrame:
 
 
 def retention(segments: DataFrame, share: float = RETENTION_SHARE, before: Column | None = None) -> DataFrame:
-    """Add ``keep``: false for the oldest ``share`` of the segments (of those for which ``before`` holds)."""
-    oldest = math.floor(segments.count() * share)
-    drop = F.col("pos") <= oldest
+    """Add ``keep``: false for the oldest ``share`` of the segments (of those for which ``before`` holds).
+
+    Segments are one row each and numbered without gaps, so age is a comparison with the first and last number.
+    """
+    ends = F.broadcast(segments.agg(F.min("segment_no").alias("_low"), F.max("segment_no").alias("_high")))  # one row
+    oldest = F.floor((F.col("_high") - F.col("_low") + 1) * F.lit(share))
+    drop = F.col("segment_no") - F.col("_low") < oldest
     if before is not None:
         drop = drop & before
-    placed = numbered(segments, [F.col("segment_no")])
-    return placed.withColumn("keep", ~F.coalesce(drop, F.lit(False))).drop("pos")
+    return segments.join(ends).withColumn("keep", ~F.coalesce(drop, F.lit(False))).drop("_low", "_high")
 
 
 def write_segments(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write events to one folder per segment. Segments are ranges of the log, and so are the partitions of
-    ``events``: no shuffle is needed and a segment gets one file per range that touches it."""
-    events.write.partitionBy("segment_no").mode(mode).parquet(path)
+    """Write events to one folder per segment, a thousand segments to a folder of their own. Segments are ranges of
+    the log, and so are the partitions of ``events``: no shuffle is needed and a segment gets one file per range that
+    touches it."""
+    block = F.floor(F.col("segment_no") / BLOCK_SEGMENTS).alias("segment_block")
+    events.select("*", block).write.partitionBy("segment_block", "segment_no").mode(mode).parquet(path)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).withColumn("segment_no", F.col("segment_no").cast("long"))
+    """All events of a segment folder; filters on ``segment_no`` prune folders."""
+    return spark.read.parquet(path).withColumn("segment_no", F.col("segment_no").cast("long")).drop("segment_block")
+
+
+def read_segment_range(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """Events of segments ``first`` to ``last``; only the folders of their blocks are listed."""
+    blocks = [f"{path}/segment_block={b}" for b in range(first // BLOCK_SEGMENTS, last // BLOCK_SEGMENTS + 1)]
+    return spark.read.option("basePath", path).parquet(*blocks).withColumn(
+        "segment_no", F.col("segment_no").cast("long")).drop("segment_block").filter(F.col("segment_no").between(first, last))
