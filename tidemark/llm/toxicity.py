@@ -33,8 +33,9 @@ from tidemark.llm.tables import staged
 #: Labelled rows that voters and classifier are fitted on at most (the smallest hashes of their ids).
 MAX_LABELLED = 40_000
 MAX_TERMS, MAX_VOTERS, MIN_SUPPORT, MIN_LIFT = 2_048, 192, 5, 4.0
+VOTER_SHARE = 0.01  # of the toxic rows that a voter must fire on
 #: Correlation within a class from which a voter repeats another, or is discounted; accuracy of the given labels.
-REPEATED, CORRELATED, LABEL_ACCURACY = 0.6, 0.3, 0.95
+REPEATED, CORRELATED, LABEL_ACCURACY = 0.6, 0.3, 0.995
 EM_ROUNDS, PREFIXES, REPEATS = 4, (3, 4, 5, 6, 7), (1, 2, 3)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -183,7 +184,7 @@ def fit_label_model(held: DataFrame, start: LabelModel, voters: np.ndarray,
     return model, voters
 
 
-def fit_linear(held: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 150, ridge: float = 1e-4) -> np.ndarray:
+def fit_linear(held: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 600, ridge: float = 1e-5) -> np.ndarray:
     """Logistic regression on 0/1 terms with soft labels; the last weight is the intercept."""
     lengths = np.array([len(h) for h in held])
     columns = np.concatenate([np.asarray(h, np.int64) for h in held] or [np.zeros(0, np.int64)])
@@ -234,7 +235,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                            F.lit(float(share)).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"))
     clean = np.array([(m[1] + 0.5) / (n_clean + 1) for m in mined])
     toxic = np.array([(m[2] + 0.5) / (n_toxic + 1) for m in mined])
-    voters = np.flatnonzero((toxic / clean >= MIN_LIFT) & (np.array([m[2] for m in mined]) >= MIN_SUPPORT))[:MAX_VOTERS]
+    voters = np.flatnonzero((toxic / clean >= MIN_LIFT) & (np.array([m[2] for m in mined]) >= max(MIN_SUPPORT, VOTER_SHARE * n_toxic)))[:MAX_VOTERS]
     held = staged(rows.mapInPandas(_hold([m[0] for m in mined]), "doc_id string, held array<int>"), "terms")
 
     picked = held.join(F.broadcast(chosen), "doc_id").select("held", "label").toPandas()  # at most max_labelled rows
