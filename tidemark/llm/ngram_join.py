@@ -36,7 +36,7 @@ from tidemark.llm.wordhash import each_words, mix, shingles_of
 
 #: Counters for common tokens (a power of two), the share of hashes they count, and how far above the mean is common.
 COUNTERS, COUNTED_SHARE, COMMON_COUNT, COMMON_FACTOR = 1 << 22, 0.2, 24, 16
-GROUP, CLUSTER, CLUSTER_TOKENS, HUBS = 2_048, 1_024, 2_000_000, 16
+GROUP, CLUSTER, CLUSTER_TOKENS, HUBS = 2_048, 1_024, 1_000_000, 16
 _FACTS = "id string, n bigint, digest binary, keys array<bigint>, bits binary"
 
 
@@ -54,17 +54,17 @@ def _counter(tokens: np.ndarray) -> np.ndarray:
 
 
 def _count_tokens(k: int, lower: bool):
-    """Counts of low-hash tokens by counter; a counter below 3 in a few thousand texts is left out."""
+    """Counts of low-hash tokens by counter; a counter below 3 in a task is left out."""
     limit = np.uint64(int(COUNTED_SHARE * 2.0**64))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(COUNTERS, np.int32)
         for batch in batches:
-            counts = np.zeros(COUNTERS, np.int32)
             for _, _, words in each_words(batch["text"], lower):
                 tokens, _ = shingles_of(words, k)
                 np.add.at(counts, _counter(tokens[tokens < limit]), 1)
-            at = np.flatnonzero(counts >= 3)
-            yield pd.DataFrame({"at": at.astype(np.int32), "n": counts[at].astype(np.int64)})
+        at = np.flatnonzero(counts >= 3)
+        yield pd.DataFrame({"at": at.astype(np.int32), "n": counts[at].astype(np.int64)})
     return run
 
 
