@@ -36,6 +36,7 @@ from tidemark.llm.wordhash import each_words, mix, shingles_of
 
 #: Counters for common tokens (a power of two), the share of hashes they count, and how far above the mean is common.
 COUNTERS, COUNTED_SHARE, COMMON_COUNT, COMMON_FACTOR = 1 << 22, 0.2, 24, 16
+ID_BITS = 24
 GROUP, CLUSTER, CLUSTER_TOKENS, HUBS = 2_048, 1_024, 1_000_000, 16
 _FACTS = "id string, n bigint, digest binary, keys array<bigint>, bits binary"
 
@@ -120,6 +121,21 @@ def _as_matrix(bitmaps: list[bytes]) -> np.ndarray:
     return np.stack([fold(a, width) for a in arrays])
 
 
+def star(edges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Links with the same components, each id with the smallest of its component: no long chains are left to follow."""
+    root: dict[int, int] = {}
+
+    def find(a: int) -> int:
+        while root.setdefault(a, a) != a:
+            root[a] = a = root[root[a]]
+        return a
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return [(a, r) for a in list(root) if (r := find(a)) != a]
+
+
 def _cluster_groups(percent: int):
     """Forest edges of possibly similar members of each group; rows come sorted by group."""
     keys = ["kb", "ci", "cj"]
@@ -135,7 +151,7 @@ def _cluster_groups(percent: int):
             return True
 
         dual_traversal(tree, tree, percent, Forest(len(ids)), note)
-        return edges
+        return star(edges)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -226,7 +242,7 @@ def _link_cluster(k: int, percent: int, lower: bool):
                 join(np.flatnonzero(outer), np.flatnonzero(~outer))
         else:
             join(np.arange(len(ids)), None)
-        return pd.DataFrame(edges, columns=["a", "b"], dtype=np.int64)
+        return pd.DataFrame(star(edges), columns=["a", "b"], dtype=np.int64)
     return run
 
 
@@ -272,7 +288,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sized = clusters.join(ends, "id").join(sets.select("id", "n"), "id")
     extent = _extent(sized)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    cast = staged(texts.join(clusters, "id").join(extent, "cluster"), "clusters").withColumn("h", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
+    texts = _likely(texts, clusters).join(clusters, "id")  # most texts stay out of the shuffle
+    cast = staged(texts.join(extent, "cluster"), "clusters").withColumn("h", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
     schema = "a bigint, b bigint"
     link = _link_cluster(k, percent, lower)
     plain = cast.select("cluster", "h", "id", "text", F.lit(False).alias("outer"))
@@ -302,6 +319,26 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
 
 
+def _likely(texts: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``texts`` without most of those that are in no cluster, by a bitmap of fixed size of the ids' hashes; the executors
+    OR it together, and at most 2^18 words of it reach the driver."""
+    low = F.xxhash64("id").bitwiseAND((1 << ID_BITS) - 1)
+    words = (clusters.select(low.alias("low")).groupBy(F.shiftright("low", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(low & 63 AS int))")).alias("bits")).collect())
+    table = np.zeros(1 << (ID_BITS - 6), np.int64)
+    for row in words:
+        table[row["word"]] = row["bits"]
+    bitmap = texts.sparkSession.sparkContext.broadcast(table.view(np.uint8))
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at = batch["low"].to_numpy(np.int64)
+            found = (bitmap.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            yield batch.loc[found, ["id", "text"]]
+
+    return texts.filter("id IS NOT NULL").withColumn("low", low).mapInPandas(keep, "id bigint, text string")
+
+
 def _extent(sized: DataFrame) -> DataFrame:
     """Chunks of each cluster, and the ids of its hubs: those with the highest degree, a bounded number for each."""
     chunks = F.greatest(F.ceil(F.count("*") / CLUSTER), F.ceil(F.sum("n") / CLUSTER_TOKENS)).cast("int")
