@@ -102,6 +102,27 @@ def test_encoder_equals_the_library(path):
             assert [tuple(s) for s in spans[part].tolist()] == wanted.offsets
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_special_tokens_as_in_an_unaltered_library(path):
+    from tokenizers import Tokenizer
+    library, dice = Tokenizer.from_file(path), random.Random(8)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "<", "|endoftext|>", " ", " ", "  ", "    ", "\n", "a", "Bc", "é", "\u0338",
+             "'s", "12"]
+    texts = ["a <|endoftext|> b", "a     <|endoftext|>", "<|endoftext|><|startoftext|>", "ends in spaces     ", "x", None, " " * 9, "y"]
+    texts += ["".join(dice.choice(parts) for _ in range(dice.randrange(14))) for _ in range(2000)]
+    own = encoder.Encoder(path, offsets=True)
+    fast = encoder.Encoder(path)
+    for limit in (60, 1 << 20):
+        for (begin, end, ids, where, spans), (*_, same, _, _) in zip(own.each(pd.Series(texts), limit), fast.each(pd.Series(texts), limit)):
+            assert ids.tolist() == same.tolist()
+            for i in range(begin, end):
+                wanted = library.encode(texts[i] or "", add_special_tokens=False)
+                part = slice(where[i - begin], where[i - begin + 1])
+                assert (ids[part].tolist(), [tuple(s) for s in spans[part].tolist()]) == (wanted.ids, wanted.offsets), texts[i]
+    first = {BYTE: [64, 220, 50256, 275], WORD: [320, 49407, 321]}[path]
+    assert own.encode(*wordhash.buffer_of(pd.Series(texts[:1])))[0].tolist() == first
+
+
 # 1 -----------------------------------------------------------------------------------------------------------------
 def test_minimum_cut_is_minimal():
     dice = random.Random(1)

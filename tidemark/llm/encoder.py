@@ -1,8 +1,9 @@
 """Token ids of whole texts with the tokenizers library, encoding each distinct piece of text once.
 
-A text is cut before every single space that is followed by a character which is surely no white space. Both public
-vocabularies split there anyway, so the ids (and offsets) of a text are those of its pieces in turn; the tests compare
-them with the library on whole texts. Pieces repeat so much that the library sees a few hundredths of the text.
+A text is cut before every single space that is followed by a character which is surely no white space and begins no
+special token (``<|``). Both public vocabularies split there anyway, so the ids (and offsets) of a text are those of its
+pieces in turn; the tests compare them with the library on whole texts. The string of a special token gives its id, as in
+the library. Pieces repeat so much that the library sees a few hundredths of the text.
 Pieces are recognised by 64-bit hashes, kept per worker process up to ``KEEP`` pieces and then forgotten.
 """
 
@@ -36,9 +37,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.joined, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True  # the strings of special tokens are ordinary text
-        special = self.joined.get_added_tokens_decoder()
+        self.plain = Tokenizer.from_file(path)
+        special = self.plain.get_added_tokens_decoder()
         self.mark_id, self.mark = next((i, t.content) for i, t in sorted(special.items()))
         self.offsets = offsets
         self.forget()
@@ -50,7 +50,7 @@ class Encoder:
         self.spans = np.zeros((0, 2), np.int32)
 
     def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        """Encode new pieces, many joined by a special token at a time."""
+        """Encode new pieces, many joined by a special token at a time; those that may hold one themselves go alone."""
         counts, ids, spans = np.zeros(len(pieces), np.int64), [], []
         odd = [i for i, p in enumerate(pieces) if b"<|" in p]
         plain = [i for i, p in enumerate(pieces) if b"<|" not in p] if odd else range(len(pieces))
@@ -64,7 +64,7 @@ class Encoder:
             size += len(pieces[i])
         mark = self.mark.encode()
         texts = [mark.join(g).decode() for g in groups if g]
-        batch = self.joined.encode_batch if self.offsets else self.joined.encode_batch_fast
+        batch = self.plain.encode_batch if self.offsets else self.plain.encode_batch_fast
         done = 0
         for k, got in enumerate(batch(texts, add_special_tokens=False)):
             own = np.array(got.ids, np.int32)
@@ -101,6 +101,9 @@ class Encoder:
             return np.zeros(0, np.int32), np.zeros(len(starts), np.int64), np.zeros((0, 2), np.int64)
         cut = np.zeros(n + 1, bool)
         cut[: n - 1] = (data[:-1] == 0x20) & _SURE[data[1:]]
+        # white space before a special token, or at a text's end, belongs together: the library splits behind all of it
+        cut[: max(n - 2, 0)] &= ~((data[1:-1] == 0x3C) & (data[2:] == 0x7C))
+        cut[starts[1:] - 1] = False
         cut[starts] = True
         edges = np.flatnonzero(cut[:n])
         ends = np.append(edges[1:], n)
