@@ -148,6 +148,27 @@ def test_main_text_leaves_boilerplate():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<nav>Menu</nav>") == ""
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<head><title>T</title><meta name=a><body><p>After a head</p>", "After a head"),
+    ("<html><head><title>T</title><script>x='<p>no</p>'</script><div><p>No body tag</p></div>", "No body tag"),
+    ("<head><title>T<body><p>No end of the title</p>", "No end of the title"),
+    ("<head><noscript><link></noscript><noscript><link><body><p>Noscript in a head</p>", "Noscript in a head"),
+    ("<div><iframe src=x></div><p>After an iframe</p>", "After an iframe"),
+    ("<div><noscript>Turn it on<p>now</div><p>After noscript</p><noscript><p>No</p></noscript>", "After noscript"),
+    ("<div><object><param></div><p>After an object</p>", "After an object"),
+    ("<form><textarea></form><p>After a textarea</p>", "After a textarea"),
+    ("<p>One<noscript>no<p>Two</p>", "One\nTwo"),
+    ("<p>One<svg class='x'/> two <math/>three</p><p>Four<svg><path d='x'/></svg></p>", "One two three\nFour"),
+    ("<p>One <svg><g><p>Two</p>", "One\nTwo"),
+    ("<p>One <svg><foreignObject><div>no</div></foreignObject><svg><g/></svg>no<title>no</title></svg>two</p>", "One two"),
+    ("<p>One <object><p>no</p><object>no</object>no</object>two</p>", "One two"),
+    ("<p>One <template><div>no</div><template>no</template>no</template>two</p>", "One two"),
+    ("<p>One</p><script>if (a) { x = '<p>no</p>'", "One"),
+])
+def test_elements_without_text_end(page, text):
+    assert "\n".join(b.text for b in html_text.blocks_of(page)) == text
+
+
 def test_pages_with_awkward_rows(spark):
     long_page = "<article>" + "<p>text of a paragraph</p>" * 3000 + "</article>"
     pages = spark.createDataFrame(

@@ -7,7 +7,10 @@ further apart they are in the element tree, and blocks that follow each other in
 separates content from boilerplate at the least total cost.
 
 Defined results: a null or empty page has no text. Broken markup is read as far as it goes: unclosed elements end with
-their container, unknown character references stay as they are, a page without any content has empty text. Pages are
+their container (a script or style without an end is code up to the page's end, as in browsers), unknown character
+references stay as they are, a page without any content has empty text. What is no text of the page (``OPAQUE_TAGS``) is
+nested like other elements; a head also ends at the first thing that belongs to a body, and svg and math end at a tag of
+HTML, or at once if they close themselves. Pages are
 independent, so equal rows give equal results.
 """
 
@@ -27,7 +30,14 @@ fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup
 p pre section select summary table tbody td tfoot th thead tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-OPAQUE_TAGS = "script style noscript template iframe object svg math canvas audio video textarea title head".split()
+OPAQUE_TAGS = frozenset("script style noscript template iframe object svg math canvas audio video textarea title head".split())
+RAW_TAGS = "script style textarea title".split()  # up to their end tag nothing is markup
+HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title head html".split())
+FOREIGN_TAGS = frozenset(["svg", "math"])
+#: Parts of foreign elements that hold HTML, and tags that end a foreign element because they are HTML.
+_ISLANDS = frozenset("foreignobject desc annotation-xml mtext mi mo mn ms".split())
+_HTML_ONLY = BLOCK_TAGS | frozenset("""b big br code em embed head i img meta nobr ruby s small span strong strike sub sup tt u
+var""".split())
 #: Linear weights of the classifier, in log-odds of content.
 TAG_WEIGHTS = {
     "article": 3.0, "main": 2.0, "nav": -9.0, "footer": -9.0, "aside": -9.0, "form": -9.0, "button": -9.0, "select": -9.0,
@@ -48,9 +58,9 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search aler
 ADJACENT, SIBLING = 0.6, 0.5
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(?P<opaque>" + "|".join(OPAQUE_TAGS) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-_OPAQUE_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in OPAQUE_TAGS}
+    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW_TAGS}
+_NESTED = re.compile(r"<(/?)(" + "|".join(sorted(OPAQUE_TAGS.difference(RAW_TAGS))) + r")(?=[\s/>])", re.I)
 _ATTR = re.compile(r"(?:^|[\s\"'])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _SELF_CLOSING = frozenset("p li dt dd option tr td th".split())
 
@@ -61,6 +71,8 @@ class Element:
     weight: float
     depth: int
     in_article: bool
+    opaque: bool = False
+    closed: bool = False  # an opaque element with an end tag further on
 
 
 @dataclass(slots=True)
@@ -94,12 +106,27 @@ def _attribute_weight(attrs: str) -> float:
     return weight
 
 
+def _closed_openings(page: str) -> set[int]:
+    """Where the opening tags of opaque elements begin that have an end tag."""
+    waiting: dict[str, list[int]] = {}
+    closed = set()
+    for found in _NESTED.finditer(page):
+        own = waiting.setdefault(found[2].lower(), [])
+        if not found[1]:
+            own.append(found.start())
+        elif own:
+            closed.add(own.pop())
+    return closed
+
+
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, scored by the classifier."""
     blocks: list[Block] = []
     stack = [Element("", 0.0, 0, False)]
     ids, made = [0], 0
     current, links = _Open(), 0
+    hidden = 0  # place of the outermost opaque element on the stack
+    closed, endless = _closed_openings(page), set()
 
     def flush() -> None:
         nonlocal current
@@ -112,8 +139,36 @@ def blocks_of(page: str) -> list[Block]:
                 blocks.append(Block(text, leaf, tuple(ids), max(-20.0, min(20.0, score))))
             current = _Open()
 
+    def leave(place: int) -> None:
+        nonlocal hidden
+        del stack[place:], ids[place:]
+        if hidden >= place:
+            hidden = 0
+
+    def ended_by(tag: str) -> int:
+        """Place of the outermost element that ends, within the opaque ones, because ``tag`` begins; 0: none."""
+        out = 0
+        for i in range(len(stack) - 1, 0, -1):
+            e = stack[i]
+            if e.tag == "head":
+                out = i if tag not in HEAD_TAGS else out
+            elif e.tag in FOREIGN_TAGS:
+                if tag not in _HTML_ONLY:
+                    break
+                out = i
+            elif e.opaque:
+                if e.closed:
+                    break
+            elif i < hidden and tag in BLOCK_TAGS and (e.tag == "p" or (e.tag == tag and tag in _SELF_CLOSING)):
+                return hidden
+            elif e.tag in _ISLANDS or (e.tag in BLOCK_TAGS and e.tag != "p"):
+                break
+        return out
+
     def add(text: str) -> None:
-        if text:
+        if hidden and stack[-1].tag == "head" and text.strip():
+            leave(len(stack) - 1)
+        if text and not hidden:
             current.parts.append(text)
             current.length += len(text)
             current.linked += len(text) if links else 0
@@ -122,20 +177,47 @@ def blocks_of(page: str) -> list[Block]:
     while (found := _TOKEN.search(page, at)) is not None:
         add(page[at: found.start()])
         at = found.end()
-        if opaque := found["opaque"]:
-            end = _OPAQUE_END[opaque.lower()].search(page, at)
-            at = end.end() if end else len(page)
-            continue
         tag = (found["tag"] or "").lower()
         if not tag:
             continue
+        closing = found["close"]
+        if hidden and not closing and (place := ended_by(tag)):
+            leave(place)
+        foreign = stack[-1].tag not in _ISLANDS and any(e.tag in FOREIGN_TAGS for e in stack[hidden:]) if hidden else False
+        empty = tag in VOID_TAGS or ((foreign or tag in FOREIGN_TAGS) and found["attrs"].endswith("/"))
+        if tag in _RAW_END and not closing and not empty:
+            end = None if tag in endless else _RAW_END[tag].search(page, at)
+            if end is not None:
+                at = end.end()
+                continue
+            endless.add(tag)
+            if tag in ("script", "style") and not foreign:
+                at = len(page)
+                break
+        if not closing and (hidden or tag in OPAQUE_TAGS):
+            if not empty:
+                opaque = tag in OPAQUE_TAGS
+                if opaque and not hidden:
+                    hidden = len(stack)
+                made += 1
+                stack.append(Element(tag, 0.0, len(stack), stack[-1].in_article, opaque, found.start() in closed))
+                ids.append(made)
+            continue
+        if closing and hidden:
+            at_depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            if not at_depth:
+                continue
+            inside = at_depth >= hidden
+            leave(max(at_depth, hidden))
+            if inside:
+                continue
         if tag == "br":
             add(" ")
             continue
         if tag == "a":
-            links = 0 if found["close"] else 1
+            links = 0 if closing else 1
         block = tag in BLOCK_TAGS
-        if found["close"]:
+        if closing:
             at_depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             if block:
                 flush()
@@ -166,6 +248,8 @@ def blocks_of(page: str) -> list[Block]:
         stack.append(Element(tag, own, len(stack), in_article))
         ids.append(made)
     add(page[at:])
+    if hidden:
+        leave(hidden)
     flush()
     return blocks
 
