@@ -305,6 +305,29 @@ def test_classes_of_random_copies(spark, monkeypatch, chunked):
     assert Counter(map(tuple, ngram_join.jaccard_classes(frame).collect())) == brute_classes(rows, 4, 85)
 
 
+@pytest.mark.parametrize("chunked", [False, True])
+def test_ids_in_clusters_with_rows_without_words(spark, monkeypatch, chunked):
+    if chunked:
+        monkeypatch.setattr(ngram_join, "GROUP", 6)
+        monkeypatch.setattr(ngram_join, "CLUSTER", 4)
+        monkeypatch.setattr(ngram_join, "HUBS", 2)
+    base, dice, rows = lines(100, 31).split(), random.Random(4), []
+    for i in range(16):
+        own = list(base)
+        for _ in range(dice.choice([0, 1, 1, 3, 4])):
+            own[dice.randrange(len(own))] = f"edit{i}"
+        rows += [(i, " ".join(own)), (i, [None, "", " \n\t "][i % 3])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert Counter(map(tuple, ngram_join.jaccard_classes(frame).collect())) == brute_classes(rows, 4, 85)
+
+
+def test_cluster_without_words_has_no_links():
+    group = pd.DataFrame({"id": [1, 2, 3, 3], "text": [lines(50, 1), lines(50, 1), None, ""], "outer": [False, False, True, True]})
+    link = ngram_join._link_cluster(4, 85, True)
+    assert len(link(group)) == 0 and len(link(group[2:])) == 0
+    assert link(group.assign(outer=False)).to_numpy().tolist() in ([[1, 2]], [[2, 1]])
+
+
 def test_tree_finds_all_links():
     dice = np.random.default_rng(3)
     base = dice.integers(0, 1 << 40, 300, dtype=np.uint64)

@@ -204,11 +204,15 @@ def _link_cluster(k: int, percent: int, lower: bool):
     """Links that connect what is linked among the documents of a group; ``outer`` ones are compared with all, the
     others (if any outer ones are there) only with them."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates(["id", "text"])
-        ids, sets = group["id"].to_numpy(), []
+        group, sets, with_outer = group.drop_duplicates(["id", "text"]), [], group["outer"].any()
         for _, _, words in each_words(group["text"], lower):
             tokens, where = shingles_of(words, k)
             sets += [np.unique(tokens[a:b]) for a, b in zip(where[:-1], where[1:])]
+        group = group[[len(s) > 0 for s in sets]]  # other rows of an id may have no words; they link with nothing
+        sets = [s for s in sets if len(s)]
+        if not sets or with_outer and not group["outer"].any():
+            return pd.DataFrame([], columns=["a", "b"], dtype=np.int64)
+        ids = group["id"].to_numpy()
         sizes = np.array([len(s) for s in sets])
         outer = group["outer"].to_numpy(bool)
         bits = _as_matrix([bits_of(s, width_of(len(s))).tobytes() for s in sets])
