@@ -190,12 +190,28 @@ FROM columns JOIN n USING (table_) GROUP BY table_""")
 def table_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _row_logs(spark, sf_dir).filter((F.col("op_type") == "I") & (
         (F.col("table_") != "orders") | (F.col("tx_seq") < 2_000_000_000_000)))
+    return _counted_maps(log, "n_first_inserts")
+
+
+@query("table_map_all", f"""
+WITH {_COLUMNS_SQL}, {sql.ALL_LOG},
+n AS (SELECT table_, count(*) AS n FROM all_log WHERE op_type <> 'DDL' GROUP BY table_)
+SELECT table_, CAST(count(*) AS INTEGER) AS n_columns, string_agg(type_code::VARCHAR, ',' ORDER BY ordinal) AS type_codes,
+  string_agg(CASE WHEN nullable THEN '1' ELSE '0' END, ',' ORDER BY ordinal) AS nullable,
+  string_agg(concat_ws(',', meta1::VARCHAR, meta2::VARCHAR), ',' ORDER BY ordinal) FILTER (meta1 IS NOT NULL) AS metadata,
+  any_value(n.n) AS n_maps
+FROM columns JOIN n USING (table_) GROUP BY table_""")
+def table_map_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted_maps(_row_logs(spark, sf_dir), "n_maps")
+
+
+def _counted_maps(log: DataFrame, name: str) -> DataFrame:
     maps = log.select("table_", events.table_map_payload().alias("m"))
     return maps.groupBy(
         "table_", F.col("m.n_columns").alias("n_columns"), F.array_join("m.type_codes", ",").alias("type_codes"),
         F.array_join(F.transform("m.nullable", lambda b: b.cast("int").cast("string")), ",").alias("nullable"),
         F.array_join("m.metadata", ",").alias("metadata"),
-    ).agg(F.count(F.lit(1)).alias("n_first_inserts"))
+    ).agg(F.count(F.lit(1)).alias(name))
 
 
 @query("column_metadata", f"WITH {_COLUMNS_SQL} SELECT table_, ordinal, column_name, type_code, meta1, meta2 FROM columns")
@@ -358,6 +374,25 @@ def unknown_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tx_seq", "column_name")
 
 
+@query("kv_schema_join_keys", f"""
+WITH {sql.O_LOG}, c(column_name, ordinal, tag) AS (VALUES ('o_orderkey', 1, 'LONG'), ('o_orderstatus', 3, 'STRING'),
+  ('o_orderpriority', 6, 'STRING'))
+SELECT tx_seq, column_name, ordinal, tag FROM o_log, c
+WHERE op_type <> 'I' AND (ordinal = 1 OR (phase = 2 AND ordinal = 3) OR (phase = 3 AND ordinal = 6))""")
+def kv_schema_join_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return images.stated_columns(orders_log(spark, sf_dir), "keys")
+
+
+@query("unknown_columns_keys", f"""
+WITH {sql.O_LOG} SELECT tx_seq, 'no_such_column' AS column_name FROM o_log
+WHERE o_orderkey % 97 = 3 AND op_type <> 'I'""")
+def unknown_columns_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stray = F.array_append("keys", kv("no_such_column", "long", "1"))
+    k = F.col("tx_seq") % 1_000_000_000_000 % 97
+    log = orders_log(spark, sf_dir).withColumn("keys", F.when(k == 3, stray).otherwise(F.col("keys")))
+    return images.stated_columns(log, "keys").filter(F.col("ordinal").isNull()).select("tx_seq", "column_name")
+
+
 @query("commit_order", f"""
 WITH {sql.OD_LOG} SELECT row_number() OVER (ORDER BY {sql.ORDERED}) AS pos, tx_seq, op_type FROM od_log""")
 def commit_order_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
