@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, html_text, ngram_join, packing, quality_model, quality_rules, substrings, token_counts, token_store, toxicity
+from tidemark.llm import decontaminate, html_text, ngram_join, packing, quality_model, quality_rules, substrings, token_counts, token_store, toxicity, whitening
 from tidemark.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_quality_classifier")
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load(spark, sf_dir, "embeddings"))
