@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, html_text, ngram_join, packing, quality_model, quality_rules, substrings, token_counts, token_store, toxicity, whitening
+from tidemark.llm import decontaminate, html_text, lexical, ngram_join, packing, quality_model, quality_rules, substrings, token_counts, token_store, toxicity, whitening
 from tidemark.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,24 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_embedding_whitening")
 def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(load(spark, sf_dir, "embeddings"))
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@query("op12_lexical_search", rf"""
+WITH docs AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+facts AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs),
+held AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term), facts),
+items AS (SELECT item_id, unnest(list_distinct({_TERMS})) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM items JOIN held USING (term) JOIN weights USING (term), facts GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50""")
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
