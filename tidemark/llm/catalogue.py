@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontaminate, html_text, lexical, ngram_join, packing, quality_model, quality_rules, substrings, token_counts, token_store, toxicity, whitening
+from tidemark.llm import decontaminate, html_text, lexical, ngram_join, packing, quality_model, quality_rules, secret_scan, substrings, token_counts, token_store, toxicity, whitening
 from tidemark.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,33 @@ SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 FROM scored WHERE score > 0 QUALIFY rank <= 50""")
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def _found(k: int, rule: secret_scan.Rule) -> str:
+    pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    return (f"SELECT r, {k} AS kind, '{rule.name}' AS name, {rule.least} AS least, string_split_regex(text, {pattern}) AS gaps, "
+            f"regexp_extract_all(text, {pattern}) AS m, regexp_extract_all(text, {pattern}, {rule.value}) AS v FROM texts")
+
+
+@query("op13_secret_scan", """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+found AS (
+""" + " UNION ALL ".join(_found(k, rule) for k, rule in enumerate(secret_scan.RULES)) + f"""),
+each AS (SELECT *, unnest(range(1, len(m) + 1)) AS k FROM found WHERE len(m) > 0),
+spans AS (
+  SELECT r, kind, name, length(m[k]) AS n,
+         list_sum([length(x) FOR x IN gaps[1:k]]) + coalesce(list_sum([length(x) FOR x IN m[1:k - 1]]), 0) AS b
+  FROM each WHERE length(v[k]) >= least),
+named AS (SELECT r, kind, b, concat_ws(':', name, b, b + n) AS span FROM spans)
+SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY b, kind) FILTER (kind < {secret_scan.N_BASE}), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY b, kind), '') AS spans
+FROM texts LEFT JOIN named USING (r) GROUP BY r, doc_id""")
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules, found = secret_scan.RULES, secret_scan.scan(load(spark, sf_dir, "documents"))
+    kinds = F.transform("spans", lambda s: s["rule"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{rule.name}")
+              for k, rule in enumerate(rules[:secret_scan.N_BASE])]
+    base = F.filter("spans", lambda s: s["rule"] < secret_scan.N_BASE)
+    return found.select("doc_id", *counts, F.sha2(secret_scan.as_text(base, rules), 256).alias("base_sha256"),
+                        secret_scan.as_text(F.col("spans"), rules).alias("spans"))
