@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.scans import carry_forward, hot_keys, numbered, running_total
+from tidemark.operators.scans import add_buckets, carry_forward, hot_keys, numbered, running_total
 
 
 def rows(n, seed):
@@ -15,11 +15,11 @@ def rows(n, seed):
     return out
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 8])
-def test_running_total(spark, partitions):
+@pytest.mark.parametrize("buckets", [1, 3, 8, 500, None])
+def test_running_total(spark, buckets):
     data = rows(900, 1)
     frame = spark.createDataFrame(data, "tx long, lsn long, k long, v long").repartition(5)
-    got = running_total(frame, [F.col("tx"), F.col("lsn")], {"total": F.col("v"), "n": F.lit(1)}, partitions)
+    got = running_total(frame, [F.col("tx"), F.col("lsn")], {"total": F.col("v"), "n": F.lit(1)}, buckets)
     expected, total = {}, 0
     for i, (tx, lsn, _, v) in enumerate(sorted(data, key=lambda r: r[:2])):
         total += v or 0
@@ -65,3 +65,38 @@ def test_only_busy_keys_are_split(spark):
     assert hot_keys(many, ["k"], 2).count() == 20_000
     plan = carry_forward(frame, ["k"], [F.col("lsn")], {"last": F.col("v")}, hot_rows=10_000)._jdf.queryExecution().toString()
     assert "single partition" not in plan.lower() and "SinglePartition" not in plan
+
+
+def test_buckets_follow_the_order_and_the_rows(spark):
+    data = rows(3000, 4)
+    frame = spark.createDataFrame(data, "tx long, lsn long, k long, v long")
+    order = [F.col("tx"), F.col("lsn")]
+    got = sorted(map(tuple, add_buckets(frame.repartition(7), order, 12).select("tx", "lsn", "_bucket").collect()))
+    numbers = [b for *_, b in got]
+    assert numbers == sorted(numbers) and 10 <= len(set(numbers)) <= 13 and numbers[0] == 0
+    assert max(numbers.count(b) for b in set(numbers)) < 3 * 3000 / 12  # a transaction of a third of the rows is split
+    again = add_buckets(frame.repartition(2).orderBy(F.rand()), order, 12).select("tx", "lsn", "_bucket").collect()
+    assert sorted(map(tuple, again)) == got
+    one = spark.createDataFrame([(1, 2)] * 50, "tx long, lsn long")
+    assert {r._bucket for r in add_buckets(one, order, 12).collect()} <= {0, 1}
+
+
+def test_buckets_of_other_orders(spark):
+    """Structs, texts, times with microseconds, NULLs and a column that is named like a bound."""
+    frame = spark.sql("""SELECT named_struct('a', id % 5, 'b', if(id % 7 = 0, NULL, id)) AS s, if(id % 3 = 0, NULL, concat('é"', id % 9)) AS all,
+        timestamp_micros(id * 333333) AS g, id FROM range(400)""")
+    order = [F.col("s"), F.col("all"), F.col("g")]
+    placed = {r.id: r.pos for r in numbered(frame, order, buckets=9).collect()}
+    assert [r.id for r in frame.orderBy(*order).collect()] == sorted(placed, key=placed.get)
+
+
+def test_running_total_keeps_nothing(spark):
+    """One job before the action, no checkpoint, no cached rows, no Python, no single task that holds rows."""
+    frame = spark.createDataFrame(rows(900, 5), "tx long, lsn long, k long, v long")
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    total = running_total(frame, [F.col("tx"), F.col("lsn")], {"total": F.col("v")}, 8)
+    # Spark runs one or two jobs for an adaptive aggregate: its shuffle stage and its result
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")) <= 3
+    spark.sparkContext.setJobGroup("rest", "rest")
+    plan = total._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "InMemory", "ExistingRDD LocalCheckpoint"))

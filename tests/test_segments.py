@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from records import INSERT, b64, kv, meta
@@ -33,27 +34,27 @@ def rotate(items, limit, segment=1, position=size.SEGMENT_HEADER_BYTES):
         yield key, segment, position
 
 
-@pytest.mark.parametrize(("n", "longest", "limit", "partitions"), [
+@pytest.mark.parametrize(("n", "longest", "limit", "buckets"), [
     (200, 50, 2_000, 8), (200, 50, 700, 3), (200, 900, 1_500, 8), (60, 50, 10_000_000, 8), (1, 5, 2_000, 2), (150, 1, 1_000, 8),
     (200, 50, 30_000, 16),
 ])
-def test_greedy_segments(spark, n, longest, limit, partitions):
+def test_greedy_segments(spark, n, longest, limit, buckets):
     frame = log(spark, n, n + longest, longest)
-    got = segments.greedy_segments(frame, limit, partitions=partitions).collect()
+    got = segments.greedy_segments(frame, limit, buckets=buckets, fan=3).collect()
     expected = list(rotate((((tx, ord_), length) for tx, ord_, length in lengths(frame)), limit))
     assert {(r.tx_seq, r.event_ord): (r.segment_no, r.segment_pos) for r in got} == {k: (s, p) for k, s, p in expected}
 
 
 def test_greedy_segments_resume(spark):
     frame = log(spark, 100, 5, 80)
-    got = segments.greedy_segments(frame, 3_000, start_segment=9, start_position=2_345, partitions=5).collect()
+    got = segments.greedy_segments(frame, 3_000, start_segment=9, start_position=2_345, buckets=5).collect()
     expected = rotate((((tx, ord_), length) for tx, ord_, length in lengths(frame)), 3_000, 9, 2_345)
     assert {(r.tx_seq, r.event_ord): (r.segment_no, r.segment_pos) for r in got} == {k: (s, p) for k, s, p in expected}
 
 
 def test_whole_transactions(spark):
     frame = log(spark, 120, 6, 80)
-    got = segments.greedy_segments(frame, 3_000, unit="txn", partitions=5)
+    got = segments.greedy_segments(frame, 3_000, unit="txn", buckets=5)
     totals = {}
     for tx, _, length in lengths(frame):
         totals[tx] = totals.get(tx, 0) + length
@@ -66,7 +67,7 @@ def test_whole_transactions(spark):
 
 def test_positions_and_quota(spark):
     frame = log(spark, 150, 7, 200)
-    placed = segments.quota_segments(frame, 5_000, ("check_point",), partitions=6)
+    placed = segments.quota_segments(frame, 5_000, ("check_point",), buckets=6)
     rows = sorted(placed.collect(), key=lambda r: (r.tx_seq, r.event_ord))
     end = 0
     for r, (_, _, length) in zip(rows, lengths(frame)):
@@ -81,7 +82,7 @@ def test_positions_and_quota(spark):
 
 def test_segment_folders(spark, tmp_path):
     frame = log(spark, 100, 8, 200)
-    placed = segments.quota_segments(frame, 5_000, partitions=4)
+    placed = segments.quota_segments(frame, 5_000, buckets=4)
     path = str(tmp_path / "segments")
     segments.write_segments(placed, path)
     back = segments.read_segments(spark, path)
@@ -116,3 +117,22 @@ def test_retention_and_resume(spark):
     assert {r.segment_no for r in segments.retention(found, 0.5, F.col("segment_no") > 4).collect() if not r.keep} == {5}
     empty = spark.createDataFrame([], "segment_no long, event_len long")
     assert tuple(segments.resume_point(empty).first()) == (1, 122)
+
+
+def test_entries_of_many_runs_by_levels(spark):
+    """Tables composed in levels of three give each run the entry it has in turn."""
+    rng = random.Random(11)
+    runs = [[rng.choice([20, 90, 400, 1_500]) for _ in range(rng.randrange(1, 30))] for _ in range(80)]
+    limit, rows, expected = 2_000, [], []
+    segment, position = 4, 700
+    for part, lens in enumerate(runs):
+        if part % 9 == 5:
+            continue  # a bucket without rows
+        expected.append((part, position, segment))
+        *_, (_, segment, position) = rotate([(None, n) for n in lens], limit, segment, position)
+        lowest, leave, opened, total = segments._first_cuts(np.array(lens), limit)
+        rows += [(part, -(2**63), total, 0), *[(part, int(a), int(b), int(c)) for a, b, c in zip(lowest, leave, opened)]]
+    tables = spark.createDataFrame(rows, segments._TABLE)
+    got = segments.run_entries(tables, 80, 700, 4, fan=3)
+    assert sorted(map(tuple, got.collect())) == expected
+    assert "SinglePartition" not in got._jdf.queryExecution().toString()

@@ -174,29 +174,28 @@ def transaction_bytes(log: DataFrame) -> DataFrame:
         F.sum(F.element_at("ends", -1)).alias("bytes"), F.count(F.lit(1)).alias("n_records"))
 
 
-def record_positions(log: DataFrame, keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+def record_positions(log: DataFrame, keep: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """``start_pos`` of each record in the whole log and the ``ends`` of its events."""
     columns = list(dict.fromkeys([*ORDER, *keep]))
     sized = event_sizes(log).select(*columns, "ends")
-    placed = running_total(sized, commit_order(), {"_through": F.element_at("ends", -1)}, partitions,
-                           costly=True)
+    placed = running_total(sized, commit_order(), {"_through": F.element_at("ends", -1)}, buckets)
     return placed.select(*columns, "ends", (F.col("_through") - F.element_at("ends", -1)).alias("start_pos"))
 
 
-def log_positions(log: DataFrame, keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+def log_positions(log: DataFrame, keep: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """One row per event with its length and its end position in the whole log.
 
     Positions are accumulated per record and only then spread over the record's events.
     """
     columns = list(dict.fromkeys([*ORDER, *keep]))
-    placed = record_positions(log, keep, partitions)
+    placed = record_positions(log, keep, buckets)
     return placed.select(*columns, "ends", "start_pos", explode_ends()).select(*columns, *_event_columns(F.col("start_pos")))
 
 
-def event_headers(log: DataFrame, partitions: int | None = None) -> DataFrame:
+def event_headers(log: DataFrame, buckets: int | None = None) -> DataFrame:
     """The common header of each event: commit second, type, server, length, end position, flags."""
     staged = commit_times(log).withColumn("commit_second", whole_div(F.col("immediate_us"), 1_000_000))
-    placed = log_positions(staged, ("op_type", "commit_second"), partitions)
+    placed = log_positions(staged, ("op_type", "commit_second"), buckets)
     kind = _kind(F.col("event_ord"))
     return placed.select(
         *ORDER, "event_ord", "commit_second", _code(kind).alias("event_code"),

@@ -1,110 +1,95 @@
 """Ordered computations over a whole log without a single-partition window.
 
 ``running_total`` and ``carry_forward`` are what every position, segment, history and conflict operator
-is made of. Both split the log by *sampled ranges of its total order*, so one transaction, source or row
-key may hold any share of the records without one task holding them all.
+is made of. Both split the log by *ranges of its total order*, so one transaction, source or row key may hold any
+share of the records without one task holding them all.
+
+A range is a bucket: a function of the order columns alone (``add_buckets``). Its bounds come from one aggregate of
+bounded size over those columns. Nothing else runs before the action, nothing is kept or checkpointed, and a row that is
+computed again after an executor is lost lands in the bucket it was in.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 from tidemark.session import durable, shuffle_width
 
 HOT_ROWS = 1_000_000
 """Rows of one key beyond which the key is split over several tasks."""
 
-RANGE_ROWS = 10_000_000
-"""Rows a range of a sorted log should not exceed by much."""
+BUCKETS_PER_TASK = 4
+"""Buckets for each shuffle partition, so that uneven ones even out."""
 
-SHORT_RANGE_ROWS = 20_000
-"""Rows below which a range is not worth a task of its own."""
+SAMPLES_PER_BUCKET = 16
+"""Places of the order that are looked at for each bucket."""
 
 
-def _range_count(df: DataFrame, partitions: int | None, range_rows: int) -> int:
-    """As many ranges as the session shuffles into, more where they would get too long, fewer for a short log."""
-    if partitions is not None:
-        return partitions
-    rows = df.count()
-    useful = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // SHORT_RANGE_ROWS))
-    return max(min(shuffle_width(df), useful), -(-rows // range_rows))
+def bucket_count(df: DataFrame, buckets: int | None = None) -> int:
+    """How many buckets ``add_buckets`` makes at most."""
+    return buckets or BUCKETS_PER_TASK * shuffle_width(df)
 
 
-def range_parts(df: DataFrame, order: Sequence[Column], partitions: int | None = None, costly: bool = False,
-                range_rows: int = RANGE_ROWS) -> DataFrame:
-    """Sorted ranges of ``df`` by ``order``, numbered in ``_part`` and fixed by a checkpoint.
+def add_buckets(df: DataFrame, order: Sequence[Column], buckets: int | None = None, name: str = "_bucket") -> DataFrame:
+    """Add the number of each row's bucket: ranges of ``order`` with about as many distinct places each, from 0.
 
-    Range partitioning reads its input twice, to sample it and to shuffle it. ``costly`` keeps rows that are
-    expensive to compute on the executors meanwhile.
+    Of the places, hashed into a fixed number of groups, each group's smallest hash is picked: a sample that depends on
+    the places alone and that partial aggregation keeps at its size. Every few of the picked ones in order is a bound; a
+    row finds its bucket by bisection. Rows of one place share a bucket.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK) if costly else df
-    ranged = (
-        kept.repartitionByRange(_range_count(kept, partitions, range_rows), *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_part", F.spark_partition_id())
-    )
-    try:
-        return durable(ranged)
-    finally:
-        if costly:
-            kept.unpersist()
+    n = bucket_count(df, buckets)
+    place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    picked = (df.select(place.alias("place")).groupBy(F.pmod(F.xxhash64("place"), F.lit(n * SAMPLES_PER_BUCKET)).alias("g"))
+              .agg(F.min(F.struct(F.xxhash64(F.lit(1), "place").alias("h"), "place")).alias("least")))
+    sample = picked.agg(F.sort_array(F.collect_list("least.place")).alias("all"))
+    step = F.greatest(F.ceil(F.size("all") / n), F.lit(1))
+    bounds = sample.select(F.filter("all", lambda p, i: (i + 1) % step == 0).alias("bounds"))
+    # as a literal, which no row carries along; cut fractions would do no harm, bounds are any places in order
+    options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    found = bounds.select(F.to_json("bounds", options)).first()[0]
+    known = F.from_json(F.lit(found), bounds.schema["bounds"].dataType, options)
+    strides = F.array(*[F.lit(1 << k) for k in range(n.bit_length(), -1, -1)])
+    return df.withColumn(name, F.aggregate(strides, F.lit(0), lambda low, stride: F.when(
+        F.get(known, low + stride - 1) <= place, low + stride).otherwise(low)))
 
 
 def running_total(
     df: DataFrame,
     order: Sequence[Column],
     totals: Mapping[str, Column],
-    partitions: int | None = None,
-    costly: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums of bigint expressions over the total ``order``.
 
-    One range shuffle. Each range is summed, the sums (one row per partition) are accumulated into
-    the offset at which the range starts, and the ranges are summed up independently from there.
+    Buckets are summed, the sums (one row each) are accumulated into the total at which each bucket starts, and the
+    rows of each bucket are summed up from there in a window of their own. The rows are computed and shuffled once.
     """
     names = list(totals)
     weighted = df.withColumns({n: F.coalesce(e.cast("long"), F.lit(0).cast("long")) for n, e in totals.items()})
-    ranged = range_parts(weighted, order, partitions, costly)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = add_buckets(weighted, order, buckets).repartition("_bucket")
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # the sums read every column, for then both sides of the join are one shuffle, written once and read twice
+    every = F.bit_xor(F.xxhash64(*weighted.columns)).alias("_every")
     starts = (
-        ranged.groupBy("_part")
-        .agg(*[F.sum(n).alias(n) for n in names])
-        .select("_part", *[F.coalesce(F.sum(n).over(before), F.lit(0).cast("long")).alias(f"_start_{n}") for n in names])
+        dealt.groupBy("_bucket").agg(every, *[F.sum(n).alias(n) for n in names]).filter(F.col("_every").isNotNull())
+        .select(F.col("_bucket").alias("_start_bucket"),
+                *[F.coalesce(F.sum(n).over(before), F.lit(0).cast("long")).alias(f"_start_{n}") for n in names])
     )
-    # one row per shuffle partition, so the broadcast does not grow with the log
-    based = ranged.join(F.broadcast(starts), "_part")
+    within = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     kept = [c for c in weighted.columns if c not in names]
-    schema = T.StructType([f for f in weighted.schema.fields if f.name in kept]
-                          + [T.StructField(n, T.LongType()) for n in names])
-
-    def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried: dict[str, int] | None = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            if carried is None:
-                carried = {n: batch.column(f"_start_{n}")[0].as_py() for n in names}
-            arrays = [batch.column(c) for c in kept]
-            for n in names:
-                sums = pc.cumulative_sum(batch.column(n), start=carried[n])
-                carried[n] = sums[-1].as_py()
-                arrays.append(sums)
-            yield pa.RecordBatch.from_arrays(arrays, names=kept + names)
-
-    columns = kept + names + [f"_start_{n}" for n in names]
-    return based.select(*columns).mapInArrow(accumulate, schema)
-
-
-def numbered(df: DataFrame, order: Sequence[Column], name: str = "pos", partitions: int | None = None) -> DataFrame:
+    summed = dealt.select("_bucket", *kept, *[F.sum(n).over(within).alias(n) for n in names])
+    # one row per bucket, so the broadcast does not grow with the log; null-safe, as another comparison would put a filter
+    # on the bucket below one side's shuffle alone
+    return summed.join(F.broadcast(starts), F.col("_bucket").eqNullSafe(F.col("_start_bucket"))).select(
+        *kept, *[(F.col(n) + F.col(f"_start_{n}")).alias(n) for n in names])
+
+
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "pos", buckets: int | None = None) -> DataFrame:
     """Number the rows 1, 2, … in the total ``order``."""
-    return running_total(df, order, {name: F.lit(1)}, partitions)
+    return running_total(df, order, {name: F.lit(1)}, buckets)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
@@ -126,12 +111,12 @@ def carry_forward(
     strict: bool = False,
     hot_rows: int = HOT_ROWS,
     hot: DataFrame | None = None,
-    partitions: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add, per key, the last non-null of each value up to each row (``strict``: before it).
 
-    Keys of ordinary size use one window. A key above ``hot_rows`` is cut into ranges of its order;
-    each range carries within itself and takes what precedes it from the ends of the earlier ranges. ``hot``
+    Keys of ordinary size use one window. A key above ``hot_rows`` is cut into buckets of its order;
+    each bucket carries within itself and takes what precedes it from the ends of the earlier ones. ``hot``
     takes the result of an earlier ``hot_keys`` on the same keys.
     """
     names = list(values)
@@ -151,23 +136,19 @@ def carry_forward(
     is_hot = F.xxhash64(*keys) == F.col("h")  # left to Spark to broadcast or to shuffle, by its size
     cold = staged.join(hot, is_hot, "left_anti").select(*kept, *carried(per_key))
 
-    by_key = [F.col(k) for k in keys]
-    ranged = range_parts(staged.join(hot, is_hot, "left_semi"), by_key + list(order), partitions)
-    in_range = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(*frame)
-    place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
-    ends = ranged.groupBy("_part", *keys).agg(
-        *[F.max_by(n, F.when(F.col(n).isNotNull(), place)).alias(n) for n in names])
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # at most one row per partition plus one per hot key
-    starts = ends.select(
-        F.col("_part").alias("_start_part"),
-        *[F.col(k).alias(f"_start_{k}") for k in keys],
-        *[F.last(n, ignorenulls=True).over(earlier).alias(f"_start_{n}") for n in names],
-    )
-    same = F.col("_part") == F.col("_start_part")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_start_{k}"))
-    local = ranged.select("_part", *kept, *carried(in_range))
-    split = local.join(starts, same, "left").select(
-        *kept, *[F.coalesce(n, f"_start_{n}").alias(n) for n in names])
+    # buckets of the busy keys' own order; each row also belongs to its key, so a bucket may hold several
+    dealt = add_buckets(staged.join(hot, is_hot, "left_semi"), [*[F.col(k) for k in keys], *order], buckets)
+    in_bucket = Window.partitionBy("_bucket", *keys).orderBy(*order).rowsBetween(*frame)
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    place = F.struct(key.alias("key"), *[o.alias(f"o{i}") for i, o in enumerate(order)])
+    # what a bucket hands on: the last value of its last key, which is the only one that may go on in the next
+    ends = dealt.groupBy("_bucket").agg(
+        *[F.max_by(F.struct(key.alias("key"), F.col(n).alias("v")), F.when(F.col(n).isNotNull(), place)).alias(n) for n in names])
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per bucket
+    starts = ends.select(F.col("_bucket").alias("_start_bucket"),
+                         *[F.last(n, ignorenulls=True).over(earlier).alias(f"_start_{n}") for n in names])
+    local = dealt.select("_bucket", *kept, *carried(in_bucket))
+    split = local.join(F.broadcast(starts), F.col("_bucket") == F.col("_start_bucket")).select(
+        *kept, *[F.coalesce(n, F.when(F.col(f"_start_{n}.key").eqNullSafe(key), F.col(f"_start_{n}.v"))).alias(n) for n in names])
     return cold.unionByName(split)

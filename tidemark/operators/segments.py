@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from pyspark.sql import types as T
 from tidemark.functions.numeric import whole_div
 from tidemark.functions import ids, size
 from tidemark.operators.events import _event_columns, event_sizes, explode_ends, log_positions
-from tidemark.operators.scans import RANGE_ROWS, numbered, range_parts
+from tidemark.operators.scans import add_buckets, bucket_count, numbered
 from tidemark.schema import ORDER, commit_order
 
 # Fixed values
@@ -29,17 +31,17 @@ NOT_FOUND = "FILE_NOT_EXIST"
 BAD_CHECKPOINT = "INVALID_CHECKPOINT"
 
 
-def batch_numbers(log: DataFrame, batch: int = BATCH_RECORDS, partitions: int | None = None) -> DataFrame:
+def batch_numbers(log: DataFrame, batch: int = BATCH_RECORDS, buckets: int | None = None) -> DataFrame:
     """Add ``batch_no`` (from 0): groups of ``batch`` records in commit order."""
-    placed = numbered(log, commit_order(), "pos", partitions)
+    placed = numbered(log, commit_order(), "pos", buckets)
     return placed.withColumn("batch_no", whole_div(F.col("pos") - 1, batch))
 
 
 def quota_segments(log: DataFrame, quota: int = size.SEGMENT_LIMIT_BYTES, keep: Sequence[str] = (),
-                   partitions: int | None = None) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """Events with ``segment_no`` (from 1) by their end position: a segment holds at most ``quota`` bytes plus
     the part of its first event that began before it."""
-    placed = log_positions(log, keep, partitions)
+    placed = log_positions(log, keep, buckets)
     return placed.withColumn("segment_no", whole_div(F.col("end_pos") - 1, quota) + 1)
 
 
@@ -70,6 +72,77 @@ def _first_cuts(lens: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, n
     return lowest, leave, opened[first] + 1, int(through[-1])
 
 
+#: Rows of a table of a run: from entry position ``low`` on, the run leaves at ``leave`` and opens ``opened`` segments.
+#: The row without a lower bound opens none; its ``leave`` is the length of the run.
+_TABLE = "_part long, low long, leave long, opened long"
+_ENTRY = "_part long, _entry_pos long, _entry_segment long"
+_NO_BOUND = np.iinfo(np.int64).min
+FAN = 256
+
+
+def _coalesced(low: np.ndarray, leave: np.ndarray, opened: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Neighbours that leave alike as one row; rows come by ascending bound, the first without one."""
+    new = np.append(True, (leave[1:] != leave[:-1]) | (opened[1:] != opened[:-1]) | (opened[1:] == 0))
+    return low[new], leave[new], opened[new]
+
+
+def _composed(first: tuple, then: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The table of two runs in turn."""
+    (low1, leave1, opened1), (low2, leave2, opened2) = first, then
+    length = leave1[0]
+    # entered so that the first run opens nothing, the second is entered further on by its length
+    shifted = low2[1:] - length
+    kept = shifted < low1[1] if len(low1) > 1 else np.ones(len(shifted), bool)
+    # otherwise it is entered where the first one leaves
+    at = np.searchsorted(low2, leave1[1:], side="right") - 1
+    stays = opened2[at] == 0
+    return _coalesced(
+        np.concatenate([low1[:1], shifted[kept], low1[1:]]),
+        np.concatenate([[length + leave2[0]], leave2[1:][kept], np.where(stays, leave1[1:] + leave2[at], leave2[at])]),
+        np.concatenate([[0], opened2[1:][kept], opened1[1:] + opened2[at]]))
+
+
+def _tables(rows: pd.DataFrame) -> list[tuple[int, tuple]]:
+    """The tables of a group of runs, in order."""
+    rows = rows.sort_values(["_part", "low"])
+    return [(int(part), tuple(own[c].to_numpy(np.int64) for c in ("low", "leave", "opened"))) for part, own in rows.groupby("_part", sort=True)]
+
+
+def _compose_group(rows: pd.DataFrame) -> pd.DataFrame:
+    low, leave, opened = reduce(_composed, [table for _, table in _tables(rows)])
+    return pd.DataFrame({"_part": rows["_group"].iloc[0], "low": low, "leave": leave, "opened": opened})
+
+
+def _enter_group(rows: pd.DataFrame) -> pd.DataFrame:
+    """Where each run of a group is entered, from where the group is."""
+    position, segment, found = int(rows["_entry_pos"].iloc[0]), int(rows["_entry_segment"].iloc[0]), []
+    for part, (low, leave, opened) in _tables(rows):
+        found.append((part, position, segment))
+        at = int(np.searchsorted(low, position, side="right")) - 1
+        position = int(leave[at]) if opened[at] else position + int(leave[at])
+        segment += int(opened[at])
+    return pd.DataFrame(found, columns=["_part", "_entry_pos", "_entry_segment"])
+
+
+def run_entries(tables: DataFrame, n_runs: int, position: int, segment: int, fan: int = FAN) -> DataFrame:
+    """The position and segment at which each of at most ``n_runs`` runs is entered.
+
+    Tables of ``fan`` neighbours are composed into one, level by level, until ``fan`` are left; entries are then handed
+    down the same levels. No task holds more than ``fan`` tables.
+    """
+    group = F.floor(F.col("_part") / fan).alias("_group")
+    levels = [tables]
+    while n_runs > fan:
+        n_runs = -(-n_runs // fan)
+        levels.append(levels[-1].select("*", group).groupBy("_group").applyInPandas(_compose_group, _TABLE))
+    entries = tables.sparkSession.createDataFrame([(0, position, segment)], _ENTRY)
+    for own in reversed(levels):
+        known = entries.withColumnRenamed("_part", "_group")
+        # one row for each group
+        entries = own.select("*", group).join(known, "_group").groupBy("_group").applyInPandas(_enter_group, _ENTRY)
+    return entries
+
+
 def greedy_segments(
     log: DataFrame,
     limit: int = size.SEGMENT_LIMIT_BYTES,
@@ -77,114 +150,99 @@ def greedy_segments(
     keep: Sequence[str] = (),
     start_segment: int = 1,
     start_position: int = size.SEGMENT_HEADER_BYTES,
-    partitions: int | None = None,
+    buckets: int | None = None,
+    fan: int = FAN,
 ) -> DataFrame:
     """Events with ``segment_no`` and ``segment_pos`` (end position in the segment) under the rotation rule:
     an event opens a new segment when ``position + length + reserve >= limit``.
 
-    The rule is sequential, yet where a range of the log leaves a segment depends only on the position at which
-    it is entered. Each range tabulates that (at most one row per event of its first segment); one ordered pass
-    over the small tables finds the true entry of every range; the ranges are then cut independently.
+    The rule is sequential, yet where a run of the log leaves a segment depends only on the position at which it is
+    entered. Each bucket of the commit order tabulates that (at most one row per event of its first segment); the tables
+    are composed in levels, which gives the true entry of every bucket; the buckets are then cut independently.
     ``unit='txn'`` keeps the events of a record together.
     """
     if unit not in ("event", "txn"):
         raise ValueError("unit is 'event' or 'txn'")
     columns = list(dict.fromkeys([*ORDER, *keep]))
-    # a task holds the lengths of its range, and a record has five events
-    ranged = range_parts(event_sizes(log).select(*columns, "ends"), commit_order(), partitions, True, RANGE_ROWS // 5)
-    if unit == "event":
-        rows = ranged.select(*columns, "_part", "ends", explode_ends()).select(*columns, "_part", *_event_columns())
-        weight = "event_len"
-    else:
-        rows = ranged.withColumn("record_len", F.element_at("ends", -1))
-        weight = "record_len"
+    ranged = add_buckets(event_sizes(log).select(*columns, "ends"), commit_order(), buckets, "_part")
+    ranged = ranged.repartition("_part")  # both passes take all columns, so that they read one shuffle
+    in_turn = ["_part", *commit_order(), "ends"]  # records of one place are told apart by their sizes
+    room = limit - size.SEGMENT_RESERVE_BYTES
+
+    def lengths(ends: pa.ListArray) -> np.ndarray:
+        """Of events, or of records."""
+        flat, stops = ends.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(ends.value_lengths().to_numpy())
+        if unit == "txn":
+            return flat[stops - 1]
+        out = np.diff(flat, prepend=0)
+        out[stops[:-1]] = flat[stops[:-1]]
+        return out
 
     def tabulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, pieces = None, []
-        for batch in batches:
-            if batch.num_rows:
-                part = batch.column(0)[0].as_py()
-                pieces.append(batch.column(1).to_numpy(zero_copy_only=False))
-        if part is None:
-            return
-        lowest, leave, opened, total = _first_cuts(np.concatenate(pieces).astype(np.int64), limit)
-        # neighbours that leave alike are one row; the row without a lower bound opens no segment
-        last = np.append((leave[1:] != leave[:-1]) | (opened[1:] != opened[:-1]), True)
-        low = np.append(lowest[last], np.iinfo(np.int64).min)
-        exits, cuts = np.append(leave[last], total), np.append(opened[last], 0)
-        yield pa.RecordBatch.from_pydict({
-            "_part": pa.array(np.full(len(low), part), pa.int32()), "low": low, "leave": exits, "opened": cuts})
-
-    table = rows.select("_part", weight).mapInArrow(tabulate, "_part int, low long, leave long, opened long")
-
-    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        position, segment = start_position, start_segment
-        part, chosen = None, None
-        found: list[tuple[int, int, int]] = []
-
-        def advance() -> None:
-            nonlocal position, segment
-            found.append((part, position, segment))
-            leave, opened = chosen
-            position = leave if opened else position + leave
-            segment += opened
+        def table(part: int, pieces: list[np.ndarray]) -> pa.RecordBatch:
+            lowest, leave, opened, total = _first_cuts(np.concatenate(pieces), limit)
+            low, leave, opened = _coalesced(np.append(_NO_BOUND, lowest[::-1]), np.append(total, leave[::-1]), np.append(0, opened[::-1]))
+            return pa.RecordBatch.from_pydict({"_part": np.full(len(low), part, np.int64), "low": low, "leave": leave, "opened": opened})
 
+        part, pieces = None, []
         for batch in batches:
-            for p, low, leave, opened in zip(*(c.to_pylist() for c in batch.columns)):
-                if p != part:
-                    if part is not None:
-                        advance()
-                    part = p
-                if low <= position:
-                    chosen = (leave, opened)
-        if part is not None:
-            advance()
-        if found:
-            parts, positions, segments = zip(*found)
-            yield pa.RecordBatch.from_pydict({
-                "_entry_part": pa.array(parts, pa.int32()), "_entry_pos": pa.array(positions, pa.int64()),
-                "_entry_segment": pa.array(segments, pa.int64())})
-
-    entries = table.repartition(1).sortWithinPartitions("_part", "low").mapInArrow(
-        resolve, "_entry_part int, _entry_pos long, _entry_segment long")
-    kept = [c for c in rows.columns if c != "_part"]
-    # one row per partition
-    entered = rows.join(F.broadcast(entries), F.col("_part") == F.col("_entry_part")).select(
-        *kept, "_entry_pos", "_entry_segment")
-    schema = T.StructType([f for f in rows.schema.fields if f.name in kept]
-                          + [T.StructField("segment_no", T.LongType()), T.StructField("segment_pos", T.LongType())])
+            for own, rows in _runs(batch):
+                if own != part and pieces:
+                    yield table(part, pieces)
+                    pieces = []
+                part = own
+                pieces.append(lengths(rows.column("ends")))
+        if pieces:
+            yield table(part, pieces)
+
+    tables = ranged.sortWithinPartitions(*in_turn).mapInArrow(tabulate, _TABLE)
+    entries = run_entries(tables, bucket_count(log, buckets) + 1, start_position, start_segment, fan)
+    known = entries.withColumnRenamed("_part", "_entry_part")
+    # one row per bucket
+    entered = ranged.join(F.broadcast(known), F.col("_part").eqNullSafe(F.col("_entry_part"))).drop("_entry_part")
+    schema = T.StructType([f for f in entered.schema.fields if f.name in (*columns, "ends")]
+                          + [T.StructField(c, T.ArrayType(T.LongType())) for c in ("_segments", "_positions")])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        position = segment = None
-        room = limit - size.SEGMENT_RESERVE_BYTES
+        part = position = segment = None
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            if position is None:
-                position = batch.column("_entry_pos")[0].as_py()
-                segment = batch.column("_entry_segment")[0].as_py()
-            through = np.cumsum(batch.column(weight).to_numpy(zero_copy_only=False).astype(np.int64))
-            numbers = np.empty(len(through), np.int64)
-            ends = np.empty(len(through), np.int64)
-            at, gone = 0, 0
-            while at < len(through):
-                stop = int(np.searchsorted(through, room - position + gone))
-                if stop <= at:
-                    segment, position, stop = segment + 1, size.SEGMENT_HEADER_BYTES, at + 1
-                    stop = max(stop, int(np.searchsorted(through, room - position + gone)))
-                numbers[at:stop] = segment
-                ends[at:stop] = position + through[at:stop] - gone
-                position, gone, at = int(ends[stop - 1]), int(through[stop - 1]), stop
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + [pa.array(numbers), pa.array(ends)],
-                names=kept + ["segment_no", "segment_pos"])
-
-    placed = entered.mapInArrow(cut, schema)
+            for own, rows in _runs(batch):
+                if own != part:
+                    part, position, segment = own, rows.column("_entry_pos")[0].as_py(), rows.column("_entry_segment")[0].as_py()
+                through = np.cumsum(lengths(rows.column("ends")))
+                numbers = np.empty(len(through), np.int64)
+                ends = np.empty(len(through), np.int64)
+                at, gone = 0, 0
+                while at < len(through):
+                    stop = int(np.searchsorted(through, room - position + gone))
+                    if stop <= at:
+                        segment, position, stop = segment + 1, size.SEGMENT_HEADER_BYTES, at + 1
+                        stop = max(stop, int(np.searchsorted(through, room - position + gone)))
+                    numbers[at:stop] = segment
+                    ends[at:stop] = position + through[at:stop] - gone
+                    position, gone, at = int(ends[stop - 1]), int(through[stop - 1]), stop
+                each = rows.column("ends").value_lengths().to_numpy() if unit == "event" else np.ones(rows.num_rows, np.int64)
+                offsets = pa.array(np.append(0, np.cumsum(each)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(c) for c in schema.names[:-2]] + [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (numbers, ends)],
+                    names=schema.names)
+
+    placed = entered.sortWithinPartitions(*in_turn).mapInArrow(cut, schema).select(*columns, "ends", "_segments", "_positions", explode_ends())
+    ordinal = F.col("event_ord")
     if unit == "event":
-        return placed
-    return placed.select(
-        *columns, "ends", "segment_no", (F.col("segment_pos") - F.col("record_len")).alias("_open"), explode_ends()).select(
-        *columns, *_event_columns(), "segment_no", (F.col("_open") + F.element_at("ends", F.col("event_ord"))).alias("segment_pos"))
+        place = [F.element_at("_segments", ordinal).alias("segment_no"), F.element_at("_positions", ordinal).alias("segment_pos")]
+    else:
+        opens = F.get("_positions", F.lit(0)) - F.element_at("ends", -1)
+        place = [F.get("_segments", F.lit(0)).alias("segment_no"), (opens + F.element_at("ends", ordinal)).alias("segment_pos")]
+    return placed.select(*columns, *_event_columns(), *place)
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of each bucket of a batch that is sorted by bucket."""
+    parts = batch.column("_part").to_numpy(zero_copy_only=False)
+    edges = np.append(np.flatnonzero(np.append(True, parts[1:] != parts[:-1])), len(parts)) if len(parts) else []
+    for a, b in zip(edges[:-1], edges[1:]):
+        yield int(parts[a]), batch.slice(a, b - a)
 
 
 def segments_of(events: DataFrame, order: Column | None = None) -> DataFrame:
