@@ -122,8 +122,17 @@ def merge_states(states: DataFrame, key: Sequence[str]) -> DataFrame:
         *[F.max(c).alias(c) for c in _state_columns(states, key)])
 
 
-def settle(states: DataFrame, key: Sequence[str]) -> DataFrame:
-    """States to net changes: values stated before the last reset no longer count."""
+def settle(states: DataFrame, key: Sequence[str], ended: DataFrame | None = None) -> DataFrame:
+    """States to net changes: values stated before the last reset no longer count.
+
+    ``ended`` has one row, ``at``: the commit key of the last definition that left the table empty, or NULL. It resets
+    every key like a delete; keys without a change since then are gone.
+    """
+    if ended is not None:
+        at = ended.select(F.when(F.col("at").isNotNull(), F.struct("at.*", F.lit(-1).alias("sub"))).alias("_ended"))
+        emptied = F.struct(F.col("_ended").alias("at"), F.lit("D").alias("op"))
+        states = states.join(F.broadcast(at)).withColumn("reset", F.when(  # one row
+            F.col("_ended").isNull() | (F.col("reset.at") > F.col("_ended")), F.col("reset")).otherwise(emptied)).drop("_ended")
     op = F.coalesce(F.col("reset.op"), F.lit("U"))
     fresh = {c: F.when(F.col("reset").isNull() | (F.col(f"{c}.at") >= F.col("reset.at")), F.col(f"{c}.s"))
              for c in _state_columns(states, key)}

@@ -51,9 +51,12 @@ def read_states(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame
     return replay.merge_states(spark.read.parquet(path).drop("batch_id"), key)
 
 
-def read_table(spark: SparkSession, path: str, base: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The table as of the batches written so far."""
-    return replay.apply_net(base, replay.settle(read_states(spark, path, key), key), key)
+def read_table(spark: SparkSession, path: str, base: DataFrame, key: Sequence[str], ended: DataFrame | None = None) -> DataFrame:
+    """The table as of the batches written so far; ``ended`` (see ``replay.settle``) says when a definition last emptied
+    it, in whatever batch its records and that definition came."""
+    if ended is not None:
+        base = base.join(F.broadcast(ended.select("at")), F.col("at").isNull()).drop("at")  # one row
+    return replay.apply_net(base, replay.settle(read_states(spark, path, key), key, ended), key)
 
 
 def compact_states(spark: SparkSession, path: str, target: str, key: Sequence[str]) -> None:
