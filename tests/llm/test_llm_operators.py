@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (catalogue, decontaminate, encoder, html_text, ngram_join, packing, quality_model, quality_rules,
-                          signature_tree, substrings, token_counts, token_store, toxicity, wordhash)
+                          signature_tree, substrings, tables, token_counts, token_store, toxicity, wordhash)
 from tidemark.llm.components import connected_components
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
@@ -541,12 +541,76 @@ def test_pipeline_stages_take_effect(spark):
             assert all(hashlib.sha256(" ".join(words_of(t)).encode()).hexdigest() == want[i][2] for i, t in got.items())
         else:
             assert all(got[i] == t for i, t in rows if i in got)
+            if name == "toxicity":
+                scored = toxicity.score_documents(docs, spark.read.parquet(f"{SMALL}/labels.parquet")).collect()
+                assert set(got) == {r.doc_id for r in scored if r.predicted == 0}
+            else:
+                items = [r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+                assert set(got) == {i for i, t in rows if not any(contains(t, item) for item in items)}
         docs = kept
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
-    assert packed.select("doc_id").distinct().count() == docs.count()
+    from tokenizers import Tokenizer
+    plain, places = Tokenizer.from_file(BYTE), {}
+    pieces = {}
+    for r in packed.collect():
+        pieces.setdefault(r.doc_id, []).append(r)
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for r in docs.collect():
+        ids = [*plain.encode(r.text or "", add_special_tokens=False).ids, 2]
+        own = sorted(pieces.pop(r.doc_id), key=lambda p: p.piece)
+        assert [p.start for p in own] == list(itertools.accumulate([0, *[p.length for p in own[:-1]]]))
+        assert [p.ids_crc32 for p in own] == [zlib.crc32(np.array(ids[p.start: p.start + p.length], "<u4").tobytes()) for p in own]
+        assert sum(p.length for p in own) == len(ids)
+    assert not pieces
+    for own in places.values():
+        own.sort()
+        assert sum(n for _, n in own) <= 1024 and [o for o, _ in own] == list(itertools.accumulate([0, *[n for _, n in own[:-1]]]))
     assert 0 < docs.count() < len(texts)
 
 
+def contains(text, item, k=5, percent=80):
+    """Whether a text holds enough of an item's shingles, by sets of words."""
+    words, own = ([w.translate(LOWER) for w in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t or "")] for t in (text, item))
+    k = min(k, len(own))
+    asked = {tuple(own[i: i + k]) for i in range(len(own) - k + 1)} if k else set()
+    held = {tuple(words[i: i + k]) for i in range(len(words) - k + 1)}
+    return bool(asked) and 100 * len(asked & held) >= percent * len(asked)
+
+
+def test_without_leaves_out_what_is_named(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("if(id % 50 = 0, NULL, id) AS k", "id AS word", "concat('t', id) AS bits")
+    for n_bits in (24, 6):  # a bitmap that tells little leaves the rest to the comparison
+        monkeypatch.setattr(tables, "WITHOUT_BITS", n_bits)
+        gone = spark.createDataFrame([(7,), (7,), (50,), (51,), (None,), (9999,)], "g bigint")
+        kept = tables.without(docs, F.col("k"), gone)
+        assert kept.columns == docs.columns and {r.word for r in kept.collect()} == set(range(3000)) - {7, 51} and kept.count() == 2998
+        assert tables.without(docs, F.col("k"), gone.limit(0)).count() == 3000
+
+
+def test_stages_decide_by_row(spark):
+    """Rows that share an id or have none: one of each group of near copies stays, and no clean row goes with another."""
+    leak = spark.read.parquet(f"{SMALL}/benchmark.parquet").first().text
+    base, other = lines(80, 21), lines(80, 22)
+    rows = [(5, base), (2, base), (2, other), (None, base), (None, other + " more"), (None, None), (None, None), (7, ""), (3, leak + " " + lines(20, 23)), (3, lines(30, 24)),
+            (None, leak)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars int").repartition(3)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(set(rows) - {(5, base), (None, base), (None, other + " more")}) + Counter([(None, None)])
+    clean = corpus_pipeline.drop_leaks(spark, docs, SMALL)
+    assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(r for r in rows if not contains(r[1], leak))
+
+
+def test_items_without_an_id_are_found(spark):
+    item = lines(9, 31)
+    docs = spark.createDataFrame([(1, "x " + item + " y"), (2, lines(9, 32)), (None, item)], "doc_id bigint, text string")
+    for rows in ([(None, item)], [(None, item), (4, item), (4, lines(9, 33))]):
+        got = decontaminate.mark_documents(docs, spark.createDataFrame(rows, "item_id bigint, text string")).collect()
+        assert {r.id: (r.contaminated, r.n_items, r.first_item) for r in got} == {
+            1: (True, len(rows) - (len(rows) > 1), 4 if len(rows) > 1 else None), 2: (False, 0, None),
+            None: (True, len(rows) - (len(rows) > 1), 4 if len(rows) > 1 else None)}
+
+
 def test_pipeline_over_awkward_rows(spark, awkward, nothing):
     for docs in (awkward, nothing):
         for _, stage in corpus_pipeline.STAGES:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.tables import staged
+from tidemark.llm.tables import discard, staged
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -23,10 +23,11 @@ def connected_components(links: DataFrame) -> DataFrame:
         low = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         kept = both.filter("v < u").join(low, "u").filter("v = m").select("u", "v")
-        edges = large.unionByName(kept).filter("u <> v").distinct()
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        small = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        edges = staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        starred = large.unionByName(kept).filter("u <> v").distinct()
+        least = starred.groupBy("u").agg(F.min("v").alias("m"))
+        small = starred.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        before, edges = edges, staged(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        discard(before, low)
         now = _checksum(edges)
         if now == state:
             break

@@ -12,7 +12,8 @@ shingles through that some item may have. Whatever the size of the benchmark, no
 
 Words are runs of ASCII letters and digits and of all other characters beyond ASCII, in lower case (A-Z).
 
-Defined results: a null or empty text contains nothing. An item of fewer than five words is its whole sequence as one
+Defined results: a null or empty text contains nothing. Items are told apart by row, so one without an id is found too
+(``first_item`` is null if no found item has an id), and the rows of one item id are items of their own. An item of fewer than five words is its whole sequence as one
 shingle; an item without words is never found. Rows that share an id are judged one by one. With an empty benchmark
 every document is clean.
 """
@@ -96,7 +97,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     spark = docs.sparkSession
     named = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
     items = staged(named.mapInPandas(_items, "item string, n bigint, k int, shingles array<bigint>")
-                   .withColumn("item", F.col("item").cast("bigint")).filter("n > 0"), "items")
+                   .withColumn("item", F.col("item").cast("bigint")).filter("n > 0").withColumn("row", F.monotonically_increasing_id()), "items")
     lengths = sorted(r["k"] for r in items.select("k").distinct().collect())  # five at most
     bitmap = spark.sparkContext.broadcast(shingle_bitmap(items))
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
@@ -111,15 +112,17 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     depth = (F.col("n") - need + 1).cast("int")
     unsigned = F.transform("shingles", lambda h: h.bitwiseXOR(F.lit(-(1 << 63))))  # orders like unsigned numbers
     sketch = F.transform(F.slice(F.sort_array(unsigned), 1, depth), lambda h: h.bitwiseXOR(F.lit(-(1 << 63))))
-    sketches = items.select("item", need.alias("need"), F.explode(sketch).alias("h"))
-    shingles = items.select("item", "n", need.alias("need"), F.explode("shingles").alias("h"))
+    sketches = items.select("row", need.alias("need"), F.explode(sketch).alias("h"))  # items are told apart by row: ids may be null
+    shingles = items.select("row", "n", need.alias("need"), F.explode("shingles").alias("h"))
     owned = held.filter(F.size("shingles") > 0).select("id", "tag", "m", F.explode("shingles").alias("h"))
     # null ids are documents as well: they are told apart by their tag
     key = F.coalesce("id", F.lit(0)), F.col("id").isNull(), F.col("tag")
     owned = owned.distinct().withColumn("doc", F.struct(key[0].alias("id"), key[1].alias("no_id"), key[2].alias("tag")))
-    candidates = owned.join(sketches, "h").filter("m >= need").select("doc", "item").distinct()
-    found = (owned.select("doc", "h").join(shingles, "h").join(candidates, ["doc", "item"], "left_semi")
-             .groupBy("doc", "item", "n", "need").agg(F.count("*").alias("held")).filter("held >= need"))
+    candidates = owned.join(sketches, "h").filter("m >= need").select("doc", "row").distinct()
+    # only a candidate's shingles are looked up, so a phrase that many documents and items share makes no pairs of them
+    found = (candidates.join(shingles, "row").join(owned.select("doc", "h"), ["doc", "h"])
+             .groupBy("doc", "row", "n", "need").agg(F.count("*").alias("held")).filter("held >= need")
+             .join(items.select("row", "item"), "row"))
     return held.select("id", "tag"), found.select(
         F.when(~F.col("doc.no_id"), F.col("doc.id")).alias("id"), F.col("doc.tag").alias("tag"), "item", "held", "n")
 

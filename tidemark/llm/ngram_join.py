@@ -257,20 +257,23 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     common = docs.sparkSession.sparkContext.broadcast(common_tokens(named.select("text"), k, lower))
     facts = staged(named.mapInPandas(_facts(k, percent, lower, common), _FACTS)  # ids as text: pandas has no integers with nulls
-                   .withColumn("id", F.col("id").cast("bigint")), "shingles")
-    # one representative for each set; ids with several texts tie their sets together
-    first = facts.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
+                   .withColumn("id", F.col("id").cast("bigint")).withColumn("row", F.monotonically_increasing_id()), "shingles")
+    # one representative for each set, and one of its rows; ids with several texts tie their sets together
+    first = facts.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"), F.min("row").alias("first_row"))
     first = staged(first, "first")  # both sides of a join on a hot key are plain shuffles, which AQE can split
-    placed = facts.select("id", "n", "digest").join(first, "digest", "left")
-    sets = staged(facts.join(first, "digest").filter("id = rep").select("id", "n", "digest", "keys", "bits")
-                  .dropDuplicates(["digest"]), "sets")
+    placed = facts.select("id", "n", "digest").join(first.select("digest", "rep"), "digest", "left")
+    sets = staged(facts.join(first, "digest").filter("row = first_row").select(F.col("rep").alias("id"), "n", "keys", "bits"), "sets")
     twins = placed.filter("rep < id").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
-    keyed = sets.select("id", "n", F.explode("keys").alias("kb"))
+    # groups of one go first: most keys have one member, and no more than their counts is shuffled to find that out. The
+    # hint keeps the plan the same at every size
+    keyed = sets.select("id", F.explode("keys").alias("kb"))
+    several = staged(keyed.groupBy("kb").agg(F.count("*").alias("c")).filter("c > 1"), "several")
+    keyed = staged(keyed.join(several.select("kb").hint("merge"), "kb"), "keyed")
     groups = (keyed.groupBy("kb").agg(
         F.count("*").alias("c"), F.min("id").alias("a"), F.max("id").alias("b"),
         F.bit_xor(F.xxhash64("id")).alias("s1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("s2"))
-        .filter("c > 1").groupBy("s1", "s2", "c")
+        .groupBy("s1", "s2", "c")
         .agg(F.min("kb").alias("kb"), F.first("a").alias("a"), F.first("b").alias("b")))
     groups = staged(groups, "groups")
     marks = sets.select("id", "n", "bits")

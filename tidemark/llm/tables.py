@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import shared_dir
 
@@ -45,7 +45,40 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     with small_batches(df.sparkSession):
         df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.staged_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Bits of the bitmap of ``without``; at most 2^(WITHOUT_BITS - 6) numbers are broadcast.
+WITHOUT_BITS = 24
+
+
+def without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``key``, a bigint, is not in the one column of ``gone``.
+
+    A bitmap of fixed size tells most rows that stay; only the others, with all they hold, are shuffled to be compared.
+    """
+    hashed = F.xxhash64(key)
+    place, bit = F.shiftright(hashed.bitwiseAND(F.lit((1 << WITHOUT_BITS) - 1)), 6), hashed.bitwiseAND(F.lit(63)).cast("int")
+    named = gone.toDF("gone").filter("gone IS NOT NULL").distinct()
+    low = F.xxhash64("gone").bitwiseAND(F.lit((1 << WITHOUT_BITS) - 1))
+    words = named.select(F.shiftright(low, 6).alias("word"), low.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy("word").agg(
+        F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    # columns of docs stay apart from those of the joins
+    row = docs.select(F.struct("*").alias("row"), key.alias("key"), place.alias("place"), bit.alias("bit"))
+    marked = row.join(F.broadcast(words), F.col("place") == F.col("word"), "left")
+    perhaps = F.coalesce(F.getbit("bits", "bit") == 1, F.lit(False))
+    sure = marked.filter(~perhaps).select("row.*")
+    return sure.unionByName(marked.filter(perhaps).join(named, F.col("key") == F.col("gone"), "left_anti").select("row.*"))
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -102,7 +102,7 @@ def _hold(terms: list[str]):
                     counts = Counter([b for w in own if (b := w[:k]) in begins and len(w) > k])
                     held += [i for b, n in counts.items() for r, i in begins[b] if n >= r and len(b) == k]
                 found.append(np.array(sorted(held), np.int32))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "held": found})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "held": found})
     return run
 
 
@@ -210,15 +210,16 @@ def _score(weights: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             odds = np.array([weights[-1] + weights[np.asarray(h, np.int64)].sum() for h in batch["held"]])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": 1 / (1 + np.exp(-np.clip(odds, -30, 30)))})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "score": 1 / (1 + np.exp(-np.clip(odds, -30, 30)))})
     return run
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic", max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """doc_id, held_out, score (0 to 1) and predicted (1 from 0.5 on) of every row of ``docs``."""
+    """doc_id, held_out, score (0 to 1), predicted (1 from 0.5 on) and text_hash of every row of ``docs``."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))  # ids may be null
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"),  # ids may be null
+                       F.xxhash64(text_col).alias("text_hash"))
     known = (labels.select(F.col(id_col).cast("string").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
              .filter("doc_id IS NOT NULL AND label IN (0, 1)").filter(~is_held_out("doc_id"))
              .groupBy("doc_id").agg(F.max("label").alias("label")))
@@ -232,11 +233,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     mined = mine_terms(sample.select("text", "label"), n_clean, n_toxic) if n_clean and n_toxic else []
     if not mined:
         return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), is_held_out("doc_id").alias("held_out"),
-                           F.lit(float(share)).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"))
+                           F.lit(float(share)).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"), "text_hash")
     clean = np.array([(m[1] + 0.5) / (n_clean + 1) for m in mined])
     toxic = np.array([(m[2] + 0.5) / (n_toxic + 1) for m in mined])
     voters = np.flatnonzero((toxic / clean >= MIN_LIFT) & (np.array([m[2] for m in mined]) >= max(MIN_SUPPORT, VOTER_SHARE * n_toxic)))[:MAX_VOTERS]
-    held = staged(rows.mapInPandas(_hold([m[0] for m in mined]), "doc_id string, held array<int>"), "terms")
+    held = staged(rows.mapInPandas(_hold([m[0] for m in mined]), "doc_id string, text_hash bigint, held array<int>"), "terms")
 
     picked = held.join(F.broadcast(chosen), "doc_id").select("held", "label").toPandas()  # at most max_labelled rows
     training = [np.asarray(h, np.int64) for h in picked["held"]]
@@ -249,6 +250,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         odds = np.log(voted / (1 - voted)) + (2 * target - 1) * np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
         target = 1 / (1 + np.exp(-odds))  # the given label is one more voter
     weights = fit_linear(training, target, len(mined))
-    scored = held.mapInPandas(_score(weights), "doc_id string, score double")
+    scored = held.mapInPandas(_score(weights), "doc_id string, text_hash bigint, score double")
     return scored.select(F.col("doc_id").cast("bigint").alias("doc_id"), is_held_out("doc_id").alias("held_out"), "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "text_hash")
