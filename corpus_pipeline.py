@@ -1,7 +1,7 @@
 """A corpus through five filters of the llm subpackage: toxicity, near duplicates, repeated passages, benchmark leaks, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns all documents it keeps, with the columns of ``documents``; the last
-returns the packed pieces. Rows without a doc_id pass the stages that decide by id, since none can name them.
+returns the packed pieces. Stages decide row by row: rows that share an id, or have none, are judged on their own.
 """
 
 from __future__ import annotations
@@ -10,25 +10,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontaminate, ngram_join, packing, substrings, toxicity
 from tidemark.llm.catalogue import tokenizer_path
-from tidemark.llm.tables import load, staged
-
-
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    gone = ids.select(F.col("doc_id").alias("gone")).distinct()
-    row = docs.select(F.struct("*").alias("row"))  # keeps the columns of docs apart from those of the join
-    return row.join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti").select("row.*")
+from tidemark.llm.tables import load, staged, without
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not call toxic."""
+    """Documents that the classifier does not call toxic; the score is one of the text alone, so the verdict is too."""
     scored = toxicity.score_documents(docs, load(spark, sf_dir, "labels"))
-    return _without(docs, scored.filter("predicted = 1"))
+    return without(docs, F.xxhash64("text"), scored.filter("predicted = 1").select("text_hash"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class linked by a Jaccard similarity of 0.8 of 5-word shingles."""
-    classes = ngram_join.jaccard_classes(docs, k=5, percent=80).withColumnRenamed("id", "doc_id")
-    return _without(docs, classes.filter("doc_id <> component_id"))
+    """One document of each class linked by a Jaccard similarity of 0.8 of 5-word shingles: the one with the smallest id,
+    of rows that share it or have none the first. Rows are linked, whatever their ids."""
+    name = next(f"row_{k}" for k in range(len(docs.columns) + 1) if f"row_{k}" not in docs.columns)
+    rows = staged(docs.withColumn(name, F.monotonically_increasing_id()), "rows")  # written, so that numbers stay
+    classes = ngram_join.jaccard_classes(rows, id_col=name, k=5, percent=80)
+    own = rows.select(F.col(name).alias("id"), "doc_id").join(classes, "id").select("id", "component_id", F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("id").alias("row")).alias("place"))
+    first = own.groupBy("component_id").agg(F.min("place").alias("first"))
+    later = own.join(first, "component_id").filter(F.col("id") != F.col("first.row")).select("id")
+    return without(rows, F.col(name), later).select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +42,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    marked = decontaminate.mark_documents(docs, load(spark, sf_dir, "benchmark"))
-    return _without(docs, marked.filter("contaminated").withColumnRenamed("id", "doc_id"))
+    """Documents that contain no benchmark item; rows of one text have one verdict, so texts stand for their rows."""
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    marked = decontaminate.mark_documents(texts, load(spark, sf_dir, "benchmark"))
+    return without(docs, F.xxhash64("text"), marked.filter("contaminated").select("id"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
