@@ -74,7 +74,7 @@ def definitions(log: DataFrame) -> DataFrame:
         F.when(whole, _part(F.col("t.old"), 2)).otherwise(F.coalesce(_part(F.col("t.old"), 1), "db_name")).alias("db"),
         F.when(~whole, _part(F.col("t.old"), 2)).alias("name"),
         F.when(F.col("t.new").isNotNull(), F.coalesce(_part(F.col("t.new"), 1), "db_name")).alias("to_db"),
-        _part(F.col("t.new"), 2).alias("to_name"))
+        _part(F.col("t.new"), 2).alias("to_name")).distinct()  # the record's own table is often named in the statement as well
 
 
 def _is(db: str, table: str, prefix: str = "") -> Column:
@@ -137,7 +137,13 @@ def table_changes(log: DataFrame, db: str, table: str, fields: Sequence[Field],
         return replay.row_changes(rows, fields, key)
 
     first, *before = spans(log, db, table)
-    changes = own(first)
+    # a generation that was renamed away and back again is told once, as part of the one that came back
+    back = [s for s in before if (s.db, s.table) == (db, table)]
+    once = log
+    for s in back:
+        inside = (commit_key() < _key(s.until)) & (F.lit(True) if s.after is None else commit_key() > _key(s.after))
+        once = once.filter(is_ddl() | ~inside | ~((F.col("db_name") == db) & (F.col("table_") == table)))
+    changes = replay.row_changes(once.filter((F.col("db_name") == db) & (F.col("table_") == table) & ~is_ddl()), fields, key)
     marks = resets(log, db, table).select("at.*", F.lit(-1).alias("sub"), F.lit(True).alias("_mark"))
     told = changes.withColumn("_mark", F.lit(False)).unionByName(marks, allowMissingColumns=True)
     out = running_total(told, [F.col(c) for c in CHANGE_ORDER], {GENERATION: F.col("_mark").cast("long")}).filter(~F.col("_mark")).drop("_mark")

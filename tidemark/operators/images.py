@@ -38,14 +38,13 @@ def typed_columns(log: DataFrame, fields: Sequence[Field], image: str = "new_dat
 
 
 def table_fields(log: DataFrame, db: str, table: str) -> list[Field]:
-    """The field list the records of a table carry. It is fixed when the table is made; more than one raises."""
-    versions = (log.filter((F.col("db_name") == db) & (F.col("table_") == table) & F.col("fields").isNotNull())
-                .select("fields").distinct().limit(2).collect())
-    if len(versions) != 1:
-        raise ValueError(f"{db}.{table} has {'no' if not versions else 'more than one'} field list")
-    return [Field(f["name"], f["meta"]["data_type"], f["meta"]["length"] or 0, f["meta"]["precision"] or 0,
-                  bool(f["meta"]["is_unsigned"]), bool(f["meta"]["nullable"]))
-            for f in versions[0]["fields"]]
+    """The columns of a table as its records describe them; of a list that changed, all versions merged into one."""
+    from tidemark.operators import versions  # which types values by this module
+
+    found = versions.table_versions(log, db, table)
+    if not found:
+        raise ValueError(f"{db}.{table} has no field list")
+    return versions.merged_fields(list(found.values()))
 
 
 def image_states(image: Column, fields: Column) -> Column:

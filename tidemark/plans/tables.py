@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import lineage, replay, stats
+from tidemark.functions.types import Field
+from tidemark.operators import generations, lineage, replay, stats, versions
 from tidemark.plans import logs_sql as sql
-from tidemark.plans.derive import DB, EVENT_FIELDS, ORDER_FIELDS, events_log, orders_log, table
+from tidemark.plans.derive import DB, EVENT_FIELDS, ORDER_FIELDS, events_log, field_list, orders_log, table
 from tidemark.plans.records import orders_and_ddl, whole_log
 from tidemark.plans.registry import ORACLE, query
 from tidemark.schema import conform
@@ -324,3 +325,102 @@ def replay_with_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = conform(steps.withColumns({"scn": tx * 1000, "seq": F.lit(0), "lsn": tx, "op_type": F.lit("DDL")}))
     log = orders_log(spark, sf_dir).unionByName(steps)
     return replay.replay_table(odd_orders(spark, sf_dir), log, DB, "orders", ORDER_FIELDS, ORDER_KEY)
+
+
+def defined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders log with definitions between its phases: created first, truncated before phase 3, renamed away and back
+    before phase 4 (its rows come along), dropped with another table before phase 5; the other definitions are of other
+    tables. While it is renamed, phase 4 is told under the other name."""
+    tx = F.col("tx_seq")
+    steps = spark.createDataFrame(
+        [(1, DB, "orders", "create table orders (x int)", "CREATE TABLE"), (2_999_999_999_998, DB, None, "truncate orders", None),
+         (3_999_999_999_998, DB, "orders", "rename table `orders` to kept, lineitem to l2", None),
+         (4_999_999_999_998, None, None, "rename table tpch.kept to tpch.orders", None),
+         (4_999_999_999_999, DB, None, "drop table if exists part, customer", "DROP TABLE"),
+         (5_999_999_999_998, None, None, "drop database `TPCH`", None), (6_999_999_999_998, None, None, "drop procedure orders", None)],
+        "tx_seq bigint, db_name string, table_ string, ddl_sql string, ddl_type string")
+    steps = conform(steps.withColumns({"scn": tx * 1000, "seq": F.lit(0), "lsn": tx, "op_type": F.lit("DDL")}))
+    log = orders_log(spark, sf_dir)
+    away = F.floor(F.col("tx_seq") / 1_000_000_000_000) == 4
+    return log.withColumn("table_", F.when(away, "kept").otherwise(F.col("table_"))).unionByName(steps)
+
+
+# Generations: phases 1-2 (before the truncation), 3-5 (through both renames), 6 (after the drop of the database)
+_GENERATIONS_SQL = f"""
+WITH {sql.O_LOG},
+g AS (SELECT *, CASE WHEN phase <= 2 THEN 1 WHEN phase <= 5 THEN 2 ELSE 3 END AS generation FROM o_log),
+r AS (SELECT *, last_value(CASE WHEN op_type IN ('I', 'D') THEN op_type END IGNORE NULLS) OVER (
+    PARTITION BY o_orderkey, generation ORDER BY tx_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM g)"""
+
+
+@query("definition_conflicts", f"""{_GENERATIONS_SQL}
+SELECT o_orderkey, tx_seq, op_type AS op, CASE op_type WHEN 'I' THEN 'insert_exists' WHEN 'U' THEN 'update_missing' ELSE 'delete_missing' END AS reason
+FROM r WHERE (op_type = 'I') = (coalesce(prev, 'D') = 'I')""")
+def definition_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return generations.replay_conflicts(defined_orders(spark, sf_dir), DB, "orders", ORDER_FIELDS, ORDER_KEY).select(
+        "o_orderkey", "tx_seq", "op", "reason")
+
+
+@query("definition_history", f"""{_GENERATIONS_SQL}
+SELECT o_orderkey, tx_seq, o_custkey, CASE WHEN phase = 2 THEN 'F' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority
+FROM r WHERE op_type = 'I' OR (op_type = 'U' AND prev = 'I')""")
+def definition_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return generations.row_history(defined_orders(spark, sf_dir), DB, "orders", ORDER_FIELDS, ORDER_KEY).select(
+        "o_orderkey", "tx_seq", "o_custkey", "o_orderstatus", "o_orderpriority")
+
+
+@query("definition_before_image", f"""{_GENERATIONS_SQL}
+SELECT o_orderkey, tx_seq, op_type AS op, o_custkey, o_orderstatus FROM r WHERE op_type <> 'I' AND prev = 'I'""")
+def definition_before_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return generations.before_images(defined_orders(spark, sf_dir), DB, "orders", ORDER_FIELDS, ORDER_KEY).select(
+        "o_orderkey", "tx_seq", "op", "o_custkey", "o_orderstatus")
+
+
+@query("definition_replay", """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 21 = 0""")
+def definition_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as of phase 5: inserted again after the truncation, dropped only later."""
+    log = defined_orders(spark, sf_dir).filter(F.col("tx_seq") < 5_900_000_000_000)
+    return generations.replay_table(odd_orders(spark, sf_dir), log, DB, "orders", ORDER_FIELDS, ORDER_KEY).select(
+        "o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@query("table_definitions", f"""
+WITH {sql.D_LOG}
+SELECT tx_seq, CASE step WHEN 2 THEN 'create' WHEN 3 THEN 'drop' ELSE 'drop database' END AS kind, shop AS db,
+  CASE WHEN step <> 4 THEN own END AS name FROM d_log JOIN d_steps USING (k, step, tx_seq) WHERE step IN (2, 3, 4)""")
+def table_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which table every definition of the log creates or ends."""
+    found = generations.definitions(orders_and_ddl(spark, sf_dir))
+    return found.select(F.col("at.tx_seq").alias("tx_seq"), "kind", "db", "name")
+
+
+def evolving_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders log with a field list that changes: until phase 2 without the date and with narrower customer keys, no
+    list at all in phases 3 and 4, from phase 5 with the date, wider keys and no priority."""
+    first = [Field("o_custkey", "INT") if f.name == "o_custkey" else f for f in ORDER_FIELDS if f.name != "o_orderdate"]
+    second = [f for f in ORDER_FIELDS if f.name != "o_orderpriority"]
+    phase = F.floor(F.col("tx_seq") / 1_000_000_000_000)
+    listed = F.when(phase <= 2, field_list(first)).when(phase >= 5, field_list(second))
+    return orders_log(spark, sf_dir).withColumn("fields", listed)
+
+
+@query("typed_versions", f"""
+WITH {sql.O_LOG}
+SELECT tx_seq, CASE WHEN phase IN (1, 5) THEN o_orderkey END AS o_orderkey,
+  CASE WHEN phase IN (1, 5) THEN o_custkey WHEN phase = 6 THEN o_custkey + 1 END AS o_custkey,
+  CASE WHEN phase IN (1, 5) THEN o_orderstatus WHEN phase = 2 THEN 'F' END AS o_orderstatus,
+  CASE WHEN phase IN (1, 5) THEN o_totalprice END AS o_totalprice, CASE WHEN phase = 5 THEN o_orderdate END AS o_orderdate,
+  CASE phase WHEN 1 THEN o_orderpriority WHEN 3 THEN '1-URGENT' END AS o_orderpriority
+FROM o_log""")
+def typed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One typed row for each row change of a table whose columns come, go and are retyped."""
+    return versions.typed_versions(evolving_orders(spark, sf_dir), DB, "orders", keep=("tx_seq",)).drop("version")
+
+
+@query("field_versions", f"""
+WITH {sql.O_LOG} SELECT phase >= 5 AS later, count(*) AS n_records, min(tx_seq) AS first_tx, max(tx_seq) AS last_tx
+FROM o_log WHERE phase IN (1, 2, 5, 6) GROUP BY phase >= 5""")
+def field_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = versions.field_versions(evolving_orders(spark, sf_dir))
+    later = F.exists("fields", lambda f: f["name"] == "o_orderdate")
+    return found.select(later.alias("later"), "n_records", F.col("first.tx_seq").alias("first_tx"), F.col("last.tx_seq").alias("last_tx"))
