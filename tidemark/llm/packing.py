@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.encoder import encoder_for
-from tidemark.llm.tables import staged
+from tidemark.llm.tables import released, staged
 
 CAPACITY, END_ID = 1024, 2
 GROUP_PIECES = 50_000
@@ -52,6 +52,7 @@ def _pieces(path: str, capacity: int, end_id: int, keep_ids: bool):
                                     + ((part.astype(np.int32),) if keep_ids else ()))
                         at += length
                 yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
+        encoder.forget()  # pieces stay known within a task only
     return run
 
 
@@ -60,7 +61,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     """Token pieces of every document: doc_id, piece, start, length, ids_crc32 and, if asked for, ids."""
     schema = "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * keep_ids
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(_pieces(tokenizer, capacity, end_id, keep_ids), schema).withColumn(
+    return rows.mapInPandas(released(_pieces(tokenizer, capacity, end_id, keep_ids)), schema).withColumn(
         "doc_id", F.col("doc_id").cast("bigint"))  # as text on the way: pandas has no integers with nulls
 
 

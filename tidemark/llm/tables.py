@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import shared_dir
@@ -81,5 +83,18 @@ def without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
     return sure.unionByName(marked.filter(perhaps).join(named, F.col("key") == F.col("gone"), "left_anti").select("row.*"))
 
 
+def released(run):
+    """A function over batches that gives memory back when its task ends: Python workers live on, and the C library keeps
+    what they have freed (a worker that has encoded a split held 424 MB, and 92 MB after this)."""
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # other C libraries have no such call
+                ctypes.CDLL(None).malloc_trim(0)
+    return wrapped
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

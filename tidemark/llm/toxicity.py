@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.tables import staged
+from tidemark.llm.tables import released, staged
 
 #: Labelled rows that voters and classifier are fitted on at most (the smallest hashes of their ids).
 MAX_LABELLED = 40_000
@@ -62,7 +62,7 @@ def _mine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def mine_terms(sample: DataFrame, n_clean: int, n_toxic: int) -> list[tuple[str, int, int]]:
     """The terms that tell the labels apart best, with the number of clean and toxic rows that hold them."""
-    counts = sample.mapInPandas(_mine, "term string, clean bigint, toxic bigint").groupBy("term").agg(
+    counts = sample.mapInPandas(released(_mine), "term string, clean bigint, toxic bigint").groupBy("term").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(f"clean + toxic >= {MIN_SUPPORT}")
 
     def part(seen: str, of: int, expected: F.Column) -> F.Column:
@@ -237,7 +237,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     clean = np.array([(m[1] + 0.5) / (n_clean + 1) for m in mined])
     toxic = np.array([(m[2] + 0.5) / (n_toxic + 1) for m in mined])
     voters = np.flatnonzero((toxic / clean >= MIN_LIFT) & (np.array([m[2] for m in mined]) >= max(MIN_SUPPORT, VOTER_SHARE * n_toxic)))[:MAX_VOTERS]
-    held = staged(rows.mapInPandas(_hold([m[0] for m in mined]), "doc_id string, text_hash bigint, held array<int>"), "terms")
+    held = staged(rows.mapInPandas(released(_hold([m[0] for m in mined])), "doc_id string, text_hash bigint, held array<int>"), "terms")
 
     picked = held.join(F.broadcast(chosen), "doc_id").select("held", "label").toPandas()  # at most max_labelled rows
     training = [np.asarray(h, np.int64) for h in picked["held"]]
