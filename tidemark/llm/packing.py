@@ -1,6 +1,6 @@
 """Bound-certified best-fit packing of token pieces into sequences of fixed length.
 
-Pieces are dealt at random to partitions of bounded size; each packs its own by best-fit decreasing and computes a lower
+Pieces are dealt at random, by a number of their own, to partitions of bounded size; each packs its own by best-fit decreasing and computes a lower
 bound on its sequences by dual feasible functions. A partition that meets its bound is certified optimal. One that does
 not tries a second order, which fills sequences one at a time and exactly where it can, and keeps the better packing.
 
@@ -10,7 +10,9 @@ over its bound and a few for its last, never quite full ones. Those are dealt to
 documents of different partitions meet, and packed again. A round that saves nothing ends the exchange.
 
 Defined results: a null or empty text is its end token alone. Rows are never merged: equal documents, or documents with
-the same or no id, are packed one by one. An empty table gives no rows.
+the same or no id, are packed one by one and spread over the partitions like any others. A text of any length is cut into
+pieces. Pieces of one length are taken in the order in which their partition holds them. An empty table gives no rows.
+Only the named id and text columns are read, whatever else a table has.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from tidemark.llm.tables import released, staged
 CAPACITY, END_ID = 1024, 2
 GROUP_PIECES = 50_000
 RELEASE = 12
-_PACKED = "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint, grp bigint, bin bigint, offset bigint, released boolean"
+_PACKED = "doc_id string, piece int, start bigint, length bigint, ids_crc32 bigint, row bigint, grp bigint, bin bigint, offset bigint, released boolean"
 
 
 def piece_lengths(total: int, capacity: int) -> list[int]:
@@ -165,19 +167,25 @@ def _pack(capacity: int):
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Sequence id and offset of each piece of ``cut_pieces``; see the module."""
-    pieces = staged(pieces.select("doc_id", "piece", "start", "length", "ids_crc32"), "pieces")
+    pieces = staged(pieces.select("doc_id", "piece", "start", "length", "ids_crc32",
+                                  F.monotonically_increasing_id().alias("row")), "pieces")  # written, so that numbers stay
     histogram = pieces.groupBy("length").count().collect()  # one row per length, capacity at most
     counts = np.zeros(capacity + 1, np.int64)
     for row in histogram:
         counts[row["length"]] = row["count"]
     bound = lower_bound(counts, capacity)
 
-    def packed(rows: DataFrame, n: int, turn: int) -> DataFrame:
+    used = 0  # groups so far: those of a later turn are numbered on, and so are their sequences
+
+    def packed(rows: DataFrame, n: int) -> DataFrame:
+        nonlocal used
         groups = max(1, -(-n // group_pieces))
-        dealt = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(groups)))
+        # equal pieces differ in their row, and those that met once are dealt anew
+        dealt = rows.withColumn("grp", F.pmod(F.xxhash64("row", F.lit(used)), F.lit(groups)) + used)
+        used += groups
         dealt = dealt.withColumn("doc_id", F.col("doc_id").cast("string"))
         return staged(dealt.groupBy("grp").applyInPandas(_pack(capacity), _PACKED)
-                      .withColumns({"doc_id": F.col("doc_id").cast("bigint"), "turn": F.lit(turn)}), "packed")
+                      .withColumn("doc_id", F.col("doc_id").cast("bigint")), "packed")
 
     def sizes(rows: DataFrame) -> tuple[int, int, int]:
         """Sequences, released sequences and released pieces."""
@@ -186,23 +194,23 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
         row = per.agg(F.sum(F.col("last") + 1), F.sum("bins"), F.sum("pieces")).first()
         return row[0] or 0, row[1] or 0, row[2] or 0
 
-    current, n, turn, done = pieces, int(counts.sum()), 0, []
-    latest = packed(current, n, turn)
+    done = []
+    latest = packed(pieces, int(counts.sum()))
     total, out, n_out = sizes(latest)
     while out and total > bound:
-        again = packed(latest.filter("released").select(pieces.columns), n_out, turn + 1)
+        again = packed(latest.filter("released").select(pieces.columns), n_out)
         made, out_next, n_next = sizes(again)
         if made >= out:
             break
         done.append(latest.filter("NOT released"))
         total += made - out
-        latest, out, n_out, turn = again, out_next, n_next, turn + 1
+        latest, out, n_out = again, out_next, n_next
     done.append(latest)
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)
-    # numbers of one turn and group are dense from 0; the group is below 2^31
-    sequence = F.shiftleft(F.col("turn").cast("bigint"), 58) + F.shiftleft("grp", 32) + F.col("bin")
+    # sequences of a group are dense from 0 and below 2^32; groups of all turns are below 2^31
+    sequence = F.shiftleft("grp", 32) + F.col("bin")
     return result.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), "offset")
 
 
