@@ -450,6 +450,16 @@ def test_store_of_awkward_rows(awkward, nothing):
     assert token_store.read_digests(token_store.write_tokens(nothing, WORD, 49_408, 1)).count() == 0
 
 
+def test_equal_rows_spread_over_files(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "FILE_BYTES", 1000)
+    same = spark.range(2000).selectExpr("CAST(3 AS BIGINT) AS doc_id", "'some words here' AS text")
+    manifest = token_store.write_tokens(same, WORD, 49_408, 1)
+    files = manifest.collect()
+    assert len(files) > 20 and max(f.n_docs for f in files) < 400 and sum(f.n_docs for f in files) == 2000
+    out = token_store.read_digests(manifest).collect()
+    assert sorted(r.start for r in out) == [i * out[0].n_tokens for i in range(2000)]
+
+
 # 9 -----------------------------------------------------------------------------------------------------------------
 def test_measures_of_awkward_rows(awkward, nothing, labels):
     for r in quality_rules.measures(awkward.drop("n")).collect():
@@ -524,6 +534,14 @@ def test_bounds_and_exchange(spark):
     assert out.count() == 3000 and bound <= out.select("sequence_id").distinct().count() <= bound + 6
 
 
+def test_equal_pieces_are_spread_over_partitions(spark):
+    pieces = spark.range(3000).selectExpr("CAST(7 AS BIGINT) AS doc_id", "0 AS piece", "0L AS start", "400L AS length", "5L AS ids_crc32")
+    out = packing.pack_pieces(pieces, group_pieces=300)
+    groups = [r["count"] for r in out.groupBy(F.shiftright("sequence_id", 32).alias("grp")).count().collect()]
+    assert out.count() == 3000 and len(groups) >= 10 and max(groups) < 600
+    assert out.select("sequence_id").distinct().count() <= 1500 + len(groups)
+
+
 # pipeline ----------------------------------------------------------------------------------------------------------
 def test_pipeline_stages_take_effect(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")

@@ -6,17 +6,20 @@ null (uint8), its first id in the file (uint64); and a footer with the counts an
 independent, so any range of ids is read by seeking to its blocks and unpacking them with numpy.
 
 Documents are dealt to files by ranges of doc_id and sorted inside, so files in order hold ascending doc_ids (null ids
-first; rows with one id ordered by a hash of their text). Every task writes under a name of its own and reports it;
+first; rows with one id ordered by a hash of their text, equal rows by where they stand in the table, so that any number
+of them spreads over files). The number of files follows from the bytes of the texts. Every task writes under a name of its own and reports it;
 only reported files belong to the store, so a repeated or lost task leaves nothing that is ever read. Files go through
 ``pyarrow.fs``, which knows local paths and the usual object stores and HDFS by their URI.
 
-Defined results: a null or empty text has its end id only; an empty table gives a store without files.
+Defined results: a null or empty text has its end id only; a text of any length is one document of one file; an empty
+table gives a store without files. Only the named id and text columns are read, whatever else a table has.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +31,8 @@ from tidemark.llm.encoder import encoder_for
 from tidemark.llm.tables import new_folder, staged
 
 BLOCK_IDS = 8192
+#: Bytes of text a file holds at most, but for its last document.
+FILE_BYTES = 256 << 20
 _HEAD, _FOOT = struct.Struct("<4sHHI"), struct.Struct("<QQQQ4s")
 _MANIFEST = "part int, path string, n_docs bigint, n_ids bigint"
 _READ = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
@@ -64,11 +69,13 @@ class StoreWriter:
         self.out.write(_HEAD.pack(b"TMBP", 1, bits, block_ids))
         self.at, self.pending, self.n_ids = _HEAD.size, np.zeros(0, np.int32), 0
         self.blocks: list[int] = []
-        self.docs: list[tuple[int, bool, int]] = []
+        self.doc_ids, self.null, self.starts = array("q"), array("B"), array("Q")
 
     def add(self, doc_ids: list[int | None], ids: np.ndarray, where: np.ndarray) -> None:
         """Documents with these ids; ``where`` has the first id of each and the total."""
-        self.docs += [(d or 0, d is None, self.n_ids + int(w)) for d, w in zip(doc_ids, where)]
+        self.doc_ids.extend(d or 0 for d in doc_ids)
+        self.null.extend(d is None for d in doc_ids)
+        self.starts.frombytes((np.asarray(where[: len(doc_ids)]) + self.n_ids).astype(np.uint64).tobytes())
         self.n_ids += len(ids)
         self.pending = np.concatenate([self.pending, ids])
         whole = len(self.pending) // self.block_ids * self.block_ids
@@ -85,10 +92,9 @@ class StoreWriter:
     def close(self) -> None:
         if len(self.pending):
             self._block(self.pending)
-        docs = np.array(self.docs, np.int64).reshape(-1, 3)
-        for column, kind in ((self.blocks, "<u8"), (docs[:, 0], "<i8"), (docs[:, 1], "u1"), (docs[:, 2], "<u8")):
+        for column, kind in ((self.blocks, "<u8"), (self.doc_ids, "<i8"), (self.null, "u1"), (self.starts, "<u8")):
             self.out.write(np.asarray(column, kind).tobytes())
-        self.out.write(_FOOT.pack(self.at, len(self.blocks), len(docs), self.n_ids, b"TMBP"))
+        self.out.write(_FOOT.pack(self.at, len(self.blocks), len(self.doc_ids), self.n_ids, b"TMBP"))
         self.out.close()
 
 
@@ -140,7 +146,7 @@ def _write(folder: str, tokenizer: str, bits: int, end_id: int):
                 writer.add(docs[begin:end], whole, where[:-1] + np.arange(end - begin))
         if writer is not None:
             writer.close()
-            yield pd.DataFrame({"part": [task.partitionId()], "path": [path], "n_docs": [len(writer.docs)],
+            yield pd.DataFrame({"part": [task.partitionId()], "path": [path], "n_docs": [len(writer.doc_ids)],
                                 "n_ids": [writer.n_ids]})
     return run
 
@@ -150,11 +156,15 @@ def write_tokens(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int,
     """Write the store and return its manifest: part, path, n_docs, n_ids, and start (ids of all files before)."""
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "tokens")
-    width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    if partitions is None:
+        held = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        # no fewer than the session's tasks, so that a small table is not encoded by one
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // FILE_BYTES))
     as_text = F.col("doc_id").cast("string")  # pandas has no integers with nulls
-    tie = F.xxhash64("text")
-    ordered = rows.repartitionByRange(width, "doc_id", tie).sortWithinPartitions("doc_id", tie).withColumn("doc_id", as_text)
+    place = ["doc_id", F.xxhash64("text"), "row"]
+    ordered = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(partitions, *place).sortWithinPartitions(
+        *place).select(as_text.alias("doc_id"), "text")
     written = staged(ordered.mapInPandas(_write(folder, tokenizer, bits_for(vocabulary), end_id), _MANIFEST), "manifest")
     # one row per file
     before = F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
@@ -182,4 +192,4 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def read_digests(manifest: DataFrame) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32."""
     files = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return manifest.repartition(files, "path").mapInPandas(_read, _READ)
+    return manifest.repartition(files).mapInPandas(_read, _READ)  # one row per file
