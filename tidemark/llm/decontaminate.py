@@ -27,7 +27,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.tables import staged
+from tidemark.llm.tables import released, staged
 from tidemark.llm.wordhash import buffer_of, chunks, run_hashes, words_of
 
 SHINGLE, PERCENT = 5, 80
@@ -105,7 +105,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from _hits(bitmap.value, lengths or [SHINGLE])(batches)
 
-    held = staged(rows.mapInPandas(hits, "id string, tag bigint, m bigint, shingles array<bigint>")
+    held = staged(rows.mapInPandas(released(hits), "id string, tag bigint, m bigint, shingles array<bigint>")
                   .withColumn("id", F.col("id").cast("bigint")), "hits")
 
     need = F.ceil(F.col("n") * percent / 100).cast("bigint")

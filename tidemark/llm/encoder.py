@@ -32,6 +32,11 @@ def encoder_for(path: str, offsets: bool = False) -> "Encoder":
     return _ENCODERS[path, offsets]
 
 
+def drop_encoder(path: str, offsets: bool = False) -> None:
+    """Keep neither the vocabulary nor the pieces in this process: it may go on to other work."""
+    _ENCODERS.pop((path, offsets), None)
+
+
 class Encoder:
     def __init__(self, path: str, offsets: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

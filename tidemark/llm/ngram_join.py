@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.components import connected_components
 from tidemark.llm.signature_tree import Forest, SignatureTree, bits_of, dual_traversal, fold, least_overlap, order_for_tree
-from tidemark.llm.tables import staged
+from tidemark.llm.tables import released, staged
 from tidemark.llm.wordhash import each_words, mix, shingles_of
 
 #: Counters for common tokens (a power of two), the share of hashes they count, and how far above the mean is common.
@@ -71,7 +71,7 @@ def _count_tokens(k: int, lower: bool):
 
 def common_tokens(texts: DataFrame, k: int, lower: bool) -> np.ndarray:
     """For each counter whether its tokens are common; at most ``COUNTERS`` numbers reach the driver."""
-    counted = staged(texts.mapInPandas(_count_tokens(k, lower), "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")), "counts")
+    counted = staged(texts.mapInPandas(released(_count_tokens(k, lower)), "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")), "counts")
     total = counted.agg(F.sum("n")).first()[0] or 0
     common = np.zeros(COUNTERS, bool)
     rows = counted.filter(F.col("n") >= max(COMMON_COUNT, COMMON_FACTOR * total // COUNTERS)).select("at").toPandas()
@@ -256,7 +256,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``percent`` or more between sets of ``k``-word shingles."""
     named = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     common = docs.sparkSession.sparkContext.broadcast(common_tokens(named.select("text"), k, lower))
-    facts = staged(named.mapInPandas(_facts(k, percent, lower, common), _FACTS)  # ids as text: pandas has no integers with nulls
+    facts = staged(named.mapInPandas(released(_facts(k, percent, lower, common)), _FACTS)  # ids as text: pandas has no integers with nulls
                    .withColumn("id", F.col("id").cast("bigint")).withColumn("row", F.monotonically_increasing_id()), "shingles")
     # one representative for each set, and one of its rows; ids with several texts tie their sets together
     first = facts.filter("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"), F.min("row").alias("first_row"))
@@ -280,14 +280,14 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = (groups.filter("c = 2 AND a < b").select("a", "b")
              .join(marks.selectExpr("id AS a", "n AS n_a", "bits AS bits_a"), "a")
              .join(marks.selectExpr("id AS b", "n AS n_b", "bits AS bits_b"), "b")
-             .mapInPandas(_keep_pairs(percent), "a bigint, b bigint"))
+             .mapInPandas(released(_keep_pairs(percent)), "a bigint, b bigint"))
     chunks = F.when(F.col("c") > GROUP, F.ceil(F.col("c") * 2 / GROUP)).otherwise(1).cast("int")
     own = F.pmod(F.xxhash64("id"), F.col("m")).cast("int")
     members = (keyed.select("kb", "id").join(groups.filter("c > 2").select("kb", chunks.alias("m")), "kb")
                .withColumn("h", own).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
                .select("kb", "id", F.least("h", "j").alias("ci"), F.greatest("h", "j").alias("cj")))
     dealt = (members.join(marks, "id").repartition("kb", "ci", "cj").sortWithinPartitions("kb", "ci", "cj", "n")
-             .mapInPandas(_cluster_groups(percent), "a bigint, b bigint"))
+             .mapInPandas(released(_cluster_groups(percent)), "a bigint, b bigint"))
     maybe = staged(pairs.unionByName(dealt).distinct(), "candidates")
 
     clusters = connected_components(maybe).withColumnRenamed("component", "cluster")

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.encoder import encoder_for
+from tidemark.llm.encoder import drop_encoder, encoder_for
 from tidemark.llm.tables import released, staged
 
 CAPACITY, END_ID = 1024, 2
@@ -54,7 +54,7 @@ def _pieces(path: str, capacity: int, end_id: int, keep_ids: bool):
                                     + ((part.astype(np.int32),) if keep_ids else ()))
                         at += length
                 yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
-        encoder.forget()  # pieces stay known within a task only
+        drop_encoder(path)  # vocabulary and pieces stay known within a task only
     return run
 
 

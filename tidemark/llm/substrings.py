@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.tables import staged
+from tidemark.llm.tables import released, staged
 from tidemark.llm.wordhash import each_words, run_hashes
 
 WINDOW, SEED = 50, 16
@@ -135,7 +135,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     named = docs.withColumn("id", F.col("id").cast("string"))  # pandas has no integers with nulls
-    facts = staged(named.mapInPandas(_facts(window, seed), _FACTS).withColumn("id", F.col("id").cast("bigint")), "winnowed")
+    facts = staged(named.mapInPandas(released(_facts(window, seed)), _FACTS).withColumn("id", F.col("id").cast("bigint")), "winnowed")
     # joins on keys that may be hot take staged tables: only plain shuffles can be split by AQE
     first = staged(facts.filter("id IS NOT NULL").groupBy("sha").agg(F.min("id").alias("first_id")), "first")
     placed = facts.select("id", "sha", "tag", "n_words").join(first, "sha", "left")
@@ -148,7 +148,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = staged(anchors.groupBy("anchor").agg(F.min("id").alias("low"), F.max("id").alias("high"))
                     .filter("low < high").select("anchor"), "shared")
     seeds = anchors.join(shared, "anchor").groupBy("id", "tag").agg(F.collect_list("at").alias("seeds"))
-    opened = staged(docs.filter("id IS NOT NULL").join(seeds, "id").mapInPandas(_open(window, seed), _OPENED), "opened")
+    opened = staged(docs.filter("id IS NOT NULL").join(seeds, "id").mapInPandas(released(_open(window, seed)), _OPENED), "opened")
 
     windows = opened.select("id", "tag", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select(
         "id", "tag", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"))
@@ -157,7 +157,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = (windows.join(owners, "hash").filter("owner < id")
              .groupBy("id", "tag").agg(F.collect_set("start").alias("found")))
     cut = (opened.select("id", "tag", "text").dropDuplicates(["id", "tag"]).join(found, ["id", "tag"])
-           .mapInPandas(_cut(window), _SPANS))
+           .mapInPandas(released(_cut(window)), _SPANS))
 
     whole = F.array(F.struct(F.lit(0).alias("begin"), F.col("n_words").cast("int").alias("end")))
     is_copy = (F.col("id") > F.col("first_id")) & (F.col("n_words") >= window)
