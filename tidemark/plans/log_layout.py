@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import ids
-from tidemark.operators import events, segments
+from tidemark.operators import events, rotation, segments
 from tidemark.plans import logs_sql as sql
 from tidemark.plans.derive import lineitem_log, orders_log, table
 from tidemark.plans.records import orders_and_ddl
-from tidemark.plans.registry import query
+from tidemark.plans.registry import ORACLE, query
 from tidemark.session import shared_dir
 from tidemark.sources.change_log import union_logs
 
@@ -137,12 +139,43 @@ placed AS (SELECT p.*, s.segment_no, 122 + p.end_pos - s.start_pos AS segment_po
 SELECT segment_no, count(*) AS n_events, CAST(sum(event_len) AS BIGINT) AS bytes, max(segment_pos) AS used,
   max(tx_seq) AS last_tx, arg_max(check_point, rn) AS check_point FROM placed GROUP BY segment_no""")
 def segments_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = segments.greedy_segments(lineitem_log(spark, sf_dir), SEGMENT, keep=("check_point",))
-    used = placed.groupBy("segment_no").agg(
+    return _used(segments.greedy_segments(lineitem_log(spark, sf_dir), SEGMENT, keep=("check_point",)))
+
+
+def _used(placed: DataFrame) -> DataFrame:
+    return placed.groupBy("segment_no").agg(
         F.count(F.lit(1)).alias("n_events"), F.sum("event_len").alias("bytes"), F.max("segment_pos").alias("used"),
         F.max("tx_seq").alias("last_tx"),
         F.max_by("check_point", F.struct("scn", "tx_seq", "seq", "lsn", "dn", "event_ord")).alias("check_point"))
-    return used
+
+
+def resumed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of a folder that three runs have written, each from where the one before stopped."""
+    log = lineitem_log(spark, sf_dir)
+    path = f"{shared_dir(spark).rstrip('/')}/rotation-{uuid.uuid4().hex}"
+    low, high = log.agg(F.min("tx_seq"), F.max("tx_seq")).first()
+    for share in (0.2, 0.7, 1):
+        seen = log.filter(F.col("tx_seq") <= low + int((high - low) * share)) if low is not None else log
+        rotation.append_segments(rotation.not_yet_written(seen, rotation.rotation_state(spark, path)), path, SEGMENT)
+    return rotation.read_rotation(spark, path)
+
+
+@query("segments_resumed", ORACLE["segments_greedy"])
+def segments_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _used(resumed_events(spark, sf_dir))
+
+
+@query("segments_resumed_chain", f"""
+SELECT g.segment_no, printf('ON.%06d', g.segment_no) AS name, CASE WHEN g.segment_no < t.n THEN printf('ON.%06d', g.segment_no + 1) END AS next_name,
+  'SUCCESS' AS status, split_part(check_point, '-', 1)::BIGINT AS tx_seq, g.segment_no > floor(t.n * 0.3) AS keep
+FROM ({ORACLE["segments_greedy"]}) g, (SELECT max(segment_no) AS n FROM ({ORACLE["segments_greedy"]})) t""")
+def segments_resumed_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names, pointers, status and retention of the segments that several runs have written."""
+    known = segments.segments_of(resumed_events(spark, sf_dir))
+    chain = segments.segment_chain(known).select("segment_no", "name", "next_name")
+    status = segments.segment_status(chain.select("name"), known).select("name", "status", F.col("tx_seq").cast("long").alias("tx_seq"))
+    kept = segments.retention(known).select("segment_no", "keep")
+    return chain.join(status, "name").join(kept, "segment_no").select("segment_no", "name", "next_name", "status", "tx_seq", "keep")
 
 
 @query("segment_index", f"WITH {_L_QUOTA} SELECT DISTINCT segment_no, printf('ON.%06d', segment_no) AS name FROM l_seg")
