@@ -169,6 +169,45 @@ def test_elements_without_text_end(page, text):
     assert "\n".join(b.text for b in html_text.blocks_of(page)) == text
 
 
+_ARTICLE = "<h1>The title</h1><p>First paragraph of the piece, without any links.</p><p>Second one, as plain as the first.</p>"
+_TEXT = "The title\nFirst paragraph of the piece, without any links.\nSecond one, as plain as the first."
+_MENU, _SIDE = "<nav><a href=a>Home</a></nav>", "<div class='sidebar'><p>Popular this week</p></div><footer>Imprint</footer>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body class='single has-sidebar'>{_MENU}<article>{_ARTICLE}</article>{_SIDE}",
+    f"<body>{_MENU}<div class='content with-sidebar'>{_ARTICLE}</div>{_SIDE}",
+    f"<body class='header-fixed nav sidebar'>{_MENU}<main>{_ARTICLE}</main>{_SIDE}",
+    f"<body>{_MENU}<article class='post category-alert'>{_ARTICLE}</article>{_SIDE}",
+    f"<body>{_MENU}<div id='legal-news'>{_ARTICLE}</div>{_SIDE}",
+    f"<body><form id=all>{_MENU}<div>{_ARTICLE}</div>{_SIDE}</form>",
+    f"<body>{_MENU}<article><header class='entry-header'><h1>The title</h1></header>{_ARTICLE[18:]}</article>{_SIDE}",
+    f"<body>{_MENU}<div class='post'><header class='entry-header'><h1>The title</h1></header>{_ARTICLE[18:]}</div>{_SIDE}",
+    f"<body>{_MENU}<div class='sidebar'><article>{_ARTICLE}</article></div>{_SIDE}",
+    f"<body>{_MENU}<article>{_ARTICLE}</article><div id='comment-section'><p>{'A long comment by a reader. ' * 30}</p></div>",
+    f"<body>{_MENU}<article>{_ARTICLE}</article><div class='comments'><article class='comment'><p>{'A reader. ' * 90}</p></article></div>",
+    f"<body>{_MENU}<article>{_ARTICLE}</article><div class='related'><article class='card'><h3>Other</h3><p>Teaser</p></article></div>",
+    f"<body>{_MENU}<div>{_ARTICLE}</div>{_SIDE}<form><p>Your name</p><button>Go</button></form>",
+])
+def test_containers_that_hold_the_article_are_no_noise(page):
+    assert html_text.main_text(page) == _TEXT
+
+
+def test_cut_changes_labels_both_ways():
+    link = "<p><a href=x>A line that is only a link</a></p>"
+    plain = "<p>" + "An ordinary paragraph that goes on for a while. " * 5 + "</p>"
+    stray = "<p>Words between links, of a length that a short paragraph may have.</p>"
+    for page, label in ((f"<div>{plain}{link}{plain}</div>", True), (f"<div>{link}{stray}{link}</div>", False)):
+        blocks = html_text.blocks_of(page)
+        assert (blocks[1].score > 0) != label
+        assert html_text.min_cut([b.score for b in blocks], html_text.smoothness(blocks))[1] == label
+
+
+def test_a_form_or_sidebar_alone_is_no_article():
+    assert html_text.main_text("<form><p>Your name</p></form>") == ""
+    assert html_text.main_text("<div class=sidebar><p>Text of a sidebar that stands alone on its page</p></div>") == ""
+
+
 def test_pages_with_awkward_rows(spark):
     long_page = "<article>" + "<p>text of a paragraph</p>" * 3000 + "</article>"
     pages = spark.createDataFrame(

@@ -2,16 +2,21 @@
 
 A page is cut into text blocks at its block-level elements. A linear classifier gives each block a score from its tags,
 the classes and ids around it, its length and its links; positive scores become capacities from the source (content),
-negative ones capacities to the sink (boilerplate). Smoothness edges join blocks that follow each other, weaker the
-further apart they are in the element tree, and blocks that follow each other inside one container. A maximum flow then
-separates content from boilerplate at the least total cost.
+negative ones capacities to the sink (boilerplate). What speaks for content in all ancestors together is bounded, and what
+a class, id, role or form speaks against it is discounted by the share of the page's unlinked text the element holds: a
+wrapper of the whole page is no sidebar, whatever its class says. A class that is a noise word in full is only discounted
+where the element also holds a main heading or the page's largest article. Smoothness edges join blocks that follow each
+other, weaker the further apart they are in the element tree, and more so blocks that follow each other inside one
+container: a doubtful block goes with its neighbours. A maximum flow then separates content from boilerplate at the least cost.
 
 Defined results: a null or empty page has no text. Broken markup is read as far as it goes: unclosed elements end with
 their container (a script or style without an end is code up to the page's end, as in browsers), unknown character
 references stay as they are, a page without any content has empty text. What is no text of the page (``OPAQUE_TAGS``) is
 nested like other elements; a head also ends at the first thing that belongs to a body, and svg and math end at a tag of
-HTML, or at once if they close themselves. Pages are
-independent, so equal rows give equal results.
+HTML, or at once if they close themselves. Pages are independent: equal rows give equal results, rows without or with
+the same page_id one result each, an empty table an empty result. A very long page is read whole, in time and memory that
+follow its length times its depth. Blocks whose cut costs the same either way count as boilerplate. Columns are taken by
+name; others, whatever they are called, are not read.
 """
 
 from __future__ import annotations
@@ -39,23 +44,27 @@ _ISLANDS = frozenset("foreignobject desc annotation-xml mtext mi mo mn ms".split
 _HTML_ONLY = BLOCK_TAGS | frozenset("""b big br code em embed head i img meta nobr ruby s small span strong strike sub sup tt u
 var""".split())
 #: Linear weights of the classifier, in log-odds of content.
-TAG_WEIGHTS = {
-    "article": 3.0, "main": 2.0, "nav": -9.0, "footer": -9.0, "aside": -9.0, "form": -9.0, "button": -9.0, "select": -9.0,
-    "menu": -9.0, "dialog": -9.0, "option": -9.0, "fieldset": -9.0, "legend": -9.0}
+CONTENT_TAGS = {"article": 3.0, "main": 2.0}
+NOISE_TAGS = frozenset("nav footer aside button select menu dialog option legend".split())
+WRAPPING_TAGS = frozenset(["form", "fieldset"])  # noise unless most of the page is inside
 LEAF_WEIGHTS = {
     "p": 1.5, "blockquote": 1.0, "pre": 1.0, "h1": 1.0, "h2": 0.7, "h3": 0.6, "h4": 0.5, "li": -0.2, "td": 0.0, "dd": 0.3,
     "dt": 0.2, "figcaption": 0.5}
-HEADER_WEIGHT = -9.0  # a header outside the article
 NOISE_WEIGHT, CONTENT_WEIGHT, LINK_WEIGHT, BIAS = -9.0, 1.5, -3.0, -1.0
+MOST_CONTENT, MOST = 3.0, 8.0  # bounds of what all ancestors together say for content, and of a score either way
 NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|sponsor(?:ed|s)?|promo(?:tion|ted)?|banner|cookies?|consent|gdpr|"
+    r"(?:^|(?<=[_-]))(?P<word>ads?|adverts?|advertisement|adsense|sponsor(?:ed|s)?|promo(?:tion|ted)?|banner|cookies?|consent|gdpr|"
     r"notices?|alert|popup|pop-up|modal|overlay|nav|navbar|navigation|menus?|breadcrumbs?|sidebar|side|widget|footer|foot|"
     r"masthead|site-header|page-header|topbar|toolbar|header|comments?|reply|replies|respond|disqus|discussion|share|"
     r"sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|subscription|signup|login|search|tags?|"
-    r"pagination|pager|legal|copyright|disclaimer|skip|hidden)(?:$|[\s_-])", re.I)
+    r"pagination|pager|legal|copyright|disclaimer|skip|hidden)(?=$|[_-])", re.I)
+#: Before a noise word: the class tells what a page has or is about, not what the element is.
+STATED = re.compile(r"(?:^|[_-])(?:has|with|no|not|without|is|category|cat|format|type|layout|theme|supports)[_-]+$", re.I)
+ARTICLE_CLASSES = frozenset("article post entry story hentry article-body article-content post-content entry-content".split())
 CONTENT = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|body|text|main)(?:$|[\s_-])", re.I)
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar".split())
-ADJACENT, SIBLING = 0.6, 0.5
+ADJACENT, SIBLING = 0.6, 1.5
+FORM_PROSE = 200  # unlinked code points from which a form may be the frame of a page
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
@@ -68,11 +77,16 @@ _SELF_CLOSING = frozenset("p li dt dd option tr td th".split())
 @dataclass(slots=True)
 class Element:
     tag: str
-    weight: float
-    depth: int
+    parent: int
     in_article: bool
     opaque: bool = False
     closed: bool = False  # an opaque element with an end tag further on
+    content: float = 0.0  # what speaks for content
+    sure: float = 0.0  # what speaks against it whatever the element holds
+    noise: float = 0.0  # what speaks against it unless the element holds the article
+    doubt: float = 0.0  # what speaks against it unless the element holds most of the text
+    prose: int = 0  # unlinked code points inside
+    landmark: bool = False  # holds a main heading or the largest article
 
 
 @dataclass(slots=True)
@@ -80,6 +94,7 @@ class Block:
     text: str
     leaf: str
     path: tuple[int, ...]
+    link_share: float = 0.0
     score: float = 0.0
 
 
@@ -90,20 +105,57 @@ class _Open:
     length: int = 0
 
 
-def _attribute_weight(attrs: str) -> float:
-    weight = 0.0
-    for name, a, b, c in _ATTR.findall(attrs):
+def _judge(element: Element, attrs: str) -> None:
+    """What an element's tag, classes, id and role say about the text in it."""
+    tag = element.tag
+    element.content = CONTENT_TAGS.get(tag, 0.0)
+    element.sure = NOISE_WEIGHT if tag in NOISE_TAGS else 0.0
+    element.doubt = NOISE_WEIGHT if tag in WRAPPING_TAGS else 0.0
+    inside = element.in_article  # of an ancestor
+    if tag == "header" and not inside:
+        element.noise = NOISE_WEIGHT
+    for name, a, b, c in _ATTR.findall(attrs) if attrs else ():
         name, value = name.lower(), a or b or c
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return NOISE_WEIGHT
-        if name == "role":
+            element.sure = NOISE_WEIGHT
+        elif name == "role":
             if value.lower() in NOISE_ROLES:
-                return NOISE_WEIGHT
-        elif NOISE.search(value):
-            return NOISE_WEIGHT
-        elif CONTENT.search(value):
-            weight = CONTENT_WEIGHT
-    return weight
+                element.noise = NOISE_WEIGHT
+        elif name in ("class", "id"):
+            if CONTENT.search(value):
+                element.content += CONTENT_WEIGHT
+            if tag in ("html", "body"):
+                continue  # theirs tell about the page
+            for word in value.split():
+                element.in_article |= word.lower() in ARTICLE_CLASSES
+                for found in NOISE.finditer(word):
+                    if found["word"].lower() == "header" and inside:
+                        continue  # an article's own header holds its title
+                    if len(found["word"]) == len(word) or found["word"].lower() == "hidden":
+                        element.noise = NOISE_WEIGHT
+                    elif not STATED.search(word, 0, found.start()):
+                        element.doubt = NOISE_WEIGHT
+    element.in_article |= tag in ("article", "main")
+
+
+def _weigh(elements: list[Element]) -> tuple[list[float], list[float]]:
+    """For and against content, summed over each element and its ancestors (which come before it)."""
+    for e in reversed(elements[1:]):
+        elements[e.parent].prose += e.prose
+    clean = [e for e in elements if e.tag in ("article", "main") and not e.noise + e.doubt + e.sure]
+    largest = max(clean, key=lambda e: e.prose, default=None)
+    for e in reversed(elements[1:]):
+        e.landmark |= e.tag == "h1" or e is largest
+        elements[e.parent].landmark |= e.landmark
+    pro, contra = [0.0], [0.0]
+    for e in elements[1:]:
+        share = e.prose / max(elements[0].prose, 1)
+        wrapper = (1 - share) ** 2 if e.landmark else 1.0
+        enough = min(1.0, e.prose / FORM_PROSE) if e.tag in WRAPPING_TAGS else 1.0
+        against = e.sure + min(e.noise * wrapper, e.doubt * min(wrapper, 1 - share ** 4 * enough))
+        pro.append(pro[e.parent] + e.content)
+        contra.append(contra[e.parent] + against)
+    return pro, contra
 
 
 def _closed_openings(page: str) -> set[int]:
@@ -122,8 +174,8 @@ def _closed_openings(page: str) -> set[int]:
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, scored by the classifier."""
     blocks: list[Block] = []
-    stack = [Element("", 0.0, 0, False)]
-    ids, made = [0], 0
+    elements = [Element("", 0, False)]
+    stack, ids = [elements[0]], [0]
     current, links = _Open(), 0
     hidden = 0  # place of the outermost opaque element on the stack
     closed, endless = _closed_openings(page), set()
@@ -134,11 +186,16 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(current.parts)).split())
             if text:
                 leaf = next((e.tag for e in reversed(stack) if e.tag in LEAF_WEIGHTS), "")
-                score = BIAS + sum(e.weight for e in stack) + LEAF_WEIGHTS.get(leaf, 0.0)
-                score += min(len(text), 400) / 200 + LINK_WEIGHT * current.linked / max(current.length, 1)
-                blocks.append(Block(text, leaf, tuple(ids), max(-20.0, min(20.0, score))))
+                linked = current.linked / max(current.length, 1)
+                stack[-1].prose += round(len(text) * (1 - linked))
+                blocks.append(Block(text, leaf, tuple(ids), linked))
             current = _Open()
 
+    def enter(element: Element) -> None:
+        stack.append(element)
+        ids.append(len(elements))
+        elements.append(element)
+
     def leave(place: int) -> None:
         nonlocal hidden
         del stack[place:], ids[place:]
@@ -199,9 +256,7 @@ def blocks_of(page: str) -> list[Block]:
                 opaque = tag in OPAQUE_TAGS
                 if opaque and not hidden:
                     hidden = len(stack)
-                made += 1
-                stack.append(Element(tag, 0.0, len(stack), stack[-1].in_article, opaque, found.start() in closed))
-                ids.append(made)
+                enter(Element(tag, ids[-1], stack[-1].in_article, opaque, found.start() in closed))
             continue
         if closing and hidden:
             at_depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
@@ -225,7 +280,6 @@ def blocks_of(page: str) -> list[Block]:
             if at_depth:
                 del stack[at_depth:], ids[at_depth:]
             continue
-        weight = _attribute_weight(found["attrs"]) if found["attrs"] else 0.0
         if block:
             flush()
             links = 0
@@ -236,21 +290,22 @@ def blocks_of(page: str) -> list[Block]:
                     break
                 if stack[i].tag in BLOCK_TAGS:
                     break
-        elif weight >= 0:
-            continue  # plain inline elements leave no trace
         if tag in VOID_TAGS:
             continue
-        in_article = stack[-1].in_article or tag in ("article", "main")
-        own = TAG_WEIGHTS.get(tag, 0.0) + weight
-        if tag == "header" and not in_article:
-            own += HEADER_WEIGHT
-        made += 1
-        stack.append(Element(tag, own, len(stack), in_article))
-        ids.append(made)
+        element = Element(tag, ids[-1], stack[-1].in_article)
+        _judge(element, found["attrs"])
+        if block or element.sure + element.noise + element.doubt:
+            enter(element)  # plain inline elements leave no trace
     add(page[at:])
     if hidden:
         leave(hidden)
     flush()
+    pro, contra = _weigh(elements)
+    for block in blocks:
+        at = block.path[-1]
+        score = BIAS + min(pro[at], MOST_CONTENT) + contra[at] + LEAF_WEIGHTS.get(block.leaf, 0.0)
+        score += min(len(block.text), 400) / 200 + LINK_WEIGHT * block.link_share
+        block.score = max(-MOST, min(MOST, score))
     return blocks
 
 
@@ -258,13 +313,13 @@ def smoothness(blocks: list[Block]) -> list[tuple[int, int, float]]:
     """Edges between blocks in page order and between neighbours inside one container."""
     edges, last_in = [], {}
     for i, block in enumerate(blocks):
-        if i:
+        container = block.path[:-1]
+        if (j := last_in.get(container)) is not None:
+            edges.append((j, i, SIBLING))
+        if i and j != i - 1:
             a, b = blocks[i - 1].path, block.path
             common = sum(1 for _ in _common(a, b))
             edges.append((i - 1, i, ADJACENT / (1 + len(a) + len(b) - 2 * common)))
-        container = block.path[:-1]
-        if (j := last_in.get(container)) is not None and j != i - 1:
-            edges.append((j, i, SIBLING))
         last_in[container] = i
     return edges
 
