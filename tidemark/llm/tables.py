@@ -27,7 +27,7 @@ def clear(spark: SparkSession) -> None:
 
 #: Rows and bytes of a batch on its way to Python while a table is staged: whole texts in batches of the default
 #: 10,000 rows would be held several times over.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
 
 
 @contextmanager

@@ -22,7 +22,7 @@ _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _POWERS: dict[int, np.ndarray] = {}
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def _powers(base: int, n: int) -> np.ndarray:
