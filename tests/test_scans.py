@@ -100,3 +100,22 @@ def test_running_total_keeps_nothing(spark):
     spark.sparkContext.setJobGroup("rest", "rest")
     plan = total._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "InMemory", "ExistingRDD LocalCheckpoint"))
+
+
+def test_busy_keys_never_meet_in_one_task(spark):
+    """Rows are not shuffled by the hash of a busy key, also where Spark would not broadcast the hashes by itself."""
+    frame = spark.range(4000).select(F.col("id"), (F.col("id") % 2).alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        carried = carry_forward(frame, ["k"], [F.col("id")], {"last": F.col("id")}, strict=True, hot_rows=100, buckets=8)
+        plan = carried._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert all(r.last == (r.id - 2 if r.id > 1 else None) for r in carried.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bisection_is_generated_code(spark):
+    frame = spark.createDataFrame(rows(900, 7), "tx long, lsn long, k long, v long")
+    plan = add_buckets(frame, [F.col("tx"), F.col("lsn")], 12)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan

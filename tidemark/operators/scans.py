@@ -11,6 +11,7 @@ computed again after an executor is lost lands in the bucket it was in.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,9 @@ from tidemark.session import durable, shuffle_width
 HOT_ROWS = 1_000_000
 """Rows of one key beyond which the key is split over several tasks."""
 
+SENT_KEYS = 1_000_000
+"""Busy keys that are sent to every task as hashes of 8 bytes; at ``HOT_ROWS`` that many take 10^12 rows."""
+
 BUCKETS_PER_TASK = 4
 """Buckets for each shuffle partition, so that uneven ones even out."""
 
@@ -50,10 +54,17 @@ def add_buckets(df: DataFrame, order: Sequence[Column], buckets: int | None = No
     # as a literal, which no row carries along; cut fractions would do no harm, bounds are any places in order
     options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
     found = bounds.select(F.to_json("bounds", options)).first()[0]
-    known = F.from_json(F.lit(found), bounds.schema["bounds"].dataType, options)
-    strides = F.array(*[F.lit(1 << k) for k in range(n.bit_length(), -1, -1)])
-    return df.withColumn(name, F.aggregate(strides, F.lit(0), lambda low, stride: F.when(
-        F.get(known, low + stride - 1) <= place, low + stride).otherwise(low)))
+    kind = bounds.schema["bounds"].dataType
+    listed = json.loads(found)
+    # Each step of the bisection is a column of its own, made of plain expressions, which become generated code (a lambda
+    # over the steps is interpreted for every row). A step knows the bounds it may meet, so that all of them are there once.
+    placed = df.withColumns({"_place": place, "_low": F.lit(0)})
+    for k in reversed(range(len(listed).bit_length())):
+        low = F.col("_low")
+        met = F.from_json(F.lit(json.dumps(listed[(1 << k) - 1::2 << k])), kind, options)
+        placed = placed.withColumn("_low", F.when(
+            F.get(met, F.shiftright(low, k + 1)) <= F.col("_place"), low + (1 << k)).otherwise(low))
+    return placed.withColumn(name, F.col("_low")).drop("_place", "_low")
 
 
 def running_total(
@@ -130,10 +141,14 @@ def carry_forward(
     kept = [c for c in staged.columns if c not in names]
     if hot is None:
         hot = hot_keys(df, keys, hot_rows)
-    if hot.isEmpty():
+    n_hot = hot.count()
+    if not n_hot:
         return staged.select(*kept, *carried(per_key))
 
-    is_hot = F.xxhash64(*keys) == F.col("h")  # left to Spark to broadcast or to shuffle, by its size
+    # shuffled by its hash, a busy key would meet in one task whole; only a table of very many keys is left to Spark
+    if n_hot <= SENT_KEYS:
+        hot = F.broadcast(hot)
+    is_hot = F.xxhash64(*keys) == F.col("h")
     cold = staged.join(hot, is_hot, "left_anti").select(*kept, *carried(per_key))
 
     # buckets of the busy keys' own order; each row also belongs to its key, so a bucket may hold several
