@@ -146,3 +146,13 @@ def test_new_type_handler(spark):
     assert frame.select(types.typed_value(F.col("kv"), types.Field("p", "POINT_TEXT"))).first()[0] == "X"
     with pytest.raises(KeyError):
         types.typed_value(F.col("kv"), types.Field("p", "NO_SUCH"))
+
+
+def test_commit_text_is_plain_expressions(spark):
+    micros = spark.sql("SELECT explode(array(0L, -1L, 57599999999L, 57600000000L, NULL)) AS m")
+    text = micros.select(time.commit_text(micros["m"]).alias("t"))
+    assert [r.t for r in text.collect()] == [
+        "1970-01-01 08:00:00.000000", "1970-01-01 07:59:59.999999", "1970-01-01 23:59:59.999999", "1970-01-02 00:00:00.000000",
+        time.NO_CLOCK]
+    assert text.select(time.commit_micros(text["t"]).alias("m")).collect()[-1].m is None
+    assert "format_string" not in text._jdf.queryExecution().optimizedPlan().toString()

@@ -38,6 +38,10 @@ _STAMP_FORMS = [
 _ZONE = r"^([+-])(\d{2}):(\d{2})\s*$"
 
 
+NO_CLOCK = "null:null:null.  null"
+"""What ``commit_text`` says without a time; ``commit_micros`` refuses it."""
+
+
 def _number(c: Column) -> Column:
     """Digits to bigint; an empty or missing group counts as 0."""
     return F.coalesce(c.try_cast("long"), F.lit(0).cast("long"))
@@ -71,12 +75,14 @@ def commit_text(micros: Column, offset_hours: int = SOURCE_OFFSET_HOURS) -> Colu
     local = micros + offset_hours * 3_600_000_000
     rest = F.pmod(local, F.lit(86_400_000_000))
     day = F.date_from_unix_date(whole_div(local - rest, 86_400_000_000).cast("int"))
-    clock = F.format_string(
-        "%02d:%02d:%02d.%06d",
-        whole_div(rest, 3_600_000_000), whole_div(rest, 60_000_000) % 60, whole_div(rest, 1_000_000) % 60,
-        rest % 1_000_000,
-    )
-    return F.concat_ws(" ", day.cast("string"), clock)
+
+    def digits(value: Column, n: int) -> Column:
+        return F.lpad(value.cast("string"), n, "0")
+
+    clock = F.concat(
+        digits(whole_div(rest, 3_600_000_000), 2), F.lit(":"), digits(whole_div(rest, 60_000_000) % 60, 2), F.lit(":"),
+        digits(whole_div(rest, 1_000_000) % 60, 2), F.lit("."), digits(rest % 1_000_000, 6))
+    return F.concat_ws(" ", day.cast("string"), F.coalesce(clock, F.lit(NO_CLOCK)))
 
 
 def time_micros(text: Column) -> Column:
