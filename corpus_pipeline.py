@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontaminate, ngram_join, packing, substrings, toxicity
 from tidemark.llm.catalogue import tokenizer_path
-from tidemark.llm.tables import load, staged, without
+from tidemark.llm.tables import lasting, load, passing, staged, without
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,11 +24,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     of rows that share it or have none the first. Rows are linked, whatever their ids."""
     name = next(f"row_{k}" for k in range(len(docs.columns) + 1) if f"row_{k}" not in docs.columns)
     rows = staged(docs.withColumn(name, F.monotonically_increasing_id()), "rows")  # written, so that numbers stay
-    classes = ngram_join.jaccard_classes(rows, id_col=name, k=5, percent=80)
-    own = rows.select(F.col(name).alias("id"), "doc_id").join(classes, "id").select("id", "component_id", F.struct(
-        F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("id").alias("row")).alias("place"))
-    first = own.groupBy("component_id").agg(F.min("place").alias("first"))
-    later = own.join(first, "component_id").filter(F.col("id") != F.col("first.row")).select("id")
+    with passing():  # of all the tables of the join no more than the rows to leave out is kept
+        classes = ngram_join.jaccard_classes(rows, id_col=name, k=5, percent=80)
+        own = rows.select(F.col(name).alias("id"), "doc_id").join(classes, "id").select("id", "component_id", F.struct(
+            F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("id").alias("row")).alias("place"))
+        first = own.groupBy("component_id").agg(F.min("place").alias("first"))
+        later = own.join(first, "component_id").filter(F.col("id") != F.col("first.row")).select("id")
+        with lasting():
+            later = staged(later, "later")
     return without(rows, F.col(name), later).select(*docs.columns)
 
 

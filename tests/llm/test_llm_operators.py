@@ -6,8 +6,10 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -673,3 +675,29 @@ def test_pipeline_over_awkward_rows(spark, awkward, nothing):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SMALL)
             docs.write.format("noop").mode("overwrite").save()
+
+
+def test_pipeline_leaves_no_more_than_rows_behind(spark, awkward, tmp_path):
+    """Tables of the near-duplicate join go with it, and shuffles with the table they were made for."""
+    folder = Path(tables.new_folder(spark, "x")).parent
+
+    def staged_now():
+        return {p.name.rsplit("-", 1)[0]: p for p in folder.iterdir()} if folder.exists() else {}
+
+    def shuffled():
+        return {p for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+                for p in Path(d).rglob("shuffle_*")}
+
+    tables.clear(spark)
+    kept = corpus_pipeline.drop_near_duplicates(spark, awkward.select("doc_id", "text", "lang", "source", "n_chars"), SMALL)
+    assert set(staged_now()) == {"rows", "later"}
+    before = kept.count()
+    assert kept.count() == before > 0
+    was = shuffled()
+    tables.staged(awkward.select("doc_id", "n_chars").distinct().groupBy("n_chars").count(), "counted").count()
+    for _ in range(50):  # files go in the background
+        left = {p for p in shuffled() - was if p.exists()}
+        if len(left) <= 1:
+            break
+        time.sleep(0.2)
+    assert len({p.name.split("_")[1] for p in left}) <= 1  # of the count at most

@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.tables import released, staged
+from tidemark.llm.tables import discard, released, staged
 from tidemark.llm.wordhash import each_words, run_hashes
 
 WINDOW, SEED = 50, 16
@@ -149,6 +149,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     .filter("low < high").select("anchor"), "shared")
     seeds = anchors.join(shared, "anchor").groupBy("id", "tag").agg(F.collect_list("at").alias("seeds"))
     opened = staged(docs.filter("id IS NOT NULL").join(seeds, "id").mapInPandas(released(_open(window, seed)), _OPENED), "opened")
+    discard(shared)
 
     windows = opened.select("id", "tag", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select(
         "id", "tag", F.col("w.starts").alias("start"), F.col("w.hashes").alias("hash"))

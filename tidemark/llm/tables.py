@@ -29,12 +29,18 @@ def clear(spark: SparkSession) -> None:
 #: 10,000 rows would be held several times over.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
 
+#: What a staged table was shuffled with goes as soon as the table is written, not when the driver collects its garbage.
+WRITTEN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+_passing: list[list[DataFrame]] = []
+
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in BATCH}
+def small_batches(spark: SparkSession, more: dict[str, str] = {}) -> Iterator[None]:
+    settings = BATCH | more
+    before = {key: spark.conf.get(key, None) for key in settings}
     try:
-        for key, value in BATCH.items():
+        for key, value in settings.items():
             spark.conf.set(key, value)
         yield
     finally:
@@ -45,13 +51,36 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: computed once, safe from lost executors."""
     path = new_folder(df.sparkSession, name)
-    with small_batches(df.sparkSession):
+    with small_batches(df.sparkSession, WRITTEN):
         df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_path = path
+    if _passing:
+        _passing[-1].append(out)
     return out
 
 
+@contextmanager
+def passing() -> Iterator[None]:
+    """Tables staged inside are deleted at the end: what is needed after it is staged inside ``lasting``."""
+    _passing.append([])
+    try:
+        yield
+    finally:
+        discard(*_passing.pop())
+
+
+@contextmanager
+def lasting() -> Iterator[None]:
+    """Tables staged inside outlive the ``passing`` around it."""
+    outer = _passing[:]
+    _passing.clear()
+    try:
+        yield
+    finally:
+        _passing[:] = outer
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete staged tables that nothing reads any more."""
     for table in tables:
