@@ -1,10 +1,13 @@
 import decimal
+import random
 
+import pytest
 from pyspark.sql import functions as F
 from records import DDL_RECORDS, FIELDS, INSERT, b64, kv, meta
 
 from tidemark.functions.types import Field
 from tidemark.operators import events, images, normalize
+from tidemark.plans import derive
 from tidemark.schema import CHANGE_SCHEMA
 from tidemark.sources.change_log import read_change_log, route, write_change_log
 
@@ -121,3 +124,41 @@ def test_scan_reads_only_what_is_asked(spark, tmp_path):
     write_change_log(frame(spark, INSERT, *DDL_RECORDS), path)
     plan = read_change_log(spark, path).filter(F.col("scn") > 54349495054337).select("tx_seq")._jdf.queryExecution().toString()
     assert "ReadSchema: struct<scn:bigint,tx_seq:bigint>" in plan and "GreaterThan(scn,54349495054337)" in plan
+
+
+@pytest.mark.parametrize("width", [1, 15, 16, 17, 40])
+def test_event_sizes_of_any_width(spark, width):
+    """Tables and images up to and beyond the length that is sized without lambdas; repeated, NULL and odd values."""
+    rng = random.Random(width)
+    kinds = [("BIGINT", 0, 8, False), ("VARCHAR", 300, 2, True), ("CHAR", 9, 1, True), ("INT", 0, 4, False), ("NEVER", 0, 0, False)]
+    chosen = [rng.choice(kinds) for _ in range(width)]
+    fields = [{"name": f"c{i}", "meta": meta(k[0], k[1])} for i, k in enumerate(chosen)]
+
+    def value(i):
+        kind = rng.choice([None, rng.randrange(99), "x" * rng.randrange(9)])
+        return kv(f"c{i}", b64(kind) if isinstance(kind, str) else kind), 0 if kind is None else chosen[i][2] + (
+            len(kind) if isinstance(kind, str) and chosen[i][3] else 0)
+
+    def image(repeats):
+        if rng.random() < 0.2:
+            return None, 0
+        stated = [(i, *value(i)) for i in rng.sample(range(width), rng.randint(0, width))]
+        if repeats and stated:
+            stated += [(i, *value(i)) for i in rng.choices([s[0] for s in stated], k=3)]
+        last = {i: n for i, _, n in stated}
+        return [v for _, v, _ in stated], (width + 7) // 8 + (len(last) + 7) // 8 + sum(last.values())
+
+    records, expected = [], {}
+    for n in range(40):
+        (keys, a), (new, b) = image(n % 3 == 0), image(n % 4 == 0)
+        records.append({**INSERT, "fields": fields, "keys": keys, "new_data": new, "tx_seq": n})
+        expected[n] = 30 + a + b
+    found = events.sized_events(spark.createDataFrame(records, CHANGE_SCHEMA), ("tx_seq",)).filter("event_ord = 4").collect()
+    assert {r.tx_seq: r.event_len for r in found} == expected
+
+
+def test_event_sizes_build_no_values_they_do_not_read(spark):
+    """The structs of an image are not put together to size a record."""
+    log = derive.lineitem_log(spark, "/root/testdata/sf0.001")
+    plan = events.event_sizes(log).select("tx_seq", "ends")._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_shipdate" in plan and "named_struct" not in plan

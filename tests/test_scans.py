@@ -119,3 +119,12 @@ def test_bisection_is_generated_code(spark):
     frame = spark.createDataFrame(rows(900, 7), "tx long, lsn long, k long, v long")
     plan = add_buckets(frame, [F.col("tx"), F.col("lsn")], 12)._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan
+
+
+def test_running_total_shuffles_rows_once_whatever_is_read(spark):
+    frame = spark.createDataFrame([(i, i % 7, f"text {i}") for i in range(500)], "tx long, v long, unread string").repartition(3)
+    got = running_total(frame, [F.col("tx")], {"total": F.col("v")}, 4).select("total")
+    assert got.agg(F.max("total")).first()[0] == sum(i % 7 for i in range(500))
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan

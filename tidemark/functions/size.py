@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,15 +42,30 @@ def _bytes_of(c: Column) -> Column:
     return F.coalesce(F.octet_length(c), F.lit(0))
 
 
+UNROLLED = 16
+"""Columns and values of a record up to which they are taken one by one in plain expressions, which become generated code;
+a lambda over them is interpreted for every value. Longer ones go through the lambda."""
+
+
+def _each(items: Column, use: Callable[[Column, Column], Column]) -> Column:
+    """``use`` of each entry and its place (from 0)."""
+    plain = F.array(*[use(F.get(items, F.lit(i)), F.lit(i)) for i in range(UNROLLED)])
+    return F.when(F.size(items) <= UNROLLED, F.slice(plain, F.lit(1), F.size(items))).otherwise(F.transform(items, use))
+
+
+def _total(values: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, values)
+
+
 def field_traits(fields: Column) -> Column:
     """``type_traits`` of each column, in schema order."""
-    return F.transform(fields["meta"]["data_type"], types.type_traits)
+    return _each(fields["meta"]["data_type"], lambda t, _: types.type_traits(t))
 
 
 def field_widths(fields: Column, traits: Column) -> Column:
     """Storage bytes per column, in schema order; for strings the bytes of the length prefix."""
-    return F.transform(fields, lambda f, i: F.coalesce(
-        types.width_for(F.get(traits, i)["width"], f["meta"]["length"], f["meta"]["precision"]), F.lit(0)))
+    return _each(fields["meta"], lambda m, i: F.coalesce(
+        types.width_for(F.get(traits, i)["width"], m["length"], m["precision"]), F.lit(0)))
 
 
 def _latest_only(image: Column) -> Column:
@@ -57,20 +75,29 @@ def _latest_only(image: Column) -> Column:
     return F.when(F.size(F.array_distinct(names)) == F.size(names), image).otherwise(last)
 
 
-def image_bytes(image: Column, names: Column, widths: Column, prefixed: Column) -> Column:
-    """Presence map, NULL map and values of a row image; 0 when there is no image.
+IMAGE_PARTS = ("key", "tag", "string_val")
+"""What sizes read of the values of an image. Taken apart, no more of an image is built than that."""
 
-    ``names``, ``widths`` and ``prefixed`` describe the table's columns, in schema order. NULL values take no bytes.
-    """
-    kept = _latest_only(image)
 
-    def value_bytes(e: Column) -> Column:
-        at = F.array_position(names, e["key"]).cast("int")
-        payload = F.when((e["tag"] == "STRING") & F.element_at(prefixed, at), decoded_length(e["string_val"]))
-        return F.when(e["tag"] != "NONE", F.element_at(widths, at) + F.coalesce(payload, F.lit(0))).otherwise(0)
+def image_bytes(image: Sequence[Column], names: Column, widths: Column, prefixed: Column) -> Column:
+    """Presence map, NULL map and values of a row image, given as its ``IMAGE_PARTS``; 0 when there is no image.
 
-    values = F.aggregate(kept, F.lit(0), lambda total, e: total + value_bytes(e))
-    return F.when(image.isNotNull(), _ceil8(F.size(names)) + _ceil8(F.size(kept)) + values).otherwise(0)
+    ``names``, ``widths`` and ``prefixed`` describe the table's columns, in schema order. NULL values take no bytes.
+    """
+    def value_bytes(key: Column, tag: Column, text: Column) -> Column:
+        at = F.array_position(names, key).cast("int")
+        payload = F.when((tag == "STRING") & F.element_at(prefixed, at), decoded_length(text))
+        return F.when(tag != "NONE", F.element_at(widths, at) + F.coalesce(payload, F.lit(0))).otherwise(0)
+
+    keys, maps = image[0], _ceil8(F.size(names))
+    # places beyond the end of an image have no tag and count 0
+    each = [value_bytes(*[F.get(part, F.lit(i)) for part in image]) for i in range(UNROLLED)]
+    plain = maps + _ceil8(F.size(keys)) + _total(each)
+    stated_once = F.size(F.array_distinct(keys)) == F.size(keys)
+    kept = _latest_only(F.arrays_zip(*[part.alias(name) for part, name in zip(image, IMAGE_PARTS)]))
+    values = F.aggregate(kept, F.lit(0), lambda total, e: total + value_bytes(*[e[name] for name in IMAGE_PARTS]))
+    return (F.when(keys.isNull(), 0).when((F.size(keys) <= UNROLLED) & stated_once, plain)
+            .otherwise(maps + _ceil8(F.size(kept)) + values))
 
 
 def gtid_bytes(immediate: Column, original: Column) -> Column:
@@ -88,7 +115,10 @@ def ddl_query_bytes(db: Column, sql: Column) -> Column:
 
 def table_map_bytes(db: Column, table: Column, traits: Column) -> Column:
     columns = F.size(traits)
-    metadata = F.aggregate(traits["metadata"], F.lit(0), lambda total, m: total + F.coalesce(m, F.lit(0)))
+    each = traits["metadata"]
+    plain = _total([F.coalesce(F.get(each, F.lit(i)), F.lit(0)) for i in range(UNROLLED)])
+    metadata = F.when(columns <= UNROLLED, plain).otherwise(
+        F.aggregate(each, F.lit(0), lambda total, m: total + F.coalesce(m, F.lit(0))))
     names = F.lit(0)
     for name in (db, table):
         names = names + length_of_length(_bytes_of(name)) + _bytes_of(name) + 1
@@ -96,7 +126,7 @@ def table_map_bytes(db: Column, table: Column, traits: Column) -> Column:
             + F.when(metadata < 251, 1).otherwise(3) + _ceil8(columns))
 
 
-def rows_bytes(keys: Column, new_data: Column, names: Column, widths: Column, prefixed: Column) -> Column:
+def rows_bytes(keys: Sequence[Column], new_data: Sequence[Column], names: Column, widths: Column, prefixed: Column) -> Column:
     return (F.lit(HEADER_BYTES + ROWS_BYTES) + length_of_length(F.size(names))
             + image_bytes(keys, names, widths, prefixed) + image_bytes(new_data, names, widths, prefixed))
 

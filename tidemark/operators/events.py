@@ -115,27 +115,29 @@ def change_events(log: DataFrame) -> DataFrame:
 def event_sizes(log: DataFrame) -> DataFrame:
     """Add ``ends``: the end of each event of a record, in bytes from the start of the record."""
     ddl = is_ddl()
-    # what the per-value lambda reads is put into columns of its own: a plain field access would be moved into the
-    # lambda and done again for every value
-    described = commit_times(log).withColumn("_traits", size.field_traits(F.col("fields"))).withColumns({
-        "_names": F.transform("fields", lambda f: f["name"]),
+    # what is read for each value is put into columns of its own, or it would be worked out again for every value
+    parted = {f"_{image}_{part}": F.col(image)[part] for image in ("keys", "new_data") for part in size.IMAGE_PARTS}
+    described = commit_times(log).withColumns({"_traits": size.field_traits(F.col("fields")), **parted}).withColumns({
+        "_names": F.col("fields")["name"],
         "_widths": size.field_widths(F.col("fields"), F.col("_traits")),
-        "_prefixed": F.transform("_traits", lambda t: t["prefixed"]),
+        "_prefixed": F.col("_traits")["prefixed"],
     })
+    images = [[F.col(f"_{image}_{part}") for part in size.IMAGE_PARTS] for image in ("keys", "new_data")]
     parts = described.withColumns({
         "_gtid": size.gtid_bytes(F.col("immediate_us"), F.col("original_us")),
         "_query": F.when(ddl, size.ddl_query_bytes(F.col("db_name"), F.col("ddl_sql"))).otherwise(
             size.begin_bytes(F.col("db_name"))),
         "_map": F.when(~ddl, size.table_map_bytes(F.col("db_name"), F.col("table_"), F.col("_traits"))),
-        "_rows": F.when(~ddl, size.rows_bytes(F.col("keys"), F.col("new_data"), F.col("_names"),
-                                              F.col("_widths"), F.col("_prefixed"))),
-    }).drop("_traits", "_names", "_widths", "_prefixed")
+        "_rows": F.when(~ddl, size.rows_bytes(*images, F.col("_names"), F.col("_widths"), F.col("_prefixed"))),
+    }).drop("_traits", "_names", "_widths", "_prefixed", *parted)
     e1 = F.col("_gtid").cast("long")
     e2 = e1 + F.col("_query")
     e3 = e2 + F.col("_map")
     e4 = e3 + F.col("_rows")
     ends = F.when(ddl, F.array(e1, e2)).otherwise(F.array(e1, e2, e3, e4, e4 + F.lit(size.XID_BYTES)))
-    return parts.withColumn("ends", ends).drop("_gtid", "_query", "_map", "_rows")
+    # A lambda, so that sizes are not compiled into one method with what follows: the JVM leaves methods beyond 8,000 bytes
+    # interpreted
+    return parts.withColumn("ends", F.transform(ends, lambda e: e)).drop("_gtid", "_query", "_map", "_rows")
 
 
 def event_ordinals() -> Column:

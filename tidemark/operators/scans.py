@@ -92,6 +92,8 @@ def running_total(
     within = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     kept = [c for c in weighted.columns if c not in names]
     summed = dealt.select("_bucket", *kept, *[F.sum(n).over(within).alias(n) for n in names])
+    # so do the rows, whatever the caller reads of them: this holds for all of them, and is not moved below the window
+    summed = summed.filter(F.xxhash64(*kept) >= -(1 << 63))
     # one row per bucket, so the broadcast does not grow with the log; null-safe, as another comparison would put a filter
     # on the bucket below one side's shuffle alone
     return summed.join(F.broadcast(starts), F.col("_bucket").eqNullSafe(F.col("_start_bucket"))).select(
