@@ -4,7 +4,8 @@ A text is cut before every single space that is followed by a character which is
 special token (``<|``). Both public vocabularies split there anyway, so the ids (and offsets) of a text are those of its
 pieces in turn; the tests compare them with the library on whole texts. The string of a special token gives its id, as in
 the library. Pieces repeat so much that the library sees a few hundredths of the text.
-Pieces are recognised by 64-bit hashes, kept per worker process up to ``KEEP`` pieces and then forgotten.
+Pieces are recognised by 64-bit hashes, kept per worker process up to ``KEEP`` pieces and then forgotten. What is kept
+grows in place and in few indexes, so that a chunk costs what its own new pieces cost, however many are known.
 """
 
 from __future__ import annotations
@@ -37,6 +38,27 @@ def drop_encoder(path: str, offsets: bool = False) -> None:
     _ENCODERS.pop((path, offsets), None)
 
 
+class _Grown:
+    """An array that is appended to, in room that doubles."""
+
+    def __init__(self, empty: np.ndarray):
+        self.room, self.used = empty, 0
+
+    def add(self, *more: np.ndarray) -> None:
+        need = self.used + sum(map(len, more))
+        if need > len(self.room):
+            room = np.empty((max(need, 2 * len(self.room)), *self.room.shape[1:]), self.room.dtype)
+            room[: self.used] = self.all
+            self.room = room
+        for own in more:
+            self.room[self.used: self.used + len(own)] = own
+            self.used += len(own)
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.room[: self.used]
+
+
 class Encoder:
     def __init__(self, path: str, offsets: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,10 +71,25 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known = pd.Index(np.zeros(0, np.uint64))
-        self.at, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
-        self.spans = np.zeros((0, 2), np.int32)
+        self.known: list[pd.Index] = []  # hashes in the order they came, each index less than half as long as the one before
+        self.at, self.count = _Grown(np.zeros(0, np.int64)), _Grown(np.zeros(0, np.int32))
+        self.ids = _Grown(np.zeros(0, np.int32))
+        self.spans = _Grown(np.zeros((0, 2), np.int32))
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where distinct pieces stand among the known ones, -1 if they are new."""
+        places, open_, begin = np.full(len(hashes), -1, np.int64), np.arange(len(hashes)), 0
+        for index in self.known:
+            own = index.get_indexer(hashes[open_])
+            found = own >= 0
+            places[open_[found]] = own[found] + begin
+            open_, begin = open_[~found], begin + len(index)
+        return places
+
+    def _know(self, hashes: np.ndarray) -> None:
+        while self.known and 2 * len(hashes) >= len(self.known[-1]):
+            hashes = np.concatenate([self.known.pop().to_numpy(), hashes])
+        self.known.append(pd.Index(hashes))
 
     def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         """Encode new pieces, many joined by a special token at a time; those that may hold one themselves go alone."""
@@ -60,15 +97,11 @@ class Encoder:
         odd = [i for i, p in enumerate(pieces) if b"<|" in p]
         plain = [i for i, p in enumerate(pieces) if b"<|" not in p] if odd else range(len(pieces))
         order = np.array([*plain, *odd], np.int64)
-        groups, size = [[]], 0
-        for i in plain:
-            if size > _JOIN_BYTES:
-                groups.append([])
-                size = 0
-            groups[-1].append(pieces[i])
-            size += len(pieces[i])
+        joined = [pieces[i] for i in plain] if odd else pieces
+        group = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined))) // _JOIN_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(joined)]
         mark = self.mark.encode()
-        texts = [mark.join(g).decode() for g in groups if g]
+        texts = [mark.join(joined[a:b]).decode() for a, b in zip(cuts, cuts[1:]) if a < b]
         batch = self.plain.encode_batch if self.offsets else self.plain.encode_batch_fast
         done = 0
         for k, got in enumerate(batch(texts, add_special_tokens=False)):
@@ -91,12 +124,13 @@ class Encoder:
             if self.offsets:
                 spans.append(np.array(got.offsets, np.int32).reshape(-1, 2))
         at = np.zeros(len(pieces), np.int64)
-        at[order] = np.cumsum(counts[order]) - counts[order] + len(self.ids)
-        self.known = pd.Index(np.concatenate([self.known.to_numpy(), hashes]))
-        self.at, self.count = np.concatenate([self.at, at]), np.concatenate([self.count, counts])
-        self.ids = np.concatenate([self.ids, *ids])
+        at[order] = np.cumsum(counts[order]) - counts[order] + self.ids.used
+        self._know(hashes)
+        self.at.add(at)
+        self.count.add(counts)
+        self.ids.add(*ids)
         if self.offsets:
-            self.spans = np.concatenate([self.spans, *spans])
+            self.spans.add(*spans)
 
     def encode(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         """Ids of all texts of a buffer in turn, where each text's begin (total at the end), and the begin and end of
@@ -116,29 +150,29 @@ class Encoder:
         np.cumsum(_BYTE_CODE[data] * _powers(_BASE, n)[:n], out=total[1:])
         hashes = mix((total[ends] - total[edges]) * _powers(_INVERSE, n)[edges] + (ends - edges).astype(np.uint64))
         codes, distinct = pd.factorize(hashes)
-        if len(self.known) > KEEP:
+        if self.at.used > KEEP:
             self.forget()
-        place = self.known.get_indexer(distinct)
+        place = self._places(distinct)
         new = np.flatnonzero(place < 0)
         if len(new):
             first = np.full(len(distinct), -1, np.int64)
             first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
             raw = data.tobytes()
-            place[new] = len(self.known) + np.arange(len(new))
+            place[new] = self.at.used + np.arange(len(new))
             self._learn(distinct[new], [raw[a:b] for a, b in zip(edges[first[new]].tolist(), ends[first[new]].tolist())])
         own = place[codes]
-        count = self.count[own]
+        count = self.count.all[own].astype(np.int64)
         upto = np.zeros(len(own) + 1, np.int64)
         np.cumsum(count, out=upto[1:])
-        index = np.arange(upto[-1]) + np.repeat(self.at[own] - upto[:-1], count)
+        index = np.arange(upto[-1]) + np.repeat(self.at.all[own] - upto[:-1], count)
         where = upto[np.searchsorted(edges, starts)]
         spans = None
         if self.offsets:
             chars = np.zeros(n + 1, np.int64)
             np.cumsum((data & 0xC0) != 0x80, out=chars[1:])
             text = np.searchsorted(starts, edges, side="right") - 1
-            spans = self.spans[index] + np.repeat(chars[edges] - chars[starts[text]], count)[:, None]
-        return self.ids[index], where, spans
+            spans = self.spans.all[index] + np.repeat(chars[edges] - chars[starts[text]], count)[:, None]
+        return self.ids.all[index], where, spans
 
     def each(self, texts: pd.Series, limit: int = CHUNK) -> Iterator[tuple]:
         """(first text, end text, ids, where, spans) of a batch of texts, a bounded number of bytes at a time."""
