@@ -112,8 +112,12 @@ def _envelope(tx_seq: Column, scn: Column, seq: Column, lsn: Column, dn: Column,
     ]
 
 
-def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inserts, partial updates, deletes, re-inserts and late updates of orders, by phase."""
+def orders_log(spark: SparkSession, sf_dir: str, ranges: int | None = None) -> DataFrame:
+    """Inserts, partial updates, deletes, re-inserts and late updates of orders, by phase.
+
+    With ``ranges`` the log comes in that many ranges of commit order. What is shuffled for it are rows of the table: a
+    record with its images and field list takes several times as much.
+    """
     k = F.col("o_orderkey")
     phases = F.array_compact(F.array(
         F.lit(1), F.when(k % 3 == 0, 2), F.when(k % 6 == 0, 3), F.when(k % 7 == 0, 4), F.when(k % 21 == 0, 5),
@@ -121,6 +125,8 @@ def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("*", F.explode(phases).alias("phase"))
     p = F.col("phase")
     tx = p * F.lit(PHASE) + k
+    if ranges:
+        rows = rows.repartitionByRange(ranges, tx)  # the commit order follows from it
     op = F.when(p.isin(1, 5), "I").when(p == 4, "D").otherwise("U")
     micros = _micros(F.col("o_orderdate")) + p * F.lit(86_400_000_000) + (k * 7919) % 1_000_000
     key = _kv("o_orderkey", "long", "o_orderkey")

@@ -12,14 +12,17 @@ from tidemark.operators.stats import with_message_time
 from tidemark.plans import logs_sql as sql
 from tidemark.plans.derive import EVENT_FIELDS, ORDER_FIELDS, events_log, orders_log, table
 from tidemark.plans.registry import ORACLE, query
-from tidemark.schema import commit_order
 from tidemark.session import shared_dir
 from tidemark.sources.change_log import write_change_log
 from tidemark.streaming import sinks, source
 
 
+BATCHES = 4
+"""Micro-batches in which a landed log is taken in."""
+
+
 def width(spark: SparkSession) -> int:
-    """Files a log is written as: one for each task that can run at once, four at least."""
+    """Files a log or a batch of it is written as: one for each task that can run at once, four at least."""
     return max(4, spark.sparkContext.defaultParallelism)
 
 
@@ -29,10 +32,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{spark.sparkContext.applicationId}-{unique}"
 
 
-def landed(spark: SparkSession, log: DataFrame, folder: str) -> str:
-    """``log`` written as files, each a range of commit order."""
+def landed(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The orders log written as files, each a range of commit order: for each of ``BATCHES`` micro-batches one per task
+    (a file may be one row group, which one task reads)."""
     path = f"{folder}/log"
-    write_change_log(log.repartitionByRange(width(spark), *commit_order()), path)
+    write_change_log(orders_log(spark, sf_dir, ranges=BATCHES * width(spark)), path)
     return path
 
 
@@ -55,7 +59,7 @@ WITH {sql.O_LOG} SELECT op_type, count(*) AS n_records, CAST(count(*) * 5 AS BIG
 FROM o_log GROUP BY op_type""")
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "ingest")
-    stream = source.stream_change_log(spark, landed(spark, orders_log(spark, sf_dir), folder), max_files=width(spark) // 4)
+    stream = source.stream_change_log(spark, landed(spark, sf_dir, folder), max_files=width(spark))
     drained(sinks.batch_writer(source.with_progress(stream), f"{folder}/out"), folder)
     return sinks.read_batches(spark, f"{folder}/out").groupBy("op_type").agg(
         F.count(F.lit(1)).alias("n_records"), (F.count(F.lit(1)) * 5).alias("n_events"), F.max("tx_seq").alias("last_tx"))
@@ -64,7 +68,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_sink", ORACLE["dml_events"])
 def stream_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "sink")
-    stream = source.stream_change_log(spark, landed(spark, orders_log(spark, sf_dir), folder), max_files=2)
+    stream = source.stream_change_log(spark, landed(spark, sf_dir, folder), max_files=2 * BATCHES)
     drained(sinks.ordered_writer(stream, f"{folder}/out", events.dml_events), folder)
     return sinks.read_batches(spark, f"{folder}/out").select("tx_seq", "event_ord", "event_type", "event_code")
 
@@ -73,7 +77,7 @@ def stream_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "replay")
     key = ["o_orderkey"]
-    stream = source.stream_change_log(spark, landed(spark, orders_log(spark, sf_dir), folder), max_files=width(spark) // 4)
+    stream = source.stream_change_log(spark, landed(spark, sf_dir, folder), max_files=width(spark))
     drained(sinks.replay_writer(stream, f"{folder}/states", ORDER_FIELDS, key), folder)
     return sinks.read_table(spark, f"{folder}/states", table(spark, sf_dir, "orders").limit(0), key)
 
