@@ -44,3 +44,14 @@ def test_every_micro_batch_has_a_file_for_each_task(spark, folder, name, monkeyp
     (files, taken), = seen
     tasks = spark.sparkContext.defaultParallelism
     assert taken >= tasks and files > 3 * taken
+
+
+def test_sink_keeps_each_part_of_a_record_once(spark, folder, monkeypatch):
+    seen, read = [], streams.sinks.read_batches
+    monkeypatch.setattr(streams.sinks, "read_batches", lambda spark, path: seen.append(path) or read(spark, path))
+    n = derive.orders_log(spark, folder).count()
+    assert streams.stream_sink(spark, folder).count() == 5 * n
+    held = read(spark, seen[0]).groupBy("event_ord").agg(*[F.count(c).alias(c) for c in ("fields", "keys", "new_data")]).collect()
+    parts = derive.orders_log(spark, folder).agg(*[F.count(c).alias(c) for c in ("fields", "keys", "new_data")]).first()
+    for c, at in (("fields", 3), ("keys", 4), ("new_data", 4)):
+        assert {r["event_ord"]: r[c] for r in held} == {i: parts[c] if i == at else 0 for i in range(1, 6)}

@@ -56,6 +56,15 @@ def dml_events(log: DataFrame) -> DataFrame:
     return explode_events(log.filter(~is_ddl()))
 
 
+def own_parts(events: DataFrame) -> DataFrame:
+    """Exploded events of which each holds its own part of the record: the field list goes with the table map, the images
+    with the rows. Written out, a record takes its own size and not that of its events times as much."""
+    ordinal = F.col("event_ord")
+    return events.withColumns({
+        "fields": F.when(ordinal == 3, F.col("fields")),
+        **{image: F.when(ordinal == 4, F.col(image)) for image in ("keys", "new_data")}})
+
+
 def gtid_payload() -> Column:
     """Commit order and times; the original time only where it differs."""
     return F.struct(

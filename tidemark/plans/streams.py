@@ -69,7 +69,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "sink")
     stream = source.stream_change_log(spark, landed(spark, sf_dir, folder), max_files=2 * BATCHES)
-    drained(sinks.ordered_writer(stream, f"{folder}/out", events.dml_events), folder)
+    drained(sinks.ordered_writer(stream, f"{folder}/out", lambda batch: events.own_parts(events.dml_events(batch))), folder)
     return sinks.read_batches(spark, f"{folder}/out").select("tx_seq", "event_ord", "event_type", "event_code")
 
 
