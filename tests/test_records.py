@@ -8,6 +8,7 @@ from records import DDL_RECORDS, FIELDS, INSERT, b64, kv, meta
 from tidemark.functions.types import Field
 from tidemark.operators import events, images, normalize
 from tidemark.plans import derive
+from tidemark.plans.catalogue import QUERIES
 from tidemark.schema import CHANGE_SCHEMA
 from tidemark.sources.change_log import read_change_log, route, write_change_log
 
@@ -162,3 +163,21 @@ def test_event_sizes_build_no_values_they_do_not_read(spark):
     log = derive.lineitem_log(spark, "/root/testdata/sf0.001")
     plan = events.event_sizes(log).select("tx_seq", "ends")._jdf.queryExecution().optimizedPlan().toString()
     assert "l_shipdate" in plan and "named_struct" not in plan
+
+
+def test_parts_are_counted_in_one_pass(spark, tmp_path):
+    names = [f["name"] for f in FIELDS]
+    bad = [{**INSERT, "op_type": op} for op in (None, "i", "", "X")] + [
+        {**INSERT, "fields": [{"name": n, "meta": meta(kind)} for n in names]} for kind in (None, "GEOMETRY")]
+    log = frame(spark, INSERT, *DDL_RECORDS, *bad)
+    ddl, dml = route(log)
+    usable, refused = normalize.split_refused(log)
+    parts = {"all": log, "ddl": ddl, "dml": dml, "usable": usable, "refused": refused}
+    assert {r.part: r.n for r in normalize.count_parts(log).collect()} == {k: p.count() for k, p in parts.items()} == {
+        "all": 11, "ddl": 4, "dml": 7, "usable": 5, "refused": 6}
+    assert {r.part: r.n for r in normalize.count_parts(log.limit(0)).collect()} == dict.fromkeys(parts, 0)
+    spark.sql("""SELECT id AS o_orderkey, id AS o_custkey, 'O' AS o_orderstatus, 1.5D AS o_totalprice,
+        TIMESTAMP_NTZ '1995-01-01 00:00:00' AS o_orderdate, '5-LOW' AS o_orderpriority FROM range(9)""").write.parquet(f"{tmp_path}/orders.parquet")
+    counted = QUERIES["odd_operations"](spark, str(tmp_path))
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert {r.part: r.n for r in counted.collect()} == {"all": 18, "ddl": 0, "dml": 18, "usable": 13, "refused": 5}

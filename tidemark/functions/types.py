@@ -81,6 +81,11 @@ def type_code(declared: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), declared)
 
 
+def is_known(declared: Column) -> Column:
+    """Whether a declared type has a code (false for NULL)."""
+    return F.coalesce(declared.isin(list(_CODES)), F.lit(False))
+
+
 def logged_type_code(declared: Column) -> Column:
     """Type code as a table map states it: all blobs and texts count as BLOB."""
     blob = declared.isin([t for t in BLOB_LENGTH_BYTES if t != "JSON"])

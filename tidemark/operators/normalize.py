@@ -29,6 +29,18 @@ def row_event_code(op: Column) -> Column:
     return code
 
 
+def count_parts(log: DataFrame) -> DataFrame:
+    """(part, n): how many records there are in all, of definitions and row changes, and of usable and refused ones.
+
+    One pass over the log. Conditions are worked out as columns: as filters they would be written into the recipe of the
+    log, with each column spelled out anew wherever a condition names it.
+    """
+    marked = log.select(is_ddl().alias("ddl"), is_refused().alias("refused"))
+    parts = {"all": F.lit(True), "ddl": F.col("ddl"), "dml": ~F.col("ddl"), "usable": ~F.col("refused"), "refused": F.col("refused")}
+    counted = marked.agg(*[F.count_if(c).alias(part) for part, c in parts.items()])
+    return counted.select(F.inline(F.array(*[F.struct(F.lit(part).alias("part"), F.col(part).alias("n")) for part in parts])))
+
+
 def ddl_class() -> Column:
     kind = F.col("ddl_type")
     return (
@@ -56,7 +68,7 @@ def faults() -> dict[str, Column]:
     """What makes a record unusable: reason → condition (never NULL)."""
     dml = ~is_ddl()
     known = F.coalesce(F.col("fields")["name"], F.array().cast("array<string>"))
-    strange_type = F.exists(F.col("fields")["meta"]["data_type"], lambda t: types.type_code(t).isNull())
+    strange_type = F.exists(F.col("fields")["meta"]["data_type"], lambda t: ~types.is_known(t))
     strange_name = (F.size(F.array_except(_column_names("keys"), known))
                     + F.size(F.array_except(_column_names("new_data"), known))) > 0
     crowded = F.greatest(F.size(_column_names("keys")), F.size(_column_names("new_data"))) > F.size(known)
@@ -71,12 +83,16 @@ def faults() -> dict[str, Column]:
     }
 
 
+def is_refused() -> Column:
+    """Whether a record cannot be used (never NULL)."""
+    return reduce(lambda a, b: a | b, faults().values())
+
+
 def split_refused(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable records, refused records with ``reasons``).
 
     Records are sorted out by plain conditions; reasons are spelled out for refused records only.
     """
-    conditions = faults()
-    refused = reduce(lambda a, b: a | b, conditions.values())
-    reasons = F.array_compact(F.array(*[F.when(c, reason) for reason, c in conditions.items()]))
+    refused = is_refused()
+    reasons = F.array_compact(F.array(*[F.when(c, reason) for reason, c in faults().items()]))
     return log.filter(~refused), log.filter(refused).withColumn("reasons", reasons)

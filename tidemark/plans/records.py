@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -456,10 +454,8 @@ def odd_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with missing, lower-case, empty and unknown operations: each record is definition or not, usable or refused."""
     whole = orders_log(spark, sf_dir)
     key = F.coalesce(stated(F.col("keys"), "o_orderkey")["long_val"], stated(F.col("new_data"), "o_orderkey")["long_val"]) % 101
-    log = whole.withColumn("op_type", F.when(key == 1, None).when(key == 2, F.lower("op_type")).when(key == 3, "").when(
-        key == 4, "X").otherwise(F.col("op_type")))
-    ddl, dml = source.route(log)
-    usable, refused = normalize.split_refused(log)
-    parts = [p.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n") for name, p in
-             (("all", log), ("ddl", ddl), ("dml", dml), ("usable", usable), ("refused", refused))]
-    return reduce(DataFrame.unionAll, parts)
+    keyed = whole.withColumn("_key", key)  # once, not for every case
+    key = F.col("_key")
+    log = keyed.withColumn("op_type", F.when(key == 1, None).when(key == 2, F.lower("op_type")).when(key == 3, "").when(
+        key == 4, "X").otherwise(F.col("op_type"))).drop("_key")
+    return normalize.count_parts(log)
