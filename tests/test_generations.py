@@ -140,3 +140,23 @@ def test_definitions_of_several_tables(spark):
         (1, "rename", "d", "a", "d", "b c"), (1, "rename", "x", "y", "d", "z"), (2, "drop", "d", "a", None, None), (2, "drop", "d", "q", None, None),
         (2, "drop", "x", "b", None, None), (4, "rename", "d", "a", "d", "w"), (6, "create", "d", "t", None, None)]
     assert [(r["at"].tx_seq, r.kind, r.db) for r in got if not r["name"]] == [(3, "drop database", "My_db")]
+
+
+def test_few_resets_need_no_running_total(spark, monkeypatch):
+    """Changes find their generation among the resets, at their own place as well; beyond a number of resets by a total."""
+    records = [change(1, "t", "I", 1, {"a": 1}), definition(1, "shop", "t", "truncate table t"), change(2, "t", "I", 1, {"a": 2}),
+               definition(3, "shop", "t", "truncate table t"), {**change(3, "t", "I", 1, {"a": 3}), "dn": None},
+               definition(4, "shop", "u", "truncate table u"), {**change(4, "t", "D", 1), "scn": None},
+               definition(5, "shop", "t", "drop table t", "DROP TABLE"), change(6, "t", "I", 1, {"a": 6})]
+    log = spark.createDataFrame(records, CHANGE_SCHEMA).repartition(3).cache()
+
+    def numbered():
+        changes = generations.table_changes(log, "shop", "t", SPEC, KEY)
+        return {(r.scn, r.tx_seq, r.op): r.generation for r in changes.collect()}, changes._jdf.queryExecution().optimizedPlan().toString()
+
+    found, plan = numbered()
+    assert "Window" not in plan and set(found.values()) == {0, 1, 2, 3}
+    assert found[(2, 2, "I")] == 1 and found[(3, 3, "I")] == 2 and found[(None, 4, "D")] == 0 and found[(6, 6, "I")] == 3
+    monkeypatch.setattr(generations, "SENT_RESETS", 2)
+    totalled, plan = numbered()
+    assert "Window" in plan and totalled == found

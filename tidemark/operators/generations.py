@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.types import Field
 from tidemark.operators import replay
 from tidemark.operators.replay import CHANGE_ORDER
-from tidemark.operators.scans import HOT_ROWS, running_total
+from tidemark.operators.scans import HOT_ROWS, add_places, running_total
 from tidemark.schema import commit_key, is_ddl
+from tidemark.session import durable
 
 GENERATION = "generation"
+SENT_RESETS = 1_000
+"""Resets of a table up to which each change finds its place among them; more are counted by a running total."""
 _NAME = r"""(?:`[^`]+`|"[^"]+"|[^\s,;.`"()]+)"""
 _TABLE = rf"{_NAME}(?:\s*\.\s*{_NAME})?"
 _DROP = r"(?i)^drop\s+(?:temporary\s+)?tables?\s+(?:if\s+exists\s+)?"
@@ -83,8 +86,12 @@ def _is(db: str, table: str, prefix: str = "") -> Column:
 
 def resets(log: DataFrame, db: str, table: str) -> DataFrame:
     """``at``: the commit keys at which a generation of the table ends; a rename to its name begins one as well."""
+    return _resets(definitions(log), db, table)
+
+
+def _resets(defined: DataFrame, db: str, table: str) -> DataFrame:
     own = _is(db, table) | ((F.col("kind") == "drop database") & (F.lower("db") == db.lower())) | _is(db, table, "to_")
-    return definitions(log).filter(F.coalesce(own, F.lit(False))).select("at").distinct()
+    return defined.filter(F.coalesce(own, F.lit(False))).select("at").distinct()
 
 
 @dataclass(frozen=True)
@@ -108,19 +115,23 @@ def spans(log: DataFrame, db: str, table: str) -> list[Span]:
 
     A few small aggregates over the definitions for each rename that led to the name.
     """
+    return _spans(durable(definitions(log)), db, table)
+
+
+def _spans(defined: DataFrame, db: str, table: str) -> list[Span]:
     found = [Span(db, table)]
     asked = [(db, table, None, None)]
     while asked:
         own_db, own_table, until, generation = asked.pop()
-        into = definitions(log).filter((F.col("kind") == "rename") & _is(own_db, own_table, "to_"))
+        into = defined.filter((F.col("kind") == "rename") & _is(own_db, own_table, "to_"))
         if until is not None:  # of the renames before it only the last one led on
             into = into.filter(F.col("at") < _key(until)).orderBy(F.desc("at")).limit(1)
         for row in into.collect():
             at = tuple(row["at"])
-            earlier = resets(log, row["db"], row["name"]).filter(F.col("at") < _key(at)).agg(F.max("at")).first()[0]
-            if until is not None and (later := resets(log, own_db, own_table).filter((F.col("at") > _key(at)) & (F.col("at") < _key(until)))).first():
+            earlier = _resets(defined, row["db"], row["name"]).filter(F.col("at") < _key(at)).agg(F.max("at")).first()[0]
+            if until is not None and (later := _resets(defined, own_db, own_table).filter((F.col("at") > _key(at)) & (F.col("at") < _key(until)))).first():
                 continue  # what that rename brought was dropped before this one
-            number = generation if generation is not None else resets(log, db, table).filter(F.col("at") <= _key(at)).count()
+            number = generation if generation is not None else _resets(defined, db, table).filter(F.col("at") <= _key(at)).count()
             found.append(Span(row["db"], row["name"], tuple(earlier) if earlier else None, at, number))
             asked.append((row["db"], row["name"], at, number))
     return found
@@ -136,7 +147,8 @@ def table_changes(log: DataFrame, db: str, table: str, fields: Sequence[Field],
             rows = rows.filter(commit_key() < _key(span.until))
         return replay.row_changes(rows, fields, key)
 
-    first, *before = spans(log, db, table)
+    defined = durable(definitions(log))  # asked several times, and the log is read for it once
+    first, *before = _spans(defined, db, table)
     # a generation that was renamed away and back again is told once, as part of the one that came back
     back = [s for s in before if (s.db, s.table) == (db, table)]
     once = log
@@ -144,14 +156,23 @@ def table_changes(log: DataFrame, db: str, table: str, fields: Sequence[Field],
         inside = (commit_key() < _key(s.until)) & (F.lit(True) if s.after is None else commit_key() > _key(s.after))
         once = once.filter(is_ddl() | ~inside | ~((F.col("db_name") == db) & (F.col("table_") == table)))
     changes = replay.row_changes(once.filter((F.col("db_name") == db) & (F.col("table_") == table) & ~is_ddl()), fields, key)
-    marks = resets(log, db, table).select("at.*", F.lit(-1).alias("sub"), F.lit(True).alias("_mark"))
-    told = changes.withColumn("_mark", F.lit(False)).unionByName(marks, allowMissingColumns=True)
-    out = running_total(told, [F.col(c) for c in CHANGE_ORDER], {GENERATION: F.col("_mark").cast("long")}).filter(~F.col("_mark")).drop("_mark")
+    out = _numbered_generations(changes, _resets(defined, db, table))
     for span in before:
         out = out.unionByName(own(span).withColumn(GENERATION, F.lit(span.generation).cast("long")))
     return out
 
 
+def _numbered_generations(changes: DataFrame, ends: DataFrame) -> DataFrame:
+    """Add ``generation``: how many of the resets ``ends`` are before each change."""
+    order = [F.col(c) for c in CHANGE_ORDER]
+    marks = ends.select("at.*", F.lit(-1).alias("sub"))
+    if len(marks.take(SENT_RESETS + 1)) <= SENT_RESETS:
+        places = marks.agg(F.sort_array(F.collect_list(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]))).alias("bounds"))
+        return add_places(changes, order, places, GENERATION).withColumn(GENERATION, F.col(GENERATION).cast("long"))
+    told = changes.withColumn("_mark", F.lit(False)).unionByName(marks.withColumn("_mark", F.lit(True)), allowMissingColumns=True)
+    return running_total(told, order, {GENERATION: F.col("_mark").cast("long")}).filter(~F.col("_mark")).drop("_mark")
+
+
 def _with_generation(base: DataFrame | None) -> DataFrame | None:
     return base.withColumn(GENERATION, F.lit(0).cast("long")) if base is not None else None
 

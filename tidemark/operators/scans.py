@@ -51,6 +51,15 @@ def add_buckets(df: DataFrame, order: Sequence[Column], buckets: int | None = No
     sample = picked.agg(F.sort_array(F.collect_list("least.place")).alias("all"))
     step = F.greatest(F.ceil(F.size("all") / n), F.lit(1))
     bounds = sample.select(F.filter("all", lambda p, i: (i + 1) % step == 0).alias("bounds"))
+    return add_places(df, order, bounds, name)
+
+
+def add_places(df: DataFrame, order: Sequence[Column], bounds: DataFrame, name: str) -> DataFrame:
+    """Add how many of the ``bounds`` are at or before each row: one row, an array of places of ``order`` in order.
+
+    There must be few of them, for they become part of the plan.
+    """
+    place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
     # as a literal, which no row carries along; cut fractions would do no harm, bounds are any places in order
     options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
     found = bounds.select(F.to_json("bounds", options)).first()[0]
