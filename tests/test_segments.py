@@ -136,3 +136,14 @@ def test_entries_of_many_runs_by_levels(spark):
     got = segments.run_entries(tables, 80, 700, 4, fan=3)
     assert sorted(map(tuple, got.collect())) == expected
     assert "SinglePartition" not in got._jdf.queryExecution().toString()
+
+
+def test_retention_places_events_once(spark):
+    """The segments and their first and last number come out of one pass over the events."""
+    placed = segments.quota_segments(log(spark, 90, 7, 60), 1_000, buckets=4).select("segment_no").distinct()
+    kept = segments.retention(placed)
+    found = {r.segment_no: r.keep for r in kept.collect()}
+    assert found == {n: n > int(len(found) * 0.3) for n in range(1, len(found) + 1)} and len(found) > 9
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("== Initial Plan ==")]
+    assert final.count("ReusedExchange") == 2  # the placed records for their buckets' starts, and the segments

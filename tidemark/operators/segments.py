@@ -322,7 +322,10 @@ def retention(segments: DataFrame, share: float = RETENTION_SHARE, before: Colum
 
     Segments are one row each and numbered without gaps, so age is a comparison with the first and last number.
     """
-    ends = F.broadcast(segments.agg(F.min("segment_no").alias("_low"), F.max("segment_no").alias("_high")))  # one row
+    # The count, which any row passes, needs each segment once: for the least and greatest number alone, a ``distinct`` that
+    # made the segments would be left out here, and all events placed anew instead of the segments read twice
+    ends = F.broadcast(segments.agg(F.min("segment_no").alias("_low"), F.max("segment_no").alias("_high"), F.count(F.lit(1)).alias("_n"))
+                       .filter(F.col("_n") >= 0).drop("_n"))  # one row
     oldest = F.floor((F.col("_high") - F.col("_low") + 1) * F.lit(share))
     drop = F.col("segment_no") - F.col("_low") < oldest
     if before is not None:
