@@ -147,3 +147,15 @@ def test_retention_places_events_once(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     final = plan[:plan.index("== Initial Plan ==")]
     assert final.count("ReusedExchange") == 2  # the placed records for their buckets' starts, and the segments
+
+
+def test_tabulating_takes_sizes_alone(spark):
+    """The pass that only needs sizes sends nothing else to Python, and still shares its shuffle with the one that cuts."""
+    placed = segments.greedy_segments(log(spark, 80, 3, 60), 1_500, keep=("check_point",), buckets=4)
+    expected = rotate((((tx, ord_), length) for tx, ord_, length in lengths(log(spark, 80, 3, 60))), 1_500)
+    assert {(r.tx_seq, r.event_ord): (r.segment_no, r.segment_pos) for r in placed.collect()} == {k: (s, p) for k, s, p in expected}
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("== Initial Plan ==")]
+    taken = [line for line in final.splitlines() if "tabulate(" in line]
+    assert taken and not any("check_point" in line for line in taken)
+    assert final.count("ReusedExchange") == 1

@@ -165,7 +165,7 @@ def greedy_segments(
         raise ValueError("unit is 'event' or 'txn'")
     columns = list(dict.fromkeys([*ORDER, *keep]))
     ranged = add_buckets(event_sizes(log).select(*columns, "ends"), commit_order(), buckets, "_part")
-    ranged = ranged.repartition("_part")  # both passes take all columns, so that they read one shuffle
+    ranged = ranged.repartition("_part")  # both passes read all columns, so that they share one shuffle
     in_turn = ["_part", *commit_order(), "ends"]  # records of one place are told apart by their sizes
     room = limit - size.SEGMENT_RESERVE_BYTES
 
@@ -195,7 +195,9 @@ def greedy_segments(
         if pieces:
             yield table(part, pieces)
 
-    tables = ranged.sortWithinPartitions(*in_turn).mapInArrow(tabulate, _TABLE)
+    # Python needs the sizes alone; a hash stands for the other columns, for without them the shuffle would be another one
+    sized = ranged.sortWithinPartitions(*in_turn).select("_part", "ends", F.xxhash64(*columns).alias("_every"))
+    tables = sized.mapInArrow(tabulate, _TABLE)
     entries = run_entries(tables, bucket_count(log, buckets) + 1, start_position, start_segment, fan)
     known = entries.withColumnRenamed("_part", "_entry_part")
     # one row per bucket
